@@ -112,6 +112,14 @@ def sum_or_zero(c: Column | str) -> Column:
     return F.coalesce(F.sum(col(c)), F.lit(0.0))
 
 
+def stable_sum(c: Column | str) -> Column:
+    """`sum_or_zero` without the digits that depend on the order of summation.
+
+    Rounded rates would otherwise differ between runs where a sum lies on a tie.
+    """
+    return F.round(sum_or_zero(c), 9)
+
+
 def is_in(c: Column | str, values: Iterable) -> Column:
     """Membership that is never NULL."""
     return F.coalesce(col(c).isin(list(values)), F.lit(False))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import YEAR_RANGES, id_month, month_label, or_zero, prefixed, ratio, round_even
-from ..functions.scalars import sum_or_zero, year_range
+from ..functions.scalars import stable_sum, sum_or_zero, year_range
 from .reshape import fill_no_data, named_first, wide_values
 from .spatial import attach_blocks
 
@@ -43,9 +43,9 @@ def catch_grain(table: DataFrame, period: str = "year") -> DataFrame:
     Kept is the observed and Released the whole reported catch.
     """
     return table.groupBy("Block", CATCH, TRIP, period).agg(
-        sum_or_zero("Total_Fish_Caught").alias("TotalCatch"),
-        round_even(sum_or_zero("Total_Obs_Fish_Caught"), 2).alias("Kept"),
-        round_even(sum_or_zero("Total_Rep_Fish_Caught"), 2).alias("Released"),
+        stable_sum("Total_Fish_Caught").alias("TotalCatch"),
+        round_even(stable_sum("Total_Obs_Fish_Caught"), 2).alias("Kept"),
+        round_even(stable_sum("Total_Rep_Fish_Caught"), 2).alias("Released"),
     )
 
 
@@ -90,9 +90,9 @@ def over_years(joined: DataFrame, *extra: str) -> DataFrame:
     """Years summed, rounded again and turned into rates again."""
     sums = joined.groupBy("Block", CATCH, TRIP, *extra).agg(
         sum_or_zero("AnglerDays").alias("AnglerDays"),
-        sum_or_zero("TotalCatch").alias("TotalCatch"),
-        round_even(sum_or_zero("Kept"), 2).alias("Kept"),
-        round_even(sum_or_zero("Released"), 2).alias("Released"),
+        stable_sum("TotalCatch").alias("TotalCatch"),
+        round_even(stable_sum("Kept"), 2).alias("Kept"),
+        round_even(stable_sum("Released"), 2).alias("Released"),
         F.sum("n_samples_effort").alias("Samples"),
     )
     return with_rates(sums)

@@ -141,8 +141,8 @@ def selects(dialect: str) -> dict[str, str]:
         "blocks_flat": """
         select concat(cast(100 + s_suppkey % 100 as varchar(20)), '-',
                       cast(cast(floor(s_suppkey / 100) as bigint) as varchar(20))) as NM_INDEX,
-               -127.0 + s_suppkey % 10 as x0,
-               32.0 + cast(floor(s_suppkey / 10) as bigint) as y0,
+               cast(-127 + s_suppkey % 10 as double) as x0,
+               cast(32 + floor(s_suppkey / 10) as double) as y0,
                s_suppkey % 4 = 3 as triangle
         from supplier""",
     }
