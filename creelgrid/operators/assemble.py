@@ -9,7 +9,7 @@ from .. import reasons
 from ..functions.scalars import or_zero
 from .dedupe import group_sizes
 from .joins import full_join, keyed_join
-from .rejects import REASON, Stage
+from .rejects import REASON, Keep, Stage, in_plan
 
 MEASURES = (
     "Ob_Weighed_Fish", "Ob_AvKWgt", "Total_Obs_Fish_Caught", "Rep_Released_Dead", "Rep_Kept",
@@ -48,13 +48,15 @@ def publish(joined: DataFrame) -> DataFrame:
     return filled.withColumn("Total_Fish_Caught", total)
 
 
-def assemble(observed: DataFrame, reported: DataFrame, effort: DataFrame, species: DataFrame) -> Stage:
+def assemble(
+    observed: DataFrame, reported: DataFrame, effort: DataFrame, species: DataFrame, keep: Keep = in_plan
+) -> Stage:
     """``all_by_id`` and the catch that has no effort.
 
     Both sides are filters of one full join. All inputs are already one row per
     key, so no join key repeats beyond the species and trip types of one trip.
     """
-    joined = with_effort(all_catch(observed, reported, species), effort)
+    joined = keep(with_effort(all_catch(observed, reported, species), effort), "assembled")
     rejects = joined.filter(without_effort()).withColumn(REASON, F.lit(reasons.CATCH_NO_EFFORT))
     return Stage(publish(joined.filter(~without_effort())), rejects, tuple(reasons.OUTPUT))
 

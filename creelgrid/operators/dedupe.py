@@ -78,10 +78,8 @@ def consolidate_blocks(
     )
     agreed = F.col("lo").eqNullSafe(F.col("hi"))
     kept = checked.filter(agreed).select(key, "lo.*", block, "total_blocks")
-    in_conflict = (
-        df.groupBy(key).agg(F.min(packed).alias("lo"), F.max(packed).alias("hi")).filter(~agreed).select(key)
-    )
     merged = df.select(key, *attributes).distinct()
+    in_conflict = group_sizes(merged, [key]).filter("n > 1").select(key)
     rejects = skew_join(merged, in_conflict, [key], "left_semi")
     return Stage(
         kept,

@@ -19,7 +19,7 @@ from ..functions.scalars import (
     trip_location_id,
 )
 from .dedupe import consolidate_blocks
-from .rejects import REASON, Stage, all_rejects, split_rejects
+from .rejects import Keep, Stage, all_rejects, in_plan, split_rejects
 from .reshape import blocks_to_slots, union_by_name, union_strict
 from .spatial import locate_points
 
@@ -71,7 +71,7 @@ def _wide_range(column: str):
     return F.col(column).isNotNull() & ~F.coalesce(to_number(column) <= MAX_RANGE, F.lit(False))
 
 
-def screen_locations(coded: DataFrame) -> Stage:
+def screen_locations(coded: DataFrame, keep: Keep = in_plan) -> Stage:
     """All screens on single rows, in one pass.
 
     Only rows without a block are judged by their coordinates, whose longitude
@@ -95,10 +95,12 @@ def screen_locations(coded: DataFrame) -> Stage:
             (by_coordinates, F.size("codes") == 0),
             (reasons.LOCATION_RANGE, wide),
         ],
+        keep,
+        "screened_locations",
     )
 
 
-def locate_rows(screened: DataFrame, polygons: DataFrame, cell=None) -> Stage:
+def locate_rows(screened: DataFrame, polygons: DataFrame, cell=None, keep: Keep = in_plan) -> Stage:
     """One row per location row and block, from its codes or else its coordinates.
 
     Coordinates are used only where no block is given; their longitude is turned.
@@ -111,17 +113,17 @@ def locate_rows(screened: DataFrame, polygons: DataFrame, cell=None) -> Stage:
     )
     layer = polygons.select("NM_INDEX", "rings")
     located = locate_points(points, layer, "ddlong", "ddlat", cell=cell).withColumnRenamed("NM_INDEX", "Block")
-    split = split_rejects(located, [(reasons.LOCATION_OFF_MAP, F.col("Block").isNull())])
+    split = split_rejects(located, [(reasons.LOCATION_OFF_MAP, F.col("Block").isNull())], keep, "located_points")
     return Stage(given.unionByName(split.kept), split.rejects.drop("Block"), split.reasons)
 
 
-def clean_locations(i8: DataFrame, polygons: DataFrame, cell=None) -> Stage:
+def clean_locations(i8: DataFrame, polygons: DataFrame, cell=None, keep: Keep = in_plan) -> Stage:
     """Stacked raw location rows to one row per trip location and block.
 
     Columns: id_loc, year, ID_CODE, MODE_FX, survey, Block, total_blocks.
     """
-    screened = screen_locations(location_codes(i8))
-    located = locate_rows(screened.kept, polygons, cell)
+    screened = screen_locations(location_codes(i8), keep)
+    located = locate_rows(screened.kept, polygons, cell, keep)
     merged = consolidate_blocks(located.kept, "id_loc", ATTRIBUTES)
     kept = merged.kept.select(
         prefixed("id_loc").alias("id_loc"),
@@ -132,15 +134,11 @@ def clean_locations(i8: DataFrame, polygons: DataFrame, cell=None) -> Stage:
         "Block",
         "total_blocks",
     )
-    rejects = all_rejects(
-        screened.rejects.drop("lat_given"), located.rejects, merged.rejects
-    )
+    rejects = all_rejects(screened.rejects.drop("lat_given"), located.rejects, merged.rejects)
     return Stage(kept, rejects, tuple(reasons.LOCATION))
 
 
-def location_slots(locations: DataFrame, slots: int | None = None) -> DataFrame:
+def location_slots(locations: DataFrame) -> DataFrame:
     """The wide form: one row per trip location with numbered block columns."""
-    heads = locations.select(
-        "id_loc", "year", "ID_CODE", "MODE_FX", "survey", "total_blocks"
-    ).distinct()
-    return heads.join(blocks_to_slots(locations, "id_loc", slots=slots), "id_loc")
+    heads = ["year", "ID_CODE", "MODE_FX", "survey", "total_blocks"]
+    return blocks_to_slots(locations, "id_loc", heads)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 
 REASON = "Reason"
 
+# What to do with a frame that several outputs read: leave it in the plan, or
+# write it once and go on from the table.
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def in_plan(df: DataFrame, name: str) -> DataFrame:
+    return df
+
 
 @dataclass(frozen=True)
 class Stage:
@@ -49,9 +57,9 @@ def tag_rejects(df: DataFrame, rules: Sequence[tuple]) -> DataFrame:
     return df.withColumn(REASON, _reason(rules))
 
 
-def split_rejects(df: DataFrame, rules: Sequence[tuple]) -> Stage:
+def split_rejects(df: DataFrame, rules: Sequence[tuple], keep: Keep = in_plan, name: str = "screened") -> Stage:
     """One pass over the rows; both sides are filters of the same tagged frame."""
-    tagged = tag_rejects(df, rules)
+    tagged = keep(tag_rejects(df, rules), name)
     return Stage(
         tagged.filter(F.col(REASON).isNull()).drop(REASON),
         tagged.filter(F.col(REASON).isNotNull()),

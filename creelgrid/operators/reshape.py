@@ -74,21 +74,21 @@ def blocks_to_rows(df: DataFrame, columns: Sequence[str], value: str = "Block")
     return df.unpivot(ids, list(columns), "__slot", value).drop("__slot").filter(F.col(value).isNotNull())
 
 
-def blocks_to_slots(df: DataFrame, key: str, value: str = "Block", slots: int | None = None) -> DataFrame:
-    """Numbered block columns per key, blocks in order.
+def blocks_to_slots(df: DataFrame, key: str, heads: Sequence[str] = (), value: str = "Block") -> DataFrame:
+    """The published wide form: numbered block columns per key, blocks in order.
 
     ``df`` holds each block of a key once, so a key has at most as many rows as
-    the map has blocks. Without ``slots`` the widest key sets the width.
+    the map has blocks. Blocks beyond the published slots are listed as text in
+    ``more_blocks``. ``heads`` are columns that depend on the key.
     """
     numbered = df.select(
-        key, value, F.row_number().over(Window.partitionBy(key).orderBy(value)).alias("__n")
+        key, *heads, value, F.row_number().over(Window.partitionBy(key).orderBy(value)).alias("__n")
     )
-    if slots is None:
-        widest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        slots = max(widest, len(SLOT_NAMES))
-    names = [SLOT_NAMES[i] if i < len(SLOT_NAMES) else f"extrablock{i + 1}" for i in range(slots)]
-    wide = numbered.groupBy(key).pivot("__n", list(range(1, slots + 1))).agg(F.first(value))
-    return wide.toDF(key, *names)
+    block, n = F.col(value), F.col("__n")
+    slots = [F.max(F.when(n == i, block)).alias(name) for i, name in enumerate(SLOT_NAMES, start=1)]
+    more = F.concat_ws(";", F.array_sort(F.collect_list(F.when(n > len(SLOT_NAMES), block))))
+    wide = numbered.groupBy(key, *heads).agg(*slots, more.alias("more_blocks"))
+    return wide.withColumn("more_blocks", F.nullif(F.col("more_blocks"), F.lit("")))
 
 
 def wide_values(

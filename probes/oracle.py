@@ -31,7 +31,7 @@ def num(x: str) -> str:
 
 def rnd(x: str, digits: int) -> str:
     """Half-even rounding of the decimal digits a double prints."""
-    scaled = f"(cast(cast({x} as varchar) as decimal(30, 17)) * {10**digits})"
+    scaled = f"(cast(cast({x} as varchar) as decimal(34, 20)) * cast({10**digits} as decimal(4, 0)))"
     up = f"({scaled} - floor({scaled}) > 0.5 or ({scaled} - floor({scaled}) = 0.5 and cast(floor({scaled}) as bigint) % 2 = 1))"
     return f"(cast(floor({scaled}) + case when {up} then 1 else 0 end as double) / {10**digits}.0)"
 

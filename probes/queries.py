@@ -245,7 +245,7 @@ def dup_rate(spark, sf_dir):
 @probe(
     "join_audit",
     """with b as (select l_orderkey, count(*) as n_before from lineitem group by 1),
-            a as (select l_orderkey, year(l_shipdate) as year, count(*) as n_after from lineitem
+            a as (select l_orderkey, cast(year(l_shipdate) as int) as year, count(*) as n_after from lineitem
                   join part on l_partkey = p_partkey where p_size > 10 group by 1, 2)
        select l_orderkey, year, n_after, n_before from a join b using (l_orderkey) where n_after <> n_before""",
 )
@@ -311,7 +311,8 @@ def explode_blocks(spark, sf_dir):
     "block_slots",
     """select id_loc, year, ID_CODE, MODE_FX, survey, total_blocks, """
     + ", ".join(f"b[{i + 1}] as {n}" for i, n in enumerate(reshape.SLOT_NAMES))
-    + """ from (select id_loc, year, ID_CODE, MODE_FX, survey, total_blocks, list_sort(list(Block)) as b
+    + f""", nullif(array_to_string(b[{len(reshape.SLOT_NAMES) + 1}:], ';'), '') as more_blocks
+         from (select id_loc, year, ID_CODE, MODE_FX, survey, total_blocks, list_sort(list(Block)) as b
                from locations group by 1, 2, 3, 4, 5, 6) g""",
 )
 def block_slots(spark, sf_dir):
