@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# NULL tokens of the older files, the block sentinel, the default location.
+# NULL tokens of the older files, the block sentinel, the least length
+# of a block code, the default location.
 NULL_TOKENS = ("", ".", "NA")
 BLOCK_SENTINEL = "9999999"
+MIN_CODE = 5
 DEFAULT_LOCN = "1"
 
 # Year ranges of the grouped map layer.
@@ -30,7 +32,8 @@ def blank_to_null(c: Column | str, tokens: Iterable[str] = ("",)) -> Column:
 
 def strip_zeros(c: Column | str) -> Column:
     """``045`` to ``45``, for columns that hold numbers as text."""
-    return F.regexp_replace(col(c), r"^0+(?=\d)", "")
+    text = col(c)
+    return F.when(text.startswith("0"), F.regexp_replace(text, r"^0+(?=\d)", "")).otherwise(text)
 
 
 def sentinel_to_null(c: Column | str, sentinel: str) -> Column:
@@ -43,19 +46,19 @@ def to_number(c: Column | str) -> Column:
     return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
 
 
-def format_box(block: Column | str, box: Column | str) -> Column:
-    """``block-box``; a missing part is empty; NULL when under five characters."""
-    code = _joined(block, box)
-    return F.when(F.length(code) >= 5, code)
+def joined_box(block: Column | str, box: Column | str) -> Column:
+    """``block-box`` as it stands, a missing part being empty."""
+    return F.concat(F.coalesce(col(block), F.lit("")), F.lit("-"), F.coalesce(col(box), F.lit("")))
 
 
-def _joined(block: Column | str, box: Column | str) -> Column:
-    return F.concat(F.coalesce(col(block), F.lit("")), F.lit("-"), F.coalesce(col(box), F.lit("")))
+def is_box(code: Column | str) -> Column:
+    return F.length(col(code)) >= MIN_CODE
 
 
-def box_codes(pairs: Iterable[tuple[Column | str, Column | str]]) -> Column:
-    """The valid codes of several (block, box) pairs as one array."""
-    return F.filter(F.array(*[_joined(b, x) for b, x in pairs]), lambda code: F.length(code) >= 5)
+def format_box(block: Column | str, box: Column | str) -> Column:
+    """``block-box``; NULL when it is too short to name a block."""
+    code = joined_box(block, box)
+    return F.when(is_box(code), code)
 
 
 def default_locn(c: Column | str) -> Column:

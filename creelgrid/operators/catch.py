@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from .. import reasons
 from ..functions.scalars import (
-    NULL_TOKENS,
-    blank_to_null,
     default_locn,
     id_date,
     id_month,
@@ -37,19 +35,18 @@ DEAD_CODES = ("6",)
 KEPT_CODES = ("3", "4", "5", "7")
 
 
-def catch_rows(raw: DataFrame, *extra: str, null_tokens=NULL_TOKENS) -> DataFrame:
+def catch_rows(raw: DataFrame, *extra: str) -> DataFrame:
     """Ids, year and species code of catch rows plus the columns of one kind."""
-    locn = default_locn(blank_to_null("locn", null_tokens))
-    id_code = blank_to_null("ID_CODE", null_tokens)
+    locn = default_locn("locn")
     return raw.select(
-        prefixed(trip_location_id(id_code, locn)).alias("id"),
+        prefixed(trip_location_id("ID_CODE", locn)).alias("id"),
         locn.alias("locn"),
-        id_date(id_code).alias("date"),
-        id_month(id_code).alias("month"),
-        blank_to_null("YEAR", null_tokens).alias("year"),
-        blank_to_null("SP_CODE", null_tokens).alias("code_text"),
-        to_number(blank_to_null("SP_CODE", null_tokens)).alias("SP_CODE"),
-        *[blank_to_null(c, null_tokens).alias(c) for c in extra],
+        id_date("ID_CODE").alias("date"),
+        id_month("ID_CODE").alias("month"),
+        F.col("YEAR").alias("year"),
+        F.col("SP_CODE").alias("code_text"),
+        to_number("SP_CODE").alias("SP_CODE"),
+        *extra,
     )
 
 
@@ -126,9 +123,13 @@ def aggregate_observed(placed: DataFrame) -> DataFrame:
 
 
 def observed_catch(i3: DataFrame, locations: DataFrame, species: DataFrame, leaders: DataFrame) -> Stage:
-    """Sampler-observed catch per trip location, block and species."""
+    """Sampler-observed catch per trip location, block and species.
+
+    One shuffle by id, after the rows of a trip have collapsed to one per species,
+    serves both the window of `unrepeat_weights` and the join with the blocks.
+    """
     rows = observed_rows(i3)
-    named = keyed_join(collapse_weighed(usable(rows)), catch_species(species), ["SP_CODE"])
+    named = keyed_join(collapse_weighed(usable(rows)), catch_species(species), ["SP_CODE"]).repartition("id")
     placed = spread_over_blocks(unrepeat_weights(named), location_targets(locations, leaders), ["fish"])
     return Stage(
         aggregate_observed(book_to_leader(placed)),
@@ -185,7 +186,7 @@ def reported_catch(i2: DataFrame, locations: DataFrame, species: DataFrame, lead
     named = keyed_join(usable(rows), catch_species(species), ["SP_CODE"])
     keys = ["id", "SP_CODE", "DISPO"]
     once = drop_ambiguous(named.select(*keys, "locn", "year", "Common_Name", "fish"), keys, reasons.CATCH_AMBIGUOUS)
-    summed = collapse_reported(split_disposition(once.kept))
+    summed = collapse_reported(split_disposition(once.kept.repartition("id")))
     placed = spread_over_blocks(summed, location_targets(locations, leaders), ["alive", "dead", "kept"])
     copies = drop_ambiguous(
         flag_known(named, "id", locations, "id_loc", "__placed").filter("__placed").drop("__placed"),

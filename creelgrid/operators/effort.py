@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import reasons
-from ..functions.scalars import NULL_TOKENS, blank_to_null, or_zero, prefixed, sum_or_zero, to_number
+from ..functions.scalars import or_zero, prefixed, sum_or_zero, to_number
 from .dedupe import drop_ambiguous, same_blocks
 from .joins import flag_known, keyed_join, skew_join
 from .party import rollup_parties
@@ -22,15 +22,9 @@ def stack_effort(old: DataFrame, new: DataFrame) -> DataFrame:
     return union_by_name(old, new.withColumnsRenamed({"daysf": "DAYSF"}))
 
 
-def effort_rows(i1: DataFrame, null_tokens=NULL_TOKENS) -> DataFrame:
-    """The columns effort needs, blanks as NULL, ids unprefixed."""
-    return i1.select(
-        blank_to_null("ID_CODE", null_tokens).alias("id"),
-        blank_to_null("YEAR", null_tokens).alias("year"),
-        *[blank_to_null(c, null_tokens).alias(c) for c in TEXT],
-        blank_to_null("CNTRBTRS", null_tokens).alias("CNTRBTRS"),
-        blank_to_null("DAYSF", null_tokens).alias("DAYSF"),
-    )
+def effort_rows(i1: DataFrame) -> DataFrame:
+    """The columns effort needs, ids unprefixed."""
+    return i1.select(F.col("ID_CODE").alias("id"), F.col("YEAR").alias("year"), *TEXT, "CNTRBTRS", "DAYSF")
 
 
 def normalise_effort(rows: DataFrame) -> DataFrame:

@@ -8,19 +8,18 @@ from pyspark.sql import functions as F
 from .. import reasons
 from ..functions.scalars import (
     BLOCK_SENTINEL,
-    NULL_TOKENS,
-    blank_to_null,
-    box_codes,
+    MIN_CODE,
     default_locn,
+    is_box,
+    joined_box,
     prefixed,
-    sentinel_to_null,
     strip_zeros,
     to_number,
     trip_location_id,
 )
 from .dedupe import consolidate_blocks
 from .rejects import Keep, Stage, all_rejects, in_plan, split_rejects
-from .reshape import blocks_to_slots, union_by_name, union_strict
+from .reshape import SLOT_NAMES, blocks_to_slots, union_by_name, union_strict
 from .spatial import locate_points
 
 # The mode of private and rental boats, the year the newer files
@@ -31,6 +30,7 @@ MAX_LAT = 50
 MIN_LON = -150
 MAX_RANGE = 1
 
+CODES = SLOT_NAMES[:6]
 ATTRIBUTES = ("year", "ID_CODE", "MODE_FX", "survey", "ddlat", "ddlong", "HGSIZE", "hgsize2")
 
 def stack_locations(old_north: DataFrame, old_south: DataFrame, new: DataFrame) -> DataFrame:
@@ -39,34 +39,34 @@ def stack_locations(old_north: DataFrame, old_south: DataFrame, new: DataFrame)
     return union_by_name(old, new.withColumnsRenamed({"id_code": "ID_CODE"}))
 
 
-def location_codes(i8: DataFrame, null_tokens=NULL_TOKENS) -> DataFrame:
-    """Trip-location id and the array of ``block-box`` codes of a raw location row."""
-
-    def text(c):
-        return blank_to_null(c, null_tokens)
-
-    def box(c):
-        return strip_zeros(text(c))
+def location_codes(i8: DataFrame) -> DataFrame:
+    """Trip-location id and the six ``block-box`` texts of a raw location row."""
 
     def block(c):
-        return sentinel_to_null(box(c), BLOCK_SENTINEL) if c == "block1" else box(c)
+        stripped = strip_zeros(c)
+        return F.when(F.col(c) != BLOCK_SENTINEL, stripped) if c == "block1" else stripped
 
-    pairs = [(block(b), box(f"box{b[-1]}{x}")) for b in ("block1", "block2") for x in "abc"]
+    pairs = [(block(b), strip_zeros(f"box{b[-1]}{x}")) for b in ("block1", "block2") for x in "abc"]
     return i8.select(
-        trip_location_id(text("ID_CODE"), default_locn(text("locn"))).alias("id_loc"),
-        text("YEAR").alias("year"),
-        text("ID_CODE").alias("ID_CODE"),
-        text("MODE_FX").alias("MODE_FX"),
-        text("survey").alias("survey"),
-        to_number(text("ddlat")).alias("ddlat"),
-        to_number(text("ddlong")).alias("ddlong"),
-        text("ddlat").isNotNull().alias("lat_given"),
-        text("HGSIZE").alias("HGSIZE"),
-        text("hgsize2").alias("hgsize2"),
-        box_codes(pairs).alias("codes"),
+        trip_location_id("ID_CODE", default_locn("locn")).alias("id_loc"),
+        F.col("YEAR").alias("year"),
+        "ID_CODE",
+        "MODE_FX",
+        "survey",
+        to_number("ddlat").alias("ddlat"),
+        to_number("ddlong").alias("ddlong"),
+        F.col("ddlat").isNotNull().alias("lat_given"),
+        "HGSIZE",
+        "hgsize2",
+        *[joined_box(b, x).alias(name) for (b, x), name in zip(pairs, CODES)],
     )
 
 
+def without_block():
+    """True when not one of the six texts is a code; the longest decides."""
+    return F.greatest(*[F.length(c) for c in CODES]) < MIN_CODE
+
+
 def _wide_range(column: str):
     return F.col(column).isNotNull() & ~F.coalesce(to_number(column) <= MAX_RANGE, F.lit(False))
 
@@ -92,7 +92,7 @@ def screen_locations(coded: DataFrame, keep: Keep = in_plan) -> Stage:
         [
             (reasons.MISSING_ID, F.col("id_loc").isNull()),
             (reasons.LOCATION_NOT_BOAT, ~boat),
-            (by_coordinates, F.size("codes") == 0),
+            (by_coordinates, without_block()),
             (reasons.LOCATION_RANGE, wide),
         ],
         keep,
@@ -105,9 +105,10 @@ def locate_rows(screened: DataFrame, polygons: DataFrame, cell=None, keep: Keep
 
     Coordinates are used only where no block is given; their longitude is turned.
     """
-    given = screened.select("id_loc", *ATTRIBUTES, F.explode("codes").alias("Block"))
+    texts = screened.select("id_loc", *ATTRIBUTES, F.explode(F.array(*CODES)).alias("Block"))
+    given = texts.filter(is_box("Block"))
     points = (
-        screened.filter(F.size("codes") == 0)
+        screened.filter(without_block())
         .select("id_loc", *ATTRIBUTES)
         .withColumn("ddlong", -F.col("ddlong"))
     )
@@ -134,7 +135,7 @@ def clean_locations(i8: DataFrame, polygons: DataFrame, cell=None, keep: Keep =
         "Block",
         "total_blocks",
     )
-    rejects = all_rejects(screened.rejects.drop("lat_given"), located.rejects, merged.rejects)
+    rejects = all_rejects(screened.rejects.drop("lat_given", *CODES), located.rejects, merged.rejects)
     return Stage(kept, rejects, tuple(reasons.LOCATION))
 
 

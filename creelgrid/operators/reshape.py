@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import NULL_TOKENS, blank_to_null
+
 # Fixed value: how map layers write "no data".
 NO_DATA = -9999
 
@@ -49,6 +51,14 @@ def all_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
+def blanks_to_null(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+    """Every text column trimmed, with the NULL tokens as NULL.
+
+    Raw tables pass here once, where they are read; all other operators rely on it.
+    """
+    return df.select(*[blank_to_null(F.col(f"`{c}`"), tokens).alias(c) for c in df.columns])
+
+
 def map_columns(df: DataFrame, columns: Sequence[str], function) -> DataFrame:
     """Apply one expression to each of the columns."""
     return df.withColumns({c: function(F.col(c)) for c in columns})

@@ -23,7 +23,7 @@ from ..sources.writers import write_table
 
 @dataclass(frozen=True)
 class Survey:
-    """The raw tables, as text, and the lookups."""
+    """The raw tables as `read_raw` or `ingest` give them, and the lookups."""
 
     i1_old: DataFrame
     i1_new: DataFrame

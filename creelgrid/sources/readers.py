@@ -7,7 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import NULL_TOKENS, blank_to_null
+from ..functions.scalars import NULL_TOKENS
+from ..operators.reshape import blanks_to_null
 from ..operators.spatial import reproject
 from ..operators.species import clean_species
 
@@ -32,9 +33,7 @@ def read_raw(
     )
     if columns:
         reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
-    raw = reader.csv(path)
-    tokens = list(null_tokens)
-    return raw.select(*[blank_to_null(F.col(f"`{c}`"), tokens).alias(c) for c in raw.columns])
+    return blanks_to_null(reader.csv(path), list(null_tokens))
 
 
 def read_yearly(spark: SparkSession, folder: str, kind: str, file_format: str = "csv", with_file: bool = False) -> DataFrame:
@@ -46,8 +45,9 @@ def read_yearly(spark: SparkSession, folder: str, kind: str, file_format: str =
         ).csv(folder)
     else:
         files = reader.format(file_format).load(folder)
-    columns = [F.col(f"`{c}`").cast("string").alias(c) for c in files.columns]
-    return files.select(*columns, *([F.col("_metadata.file_name").alias("file_name")] if with_file else []))
+    named = [F.col("_metadata.file_name").alias("file_name")] if with_file else []
+    text = files.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in files.columns], *named)
+    return blanks_to_null(text)
 
 
 def read_species(spark: SparkSession, path: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from creelgrid.operators.reshape import blanks_to_null
 from creelgrid.session import stage_table
 
 SOURCES = (
@@ -152,7 +153,7 @@ def selects(dialect: str) -> dict[str, str]:
 NEEDS = {"i1": ("i1_once",), "i3": ("fish_copies",)}
 
 
-# Tables that stand for raw files: written once per session and then scanned.
+# Tables that stand for raw files: read, blanks made NULL, written once per session.
 RAW = ("i8", "i1", "i2", "i3")
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
@@ -169,7 +170,7 @@ def survey(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.sql(text)
     key = (spark.sparkContext.applicationId, str(sf_dir), name)
     if key not in _written:
-        _written[key] = stage_table(spark.sql(text), name)
+        _written[key] = stage_table(blanks_to_null(spark.sql(text)), name)
     return _written[key]
 
 

@@ -111,13 +111,11 @@ STAGES = {
         from i8_coded""",
 )
 def block_code(spark, sf_dir):
-    t = X.blank_to_null
-    tok = X.NULL_TOKENS
     i8 = survey(spark, sf_dir, "i8")
     text = i8.select(
-        X.trip_location_id(t("ID_CODE", tok), X.default_locn(t("locn", tok))).alias("id_loc"),
-        X.sentinel_to_null(X.strip_zeros(t("block1", tok)), X.BLOCK_SENTINEL).alias("block1"),
-        *[X.strip_zeros(t(c, tok)).alias(c) for c in ("block2", "box1a", "box1b", "box1c", "box2a", "box2b", "box2c")],
+        X.trip_location_id("ID_CODE", X.default_locn("locn")).alias("id_loc"),
+        X.sentinel_to_null(X.strip_zeros("block1"), X.BLOCK_SENTINEL).alias("block1"),
+        *[X.strip_zeros(c).alias(c) for c in ("block2", "box1a", "box1b", "box1c", "box2a", "box2b", "box2c")],
     )
     pairs = [(b, f"box{b[-1]}{x}") for b in ("block1", "block2") for x in "abc"]
     return text.select(
@@ -273,7 +271,7 @@ def union_by_name(spark, sf_dir):
 
 @probe(
     "stack_locations",
-    "select ID_CODE, locn, YEAR, block1, survey from i8 where cast(YEAR as int) <> 2016 or survey = 'PR1'",
+    f"select ID_CODE, {blank('locn')} as locn, YEAR, block1, survey from i8 where cast(YEAR as int) <> 2016 or survey = 'PR1'",
 )
 def stack_locations(spark, sf_dir):
     i8 = survey(spark, sf_dir, "i8")
@@ -287,7 +285,14 @@ def distinct_rows(spark, sf_dir):
     return load(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", "nullif(l_suppkey % 3, 1) as s").distinct()
 
 
-@probe("drop_all_null", "select * exclude (box2b, box2c) from i8")
+@probe(
+    "drop_all_null",
+    "select "
+    + ", ".join(f"{blank(c)} as {c}" for c in ("ID_CODE", "locn", "YEAR", "MODE_FX", "survey", "ddlat", "ddlong", "block1"))
+    + ", "
+    + ", ".join(f"{blank(c)} as {c}" for c in ("box1a", "box1b", "block2", "box2a", "HGSIZE", "hgsize2"))
+    + " from i8",
+)
 def drop_all_null(spark, sf_dir):
     return reshape.drop_all_null(survey(spark, sf_dir, "i8"))
 
@@ -329,7 +334,7 @@ def block_slots(spark, sf_dir):
 )
 def species_inner(spark, sf_dir):
     rows = survey(spark, sf_dir, "i2").select(
-        X.blank_to_null("ID_CODE").alias("id"), X.to_number(X.blank_to_null("SP_CODE", X.NULL_TOKENS)).alias("SP_CODE")
+        F.col("ID_CODE").alias("id"), X.to_number("SP_CODE").alias("SP_CODE")
     )
     lookup = species_of(spark, sf_dir).select("SP_CODE", "Common_Name", "TripType_Description")
     return joins.keyed_join(rows, lookup, ["SP_CODE"])
@@ -342,7 +347,7 @@ def species_inner(spark, sf_dir):
 )
 def species_anti(spark, sf_dir):
     rows = survey(spark, sf_dir, "i2").select(
-        X.blank_to_null("ID_CODE").alias("id"), X.to_number(X.blank_to_null("SP_CODE", X.NULL_TOKENS)).alias("SP_CODE")
+        F.col("ID_CODE").alias("id"), X.to_number("SP_CODE").alias("SP_CODE")
     )
     return joins.skew_join(rows, species_of(spark, sf_dir).select("SP_CODE").distinct(), ["SP_CODE"], "left_anti")
 
