@@ -37,19 +37,23 @@ def build_session(app: str = "creelgrid", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master without that setting may use a folder of this machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    base = tempfile.mkdtemp(prefix="creelgrid-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="creelgrid-", dir="/tmp")
+    return _local_dirs[app]
 
 
 def stage_table(df: DataFrame, name: str, base: str | None = None) -> DataFrame:

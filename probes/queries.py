@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +13,12 @@ from creelgrid.functions import scalars as X
 from creelgrid.operators import assemble as asm
 from creelgrid.operators import catch, dedupe, effort, joins, layers, locations, outliers, party, rejects, reshape
 from creelgrid.operators import spatial, species
-from creelgrid.session import configure, stage_table
+from creelgrid.session import configure, shared_dir, stage_table
+from creelgrid.sources import readers, writers
 
 from . import casting
 from .casting import load, survey
-from .oracle import albers_sql, blank, code, lit, num, rnd, sql, strip
+from .oracle import albers_sql, blank, code, lit, num, rnd, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -957,6 +959,35 @@ def year_range(spark, sf_dir):
     return years.select("k", X.year_range("y").alias("year_group"))
 
 
+# Sources and sinks, through the folder all executors share
+
+
+@probe(
+    "delimited_round_trip",
+    f"""select cast(l_orderkey as varchar) as k, {blank('mixed')} as mixed, cast(nullif(l_suppkey, 7) as varchar) as s
+        from (select l_orderkey, l_suppkey, {_MIXED} as mixed from lineitem) a""",
+)
+def delimited_round_trip(spark, sf_dir):
+    lines = load(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey as varchar(20)) as k", f"{_MIXED} as mixed", "cast(nullif(l_suppkey, 7) as varchar(20)) as s"
+    )
+    path = f"{shared_dir(spark)}/delimited-{uuid.uuid4().hex}"
+    writers.write_table(lines, path, "csv")
+    return readers.read_raw(spark, path, columns=lines.columns)
+
+
+@probe(
+    "layer_round_trip",
+    "select NM_INDEX, x0, y0, cast(case when triangle then 3 else 4 end as int) as corners from blocks_flat",
+)
+def layer_round_trip(spark, sf_dir):
+    layer = casting.blocks(spark, sf_dir).withColumn("total", F.lit(1))
+    path = f"{shared_dir(spark)}/layer-{uuid.uuid4().hex}"
+    writers.write_layer(layer, path)
+    back = readers.read_polygons(spark, path)
+    return back.selectExpr("NM_INDEX", "rings[0][0].x as x0", "rings[0][0].y as y0", "size(rings[0]) as corners")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw survey tables to the long map layer."""
     return layer_long(configure(spark), sf_dir)
