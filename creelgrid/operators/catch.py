@@ -24,9 +24,9 @@ from ..functions.scalars import (
     trip_location_id,
 )
 from .dedupe import drop_ambiguous
-from .joins import flag_known, keyed_join
+from .joins import flag_known, keyed_join, skew_join
 from .party import book_to_leader
-from .rejects import Stage, all_rejects, split_rejects
+from .rejects import Keep, Stage, all_rejects, in_plan, split_rejects
 from .species import catch_species
 
 # Disposition codes of released (alive, dead) and kept fish.
@@ -54,11 +54,13 @@ def usable(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("id").isNotNull() & F.col("SP_CODE").isNotNull())
 
 
-def catch_rejects(rows: DataFrame, locations: DataFrame, species: DataFrame) -> DataFrame:
-    """Rows without a usable code, a known species or a location, with the reason."""
+def screen_catch(
+    rows: DataFrame, locations: DataFrame, species: DataFrame, keep: Keep = in_plan, name: str = "screened_catch"
+) -> Stage:
+    """Rows with and without a usable code, a known species and a location."""
     known = flag_known(rows, "SP_CODE", species, "SP_CODE", "__species")
     placed = flag_known(known, "id", locations, "id_loc", "__placed")
-    return split_rejects(
+    stage = split_rejects(
         placed,
         [
             (reasons.CATCH_BAD_CODE, F.col("SP_CODE").isNull()),
@@ -66,13 +68,23 @@ def catch_rejects(rows: DataFrame, locations: DataFrame, species: DataFrame) ->
             (reasons.CATCH_NO_SPECIES, ~F.col("__species")),
             (reasons.NO_LOCATION, ~F.col("__placed")),
         ],
-    ).rejects.drop("__species", "__placed")
+        keep,
+        name,
+    )
+    flags = ("__species", "__placed")
+    return Stage(stage.kept.drop(*flags), stage.rejects.drop(*flags), stage.reasons)
 
 
 def location_targets(locations: DataFrame, leaders: DataFrame) -> DataFrame:
-    """Blocks of each trip location with the id its catch is booked under."""
+    """Blocks of each trip location with the id its catch is booked under.
+
+    A trip listed several times under one leader has its catch counted as often;
+    the listings become a factor here instead of copies of every catch row.
+    """
     heads = locations.select("id_loc", "ID_CODE", "Block", "total_blocks")
-    return keyed_join(heads, leaders, ["ID_CODE"], "left")
+    listed = leaders.groupBy("ID_CODE", "LEADER_ID").agg(F.count(F.lit(1)).alias("listings"))
+    joined = skew_join(heads, listed, ["ID_CODE"], "left")
+    return joined.withColumn("listings", F.coalesce("listings", F.lit(1)))
 
 
 def spread_over_blocks(catch: DataFrame, targets: DataFrame, measures: list[str]) -> DataFrame:
@@ -81,6 +93,10 @@ def spread_over_blocks(catch: DataFrame, targets: DataFrame, measures: list[str]
     return placed.withColumns({m: F.col(m) / F.col("total_blocks") for m in measures})
 
 
+def count_listings(placed: DataFrame, measures: list[str]) -> DataFrame:
+    return placed.withColumns({m: F.col(m) * F.col("listings") for m in measures}).drop("listings")
+
+
 # observed catch
 
 
@@ -122,7 +138,9 @@ def aggregate_observed(placed: DataFrame) -> DataFrame:
     )
 
 
-def observed_catch(i3: DataFrame, locations: DataFrame, species: DataFrame, leaders: DataFrame) -> Stage:
+def observed_catch(
+    i3: DataFrame, locations: DataFrame, species: DataFrame, leaders: DataFrame, keep: Keep = in_plan
+) -> Stage:
     """Sampler-observed catch per trip location, block and species.
 
     One shuffle by id, after the rows of a trip have collapsed to one per species,
@@ -132,8 +150,8 @@ def observed_catch(i3: DataFrame, locations: DataFrame, species: DataFrame, lead
     named = keyed_join(collapse_weighed(usable(rows)), catch_species(species), ["SP_CODE"]).repartition("id")
     placed = spread_over_blocks(unrepeat_weights(named), location_targets(locations, leaders), ["fish"])
     return Stage(
-        aggregate_observed(book_to_leader(placed)),
-        catch_rejects(rows, locations, species),
+        aggregate_observed(book_to_leader(count_listings(placed, ["fish", "weight", "weighed"]))),
+        screen_catch(rows, locations, species, keep, "screened_observed").rejects,
         tuple(reasons.OBSERVED),
     )
 
@@ -176,25 +194,28 @@ def aggregate_reported(placed: DataFrame) -> DataFrame:
     return sums.withColumns({"Total_Rep_Fish_Caught": alive + kept + dead, "Rep_Released": alive + dead})
 
 
-def reported_catch(i2: DataFrame, locations: DataFrame, species: DataFrame, leaders: DataFrame) -> Stage:
+def reported_catch(
+    i2: DataFrame, locations: DataFrame, species: DataFrame, leaders: DataFrame, keep: Keep = in_plan
+) -> Stage:
     """Angler-reported catch per trip location, block and species.
 
     A repeated (id, species, disposition) has no copy that can be trusted, so all
-    of them go. The rule needs no location and therefore runs before the join.
+    of them go. The rule needs no location and therefore runs before the join; what
+    is left is at most one row per species and disposition of a trip, and one
+    shuffle by id serves both the sums and the join with the blocks.
     """
-    rows = reported_rows(i2)
-    named = keyed_join(usable(rows), catch_species(species), ["SP_CODE"])
+    rows = keep(reported_rows(i2), "reported_rows")
     keys = ["id", "SP_CODE", "DISPO"]
+    named = keyed_join(usable(rows), catch_species(species), ["SP_CODE"])
     once = drop_ambiguous(named.select(*keys, "locn", "year", "Common_Name", "fish"), keys, reasons.CATCH_AMBIGUOUS)
     summed = collapse_reported(split_disposition(once.kept.repartition("id")))
     placed = spread_over_blocks(summed, location_targets(locations, leaders), ["alive", "dead", "kept"])
-    copies = drop_ambiguous(
-        flag_known(named, "id", locations, "id_loc", "__placed").filter("__placed").drop("__placed"),
-        keys,
-        reasons.CATCH_AMBIGUOUS,
-    ).rejects
+
+    screened = screen_catch(rows, locations, species, keep, "screened_reported")
+    listed = keyed_join(screened.kept, catch_species(species), ["SP_CODE"])
+    copies = drop_ambiguous(listed, keys, reasons.CATCH_AMBIGUOUS).rejects
     return Stage(
-        aggregate_reported(book_to_leader(placed)),
-        all_rejects(catch_rejects(rows, locations, species), copies),
+        aggregate_reported(book_to_leader(count_listings(placed, ["alive", "dead", "kept"]))),
+        all_rejects(screened.rejects, copies),
         tuple(reasons.REPORTED),
     )

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from .. import reasons
 from ..functions.scalars import or_zero, prefixed, sum_or_zero, to_number
 from .dedupe import drop_ambiguous, same_blocks
-from .joins import flag_known, keyed_join, skew_join
+from .joins import keyed_join, skew_join
 from .party import rollup_parties
-from .rejects import REASON, Stage, all_rejects, split_rejects
+from .rejects import REASON, Keep, Stage, all_rejects, in_plan
 from .reshape import union_by_name
 from .species import primary_target, target_species
 
@@ -66,7 +66,7 @@ def aggregate_effort(by_block: DataFrame) -> DataFrame:
     return sums.withColumn("AnglerDays", F.col("Cntrbs") * F.col("Days")).withColumnRenamed("id", "id_noloc")
 
 
-def effort(i1: DataFrame, locations: DataFrame, species: DataFrame) -> Stage:
+def effort(i1: DataFrame, locations: DataFrame, species: DataFrame, keep: Keep = in_plan) -> Stage:
     """Raw effort rows to (id_noloc, year, Block, target) rows.
 
     All rows of a trip share the blocks of the trip, so whether a (trip, block,
@@ -75,15 +75,17 @@ def effort(i1: DataFrame, locations: DataFrame, species: DataFrame) -> Stage:
     left is one row per result row, so `aggregate_effort` would sum single rows
     and its shuffle is spared.
     """
-    rows = primary_target(normalise_effort(effort_rows(i1)), species)
+    rows = keep(primary_target(normalise_effort(effort_rows(i1)), species), "effort_targets")
     parties = rollup_parties(rows)
     targets = target_species(species)
-    named = keyed_join(parties.kept, targets, [("primary", "code_text")]).withColumn("id", prefixed("id"))
-
-    positive = named.filter("CNTRBTRS > 0").select(*ROW).distinct()
-    placed = skew_join(positive, locations.select("ID_CODE").distinct(), [("id", "ID_CODE")], "left_semi")
-    single = drop_ambiguous(placed, ["id", "TripType_Description", "year"], reasons.EFFORT_AMBIGUOUS)
-    once = drop_ambiguous(positive, ["id", "TripType_Description", "year"], reasons.EFFORT_AMBIGUOUS).kept
+    named = keep(
+        keyed_join(parties.kept, targets, [("primary", "code_text")], "left").withColumn("id", prefixed("id")),
+        "effort_named",
+    )
+    known = named.filter(F.col("Common_Name").isNotNull())
+    keys = ["id", "TripType_Description", "year"]
+    positive = known.filter("CNTRBTRS > 0").select(*ROW).distinct()
+    once = drop_ambiguous(positive, keys, reasons.EFFORT_AMBIGUOUS).kept
     by_block = keyed_join(
         once.select("id", "year", "Common_Name", "TripType_Description", "DAYSF", "CNTRBTRS"),
         trip_blocks(locations),
@@ -100,26 +102,29 @@ def effort(i1: DataFrame, locations: DataFrame, species: DataFrame) -> Stage:
         F.lit(1.0).alias("Vessels"),
         (F.col("CNTRBTRS") * or_zero("DAYSF")).alias("AnglerDays"),
     )
+    rejects = all_rejects(parties.rejects, *effort_rejects(named, known, positive, locations, keys))
+    return Stage(kept, rejects, tuple(reasons.EFFORT))
+
 
-    known = flag_known(parties.kept, "primary", targets, "code_text", "__species")
-    located = flag_known(known.withColumn("__id", prefixed("id")), "__id", locations, "ID_CODE", "__placed")
-    screened = split_rejects(
-        located,
-        [
-            (reasons.EFFORT_NO_SPECIES, ~F.col("__species")),
-            (reasons.NO_LOCATION, ~F.col("__placed")),
-        ],
-    ).rejects.drop("__species", "__placed", "__id")
+def effort_rejects(
+    named: DataFrame, known: DataFrame, positive: DataFrame, locations: DataFrame, keys: list[str]
+) -> list[DataFrame]:
+    """Rows without a species, a location or contributors, and ambiguous rows.
+
+    A row without contributors is listed once per different set of blocks of its trip.
+    """
+    trips = locations.select("ID_CODE").distinct()
+    homeless = skew_join(known, trips, [("id", "ID_CODE")], "left_anti")
     idle = skew_join(
-        named.filter(~F.coalesce(F.col("CNTRBTRS") > 0, F.lit(False))),
+        known.filter(~F.coalesce(F.col("CNTRBTRS") > 0, F.lit(False))),
         trip_block_sets(locations),
         [("id", "ID_CODE")],
     ).drop("blocks")
-    idle = idle.withColumn(
-        REASON,
-        F.when(F.col("CNTRBTRS") == 0, reasons.EFFORT_NO_CONTRIBUTORS).otherwise(
-            reasons.EFFORT_BAD_CONTRIBUTORS
-        ),
-    )
-    rejects = all_rejects(parties.rejects, screened, idle, single.rejects)
-    return Stage(kept, rejects, tuple(reasons.EFFORT))
+    why = F.when(F.col("CNTRBTRS") == 0, reasons.EFFORT_NO_CONTRIBUTORS).otherwise(reasons.EFFORT_BAD_CONTRIBUTORS)
+    placed = skew_join(positive, trips, [("id", "ID_CODE")], "left_semi")
+    return [
+        named.filter(F.col("Common_Name").isNull()).withColumn(REASON, F.lit(reasons.EFFORT_NO_SPECIES)),
+        homeless.withColumn(REASON, F.lit(reasons.NO_LOCATION)),
+        idle.withColumn(REASON, why),
+        drop_ambiguous(placed, keys, reasons.EFFORT_AMBIGUOUS).rejects,
+    ]

@@ -66,11 +66,11 @@ def rebuild(spark: SparkSession, survey: Survey, out: str) -> dict[str, DataFram
     # Parties exist on the old forms only.
     leaders = leader_map(effort_rows(survey.i1_old))
     i3 = union_by_name(survey.i3_old, survey.i3_new)
-    oc = finish(observed_catch(i3, locations, survey.species, leaders), "oc")
+    oc = finish(observed_catch(i3, locations, survey.species, leaders, keep), "oc")
     i2 = union_by_name(survey.i2_old, survey.i2_new)
-    rc = finish(reported_catch(i2, locations, survey.species, leaders), "rc")
+    rc = finish(reported_catch(i2, locations, survey.species, leaders, keep), "rc")
     i1 = stack_effort(survey.i1_old, survey.i1_new)
-    oe = finish(effort(i1, locations, survey.species), "oe")
+    oe = finish(effort(i1, locations, survey.species, keep), "oe")
 
     table = finish(assemble(oc, rc, oe, survey.species, keep), "all_by_id", ["year"])
     keep(combos(tables["assembled"]), "combos")

@@ -13,6 +13,7 @@ from creelgrid.functions import scalars as X
 from creelgrid.operators import assemble as asm
 from creelgrid.operators import catch, dedupe, effort, joins, layers, locations, outliers, party, rejects, reshape
 from creelgrid.operators import spatial, species
+from creelgrid.operators.rejects import in_plan
 from creelgrid.session import configure, shared_dir, stage_table
 from creelgrid.sources import readers, writers
 
@@ -68,29 +69,29 @@ def leaders_of(spark, sf_dir):
     return party.leader_map(effort.effort_rows(survey(spark, sf_dir, "i1")))
 
 
-def location_stage(spark, sf_dir):
-    return locations.clean_locations(survey(spark, sf_dir, "i8"), casting.blocks(spark, sf_dir))
+def location_stage(spark, sf_dir, keep=in_plan):
+    return locations.clean_locations(survey(spark, sf_dir, "i8"), casting.blocks(spark, sf_dir), keep=keep)
 
 
-def observed_stage(spark, sf_dir):
+def observed_stage(spark, sf_dir, keep=in_plan):
     return catch.observed_catch(
-        survey(spark, sf_dir, "i3"), stage(spark, sf_dir, "locations"), species_of(spark, sf_dir), leaders_of(spark, sf_dir)
+        survey(spark, sf_dir, "i3"), stage(spark, sf_dir, "locations"), species_of(spark, sf_dir), leaders_of(spark, sf_dir), keep
     )
 
 
-def reported_stage(spark, sf_dir):
+def reported_stage(spark, sf_dir, keep=in_plan):
     return catch.reported_catch(
-        survey(spark, sf_dir, "i2"), stage(spark, sf_dir, "locations"), species_of(spark, sf_dir), leaders_of(spark, sf_dir)
+        survey(spark, sf_dir, "i2"), stage(spark, sf_dir, "locations"), species_of(spark, sf_dir), leaders_of(spark, sf_dir), keep
     )
 
 
-def effort_stage(spark, sf_dir):
-    return effort.effort(survey(spark, sf_dir, "i1"), stage(spark, sf_dir, "locations"), species_of(spark, sf_dir))
+def effort_stage(spark, sf_dir, keep=in_plan):
+    return effort.effort(survey(spark, sf_dir, "i1"), stage(spark, sf_dir, "locations"), species_of(spark, sf_dir), keep)
 
 
-def assemble_stage(spark, sf_dir):
+def assemble_stage(spark, sf_dir, keep=in_plan):
     return asm.assemble(
-        stage(spark, sf_dir, "oc"), stage(spark, sf_dir, "rc"), stage(spark, sf_dir, "oe"), species_of(spark, sf_dir)
+        stage(spark, sf_dir, "oc"), stage(spark, sf_dir, "rc"), stage(spark, sf_dir, "oe"), species_of(spark, sf_dir), keep
     )
 
 
@@ -585,7 +586,7 @@ def _summary_sql(step: str, known: list[str]) -> str:
 
 @probe("location_rejects", _summary_sql("location_reasons", R.LOCATION))
 def location_rejects(spark, sf_dir):
-    return location_stage(spark, sf_dir).summary()
+    return location_stage(spark, sf_dir, stage_table).summary()
 
 
 @probe(
@@ -674,7 +675,7 @@ def effort_query(spark, sf_dir):
 
 @probe("effort_rejects", _summary_sql("effort_reasons", R.EFFORT))
 def effort_rejects(spark, sf_dir):
-    return effort_stage(spark, sf_dir).summary()
+    return effort_stage(spark, sf_dir, stage_table).summary()
 
 
 @probe(
@@ -697,7 +698,7 @@ def observed_catch(spark, sf_dir):
 
 @probe("observed_rejects", _summary_sql("observed_reasons", R.OBSERVED))
 def observed_rejects(spark, sf_dir):
-    return observed_stage(spark, sf_dir).summary()
+    return observed_stage(spark, sf_dir, stage_table).summary()
 
 
 @probe(
@@ -746,7 +747,7 @@ def reported_catch(spark, sf_dir):
 
 @probe("reported_rejects", _summary_sql("reported_reasons", R.REPORTED))
 def reported_rejects(spark, sf_dir):
-    return reported_stage(spark, sf_dir).summary()
+    return reported_stage(spark, sf_dir, stage_table).summary()
 
 
 # The assembled table
@@ -917,7 +918,7 @@ def layer_long(spark, sf_dir):
     + " where t.Samples >= 3",
 )
 def layer_wide(spark, sf_dir):
-    return layers.layer_wide(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "CPUA_All")
+    return layers.layer_wide(stage_table(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "cpua_year"), "CPUA_All")
 
 
 _RANGES = [label for label, _, _ in X.YEAR_RANGES]
@@ -933,7 +934,7 @@ _RANGES = [label for label, _, _ in X.YEAR_RANGES]
     + " where t.Samples >= 3",
 )
 def layer_grouped(spark, sf_dir):
-    return layers.layer_grouped(_rates(spark, sf_dir, "Rockfish", "Bottomfish"))
+    return layers.layer_grouped(stage_table(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "cpua_year"))
 
 
 @probe(

@@ -153,6 +153,16 @@ def test_observed(spark, lookup):
     assert {r[REASON]: r["Count"] for r in stage.summary().collect()}[R.MISSING_ID] == 0
 
 
+def test_leader_listed_twice_counts_twice(spark, lookup):
+    raw = text_frame(spark, I3, [("m", "1", "2012", "8827010201", "7", "1", w, "3") for w in ("1", "2", None)])
+    spots = locations(spark, place("m", 1, "X-1"))
+    twice = leaders(spark, ("IDm", "IDt"), ("IDm", "IDt"), ("IDm", "IDs"))
+    got = catch.observed_catch(raw, spots, lookup, twice).kept
+    assert values(got, "id", "Total_Obs_Fish_Caught", "Ob_AvKWgt", "Ob_Weighed_Fish") == [
+        ("IDs1", 3.0, 1.5, 2), ("IDt1", 6.0, 1.5, 4),
+    ]
+
+
 I2 = ["ID_CODE", "locn", "YEAR", "SP_CODE", "DISPO", "NUM_FISH"]
 
 
