@@ -7,7 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# A cast to double also reads ``12d``, ``NaN``, ``Infinity`` and hexadecimal; all of
+# them need a letter other than the exponent's.
+NOT_A_DIGIT = "[A-DF-Za-df-z]"
 
 # NULL tokens of the older files, the block sentinel, the least length
 # of a block code, the default location.
@@ -43,7 +45,7 @@ def sentinel_to_null(c: Column | str, sentinel: str) -> Column:
 def to_number(c: Column | str) -> Column:
     """Text to double, NULL when it is not a plain number."""
     text = col(c)
-    return F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
+    return F.when(~text.rlike(NOT_A_DIGIT), text.try_cast("double"))
 
 
 def joined_box(block: Column | str, box: Column | str) -> Column:
