@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import YEAR_RANGES, id_month, month_label, or_zero, prefixed, ratio, round_even
+from ..functions.scalars import YEAR_RANGES, id_month, is_in, month_label, or_zero, prefixed, ratio, round_even
 from ..functions.scalars import stable_sum, sum_or_zero, year_range
 from .reshape import fill_no_data, named_first, wide_values
 from .spatial import attach_blocks
@@ -146,5 +146,16 @@ def present_years(joined: DataFrame, years: Sequence[int] = WIDE_YEARS) -> list[
     return [y for y in years if counts[str(y)] > 0]
 
 
+def rate_audit(joined: DataFrame, years: Sequence[int] = WIDE_YEARS, ranges=YEAR_RANGES) -> DataFrame:
+    """Rows whose rate is 0 for want of effort, and rows outside the mapped years."""
+    listed = is_in("year", [str(y) for y in years])
+    return joined.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("AnglerDays") == 0).alias("zero_effort"),
+        F.count_if(~listed).alias("outside_years"),
+        F.count_if(year_range("year", ranges).isNull()).alias("outside_ranges"),
+    )
+
+
 def to_layer(result: DataFrame, polygons: DataFrame) -> DataFrame:
     return attach_blocks(result, polygons)

@@ -11,14 +11,15 @@ from ..functions.scalars import (
     MIN_CODE,
     default_locn,
     is_box,
+    is_in,
     joined_box,
     prefixed,
     strip_zeros,
     to_number,
     trip_location_id,
 )
-from .dedupe import consolidate_blocks
-from .rejects import Keep, Stage, all_rejects, in_plan, split_rejects
+from .dedupe import consolidate_blocks, dup_rate, group_sizes
+from .rejects import REASON, Keep, Stage, all_rejects, in_plan, split_rejects
 from .reshape import SLOT_NAMES, blocks_to_slots, union_by_name, union_strict
 from .spatial import locate_points
 
@@ -143,3 +144,16 @@ def location_slots(locations: DataFrame) -> DataFrame:
     """The wide form: one row per trip location with numbered block columns."""
     heads = ["year", "ID_CODE", "MODE_FX", "survey", "total_blocks"]
     return blocks_to_slots(locations, "id_loc", heads)
+
+
+def range_sizes(screened: DataFrame) -> DataFrame:
+    """How often each pair of range sizes occurs among boat rows with a place."""
+    before = [reasons.MISSING_ID, reasons.LOCATION_NOT_BOAT, reasons.LOCATION_EMPTY]
+    return group_sizes(screened.filter(~is_in(REASON, before)), ["HGSIZE", "hgsize2"])
+
+
+def duplicate_rate(screened: DataFrame, located_points: DataFrame) -> DataFrame:
+    """Share of trip locations given more than once, before they are merged."""
+    given = screened.filter(F.col(REASON).isNull() & ~without_block()).select("id_loc")
+    found = located_points.filter(F.col(REASON).isNull()).select("id_loc")
+    return dup_rate(given.unionByName(found), "id_loc")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import layers
 from ..operators.species import check_species, select_species, select_trip
 from ..session import configure, stage_table
-from ..sources.writers import layer_name, write_layer
+from ..sources.writers import layer_name, write_layer, write_table
 
 
 @dataclass(frozen=True)
@@ -54,4 +54,6 @@ def map_layers(
         for kind, layer in placed.items():
             name = layer_name(choice.species, choice.trip, choice.min_samples, kind)
             write_layer(layer, f"{out}/{name}")
+        audit = layer_name(choice.species, choice.trip, choice.min_samples, "audit")
+        write_table(layers.rate_audit(yearly), f"{out}/{audit}")
     return placed

@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import reasons
 from ..operators.assemble import assemble, combos
 from ..operators.catch import observed_catch, reported_catch
-from ..operators.dedupe import dup_audit
+from ..operators.dedupe import dup_audit, group_sizes
 from ..operators.effort import effort, effort_rows, stack_effort
-from ..operators.locations import clean_locations, location_slots, stack_locations
+from ..operators.locations import clean_locations, duplicate_rate, location_slots, range_sizes, stack_locations
 from ..operators.outliers import observed_rate_outliers, reported_rate_outliers, weight_outliers
 from ..operators.party import leader_map
 from ..operators.rejects import REASON, Stage, by_year_audit
@@ -52,25 +53,32 @@ def rebuild(spark: SparkSession, survey: Survey, out: str) -> dict[str, DataFram
         tables[name] = write_table(df, f"{out}/{name}", partition_by=partition_by)
         return tables[name]
 
-    def finish(stage: Stage, name: str, partition_by=()) -> DataFrame:
+    def finish(stage: Stage, name: str, partition_by=(), by=()) -> DataFrame:
         kept = keep(stage.kept, name, partition_by)
         rejects = keep(stage.rejects, f"{name}_notused", [REASON])
         keep(Stage(kept, rejects, stage.reasons).summary(), f"{name}_notused_summary")
-        keep(by_year_audit(rejects), f"{name}_notused_by_year")
+        keep(by_year_audit(rejects, *by), f"{name}_notused_by_year")
         return kept
 
     i8 = stack_locations(survey.i8_old_north, survey.i8_old_south, survey.i8_new)
-    locations = finish(clean_locations(i8, survey.polygons, keep=keep), "location_cleaned")
+    cleaned = clean_locations(i8, survey.polygons, keep=keep)
+    locations = finish(cleaned, "location_cleaned", by=["HGSIZE", "hgsize2"])
     keep(location_slots(locations), "location_cleaned_wide")
+    keep(range_sizes(tables["screened_locations"]), "location_range_sizes")
+    keep(duplicate_rate(tables["screened_locations"], tables["located_points"]), "location_duplicate_rate")
+    keep(dup_audit(locations.drop("Block").distinct(), ["id_loc"]), "location_duplicates")
 
     # Parties exist on the old forms only.
     leaders = leader_map(effort_rows(survey.i1_old))
+    keep(dup_audit(leaders, ["ID_CODE"]), "leader_duplicates")
     i3 = union_by_name(survey.i3_old, survey.i3_new)
-    oc = finish(observed_catch(i3, locations, survey.species, leaders, keep), "oc")
+    oc = finish(observed_catch(i3, locations, survey.species, leaders, keep), "oc", by=["SP_CODE"])
     i2 = union_by_name(survey.i2_old, survey.i2_new)
-    rc = finish(reported_catch(i2, locations, survey.species, leaders, keep), "rc")
+    rc = finish(reported_catch(i2, locations, survey.species, leaders, keep), "rc", by=["SP_CODE"])
     i1 = stack_effort(survey.i1_old, survey.i1_new)
-    oe = finish(effort(i1, locations, survey.species, keep), "oe")
+    oe = finish(effort(i1, locations, survey.species, keep), "oe", by=["primary"])
+    targeted = tables["effort_named"].filter(F.col("Common_Name").isNotNull())
+    keep(group_sizes(targeted, ["TripType_Description"]), "target_types")
 
     table = finish(assemble(oc, rc, oe, survey.species, keep), "all_by_id", ["year"])
     keep(combos(tables["assembled"]), "combos")

@@ -589,6 +589,18 @@ def location_rejects(spark, sf_dir):
     return location_stage(spark, sf_dir, stage_table).summary()
 
 
+@probe(
+    "range_sizes",
+    f"""select HGSIZE, hgsize2, count(*) as n from i8_tagged
+        where Reason is null or Reason not in ({lit(R.MISSING_ID)}, {lit(R.LOCATION_NOT_BOAT)}, {lit(R.LOCATION_EMPTY)})
+        group by 1, 2""",
+)
+def range_sizes(spark, sf_dir):
+    coded = locations.location_codes(survey(spark, sf_dir, "i8"))
+    tagged = locations.screen_locations(coded)
+    return locations.range_sizes(tagged.kept.withColumn(rejects.REASON, F.lit(None).cast("string")).unionByName(tagged.rejects))
+
+
 @probe(
     "location_screens",
     "select id_loc, year, MODE_FX, ddlat, ddlong, HGSIZE, hgsize2, Reason from i8_tagged where Reason is not null",
@@ -921,6 +933,17 @@ def layer_wide(spark, sf_dir):
     return layers.layer_wide(stage_table(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "cpua_year"), "CPUA_All")
 
 
+@probe(
+    "rate_audit",
+    """select count(*) as rows, count(*) filter (where AnglerDays = 0) as zero_effort,
+              count(*) filter (where cast(year as int) not between 2006 and 2010) as outside_years,
+              count(*) filter (where cast(year as int) not between 2004 and 2020) as outside_ranges from cpua_group""",
+)
+def rate_audit(spark, sf_dir):
+    joined = _rates(spark, sf_dir, "Rockfish", "Bottomfish")
+    return layers.rate_audit(joined, range(2006, 2011), X.YEAR_RANGES[:3])
+
+
 _RANGES = [label for label, _, _ in X.YEAR_RANGES]
 
 

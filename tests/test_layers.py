@@ -77,6 +77,7 @@ def test_minimum_samples(table, groups):
     monthly = layers.layer_monthly(rates(layers.with_month(table), groups, period="month"), 2)
     assert values(monthly, "Block", "time", "Samples") == [("X", "1906", 3), ("Y", "1906", 2)]
     assert layers.present_years(joined) == [2004, 2012]
+    assert layers.rate_audit(joined, [2004], [("04", 2004, 2004)]).first() == (3, 0, 2, 2)
 
 
 def test_unknown_choices(spark, table, groups, polygons):
@@ -91,6 +92,6 @@ def test_plan_writes_layers(spark, table, groups, polygons, tmp_path):
     assert set(placed) == {"long", "CPUA_All", "GROUPS", "monthly"}
     assert placed["CPUA_All"].columns == ["Block", "Catch", "Trip", "Y2004", "Y2012", "CPUA_All", "Samples", "rings"]
     names = {p.name for p in tmp_path.iterdir()}
-    assert "Rockfish_Bottomfish_2_SAMPLES_long" in names and len(names) == 4
+    assert "Rockfish_Bottomfish_2_SAMPLES_long" in names and len(names) == 5
     back = read_polygons(spark, str(tmp_path / "Rockfish_Bottomfish_2_SAMPLES_long"), id_column="Block")
     assert values(back.select("NM_INDEX", F.size("rings"))) == [("X", 1), ("Y", 1)]

@@ -137,6 +137,10 @@ def test_rebuild(spark, tmp_path):
     assert values(tables["blocks_off_map"], "Block", "n") == [("1035-", 2)]
     counts = {r[REASON]: r["Count"] for r in tables["rc_notused_summary"].collect()}
     assert counts[R.NO_LOCATION] == 1 and sum(counts.values()) == 1
+    assert tables["location_duplicate_rate"].first() == (4, 1, 0.0)
+    assert tables["location_duplicates"].isEmpty() and tables["leader_duplicates"].isEmpty()
+    assert values(tables["target_types"]) == [("Bottomfish", 2), ("Inshore", 1)]
+    assert values(tables["location_range_sizes"], "n") == [(4,)]
     for name in ("location_cleaned_wide", "combos", "outliers_weight", "oc_duplicates", "oe_notused_by_year", "screened_locations"):
         assert (tmp_path / name).exists()
     assert values(spark.read.parquet(str(tmp_path / "oe")), "id_noloc", "AnglerDays")[0] == (f"ID{id_code(1)}", 4.0)
