@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,19 @@ WORD_BYTES = bytes(
 )
 
 
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, as ``--py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped[app] = folder = tempfile.TemporaryDirectory(prefix="creelgrid-py-")
+        package = Path(__file__).resolve().parents[1]
+        tree = shutil.copytree(package, f"{folder.name}/tree/{package.name}", ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder.name}/{package.name}", "zip", Path(tree).parent))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -37,7 +54,7 @@ def by_size(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, length in enumerate(lengths.tolist()):
             if held and held + length > most:

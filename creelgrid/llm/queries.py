@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creelgrid.session import configure
 
-from . import exact_dedup
-from .base import table
+from . import byte_bpe, decontaminate, exact_dedup, licenses, token_files
+from .base import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +19,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(build):
-        QUERIES[name] = lambda spark, sf_dir: build(configure(spark), str(sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return build(configure(spark), str(sf_dir))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return build
@@ -41,3 +47,62 @@ def query(name: str, sql: str | None = None):
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_token_files")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op4_byte_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = byte_bpe.encode_decode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query(
+    "op5_decontaminate",
+    r"""
+    with d as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+    ), b as (
+      select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+    ), windows as (
+      select distinct item_id, least(13, len(w)) as n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') as g
+      from (select item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i from b where len(w) > 0)
+    ), grams as (
+      select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') as g
+      from (select doc_id, w, n, unnest(range(1, greatest(1, len(w) - n + 2))) as i
+            from d, (select distinct n from windows))
+    ), found as (
+      select doc_id, n, i, item_id from grams join windows using (n, g)
+    ), hits as (
+      select doc_id, count(distinct p) as n_hit
+      from (select doc_id, unnest(range(i, i + n)) as p from (select distinct doc_id, n, i from found)) group by doc_id
+    ), items as (
+      select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+      from (select distinct doc_id, cast(item_id as varchar) as item_id from found) group by doc_id
+    )
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+           sha256(coalesce(names, '')) as items_sha256,
+           coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+    from d left join hits using (doc_id) left join items using (doc_id)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+@query("op7_licenses")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
