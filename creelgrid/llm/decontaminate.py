@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -85,7 +86,7 @@ def _spans(hit: bytearray) -> list[int]:
     return out
 
 
-_built: dict[int, Benchmark] = {}
+_built: dict[str, Benchmark] = {}  # the block that this worker searches now
 
 
 def contamination(
@@ -126,13 +127,13 @@ def contamination(
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
         sent = spark.sparkContext.broadcast([(r.item, r.text) for r in rows])
-        last = k == blocks - 1
+        last, name = k == blocks - 1, uuid.uuid4().hex
 
-        def run(batches, sent=sent, last=last):
-            if sent.id not in _built:
+        def run(batches, sent=sent, last=last, name=name):
+            if name not in _built:
                 _built.clear()
-                _built[sent.id] = Benchmark(sent.value, window)
-            search = _built[sent.id].search
+                _built[name] = Benchmark(sent.value, window)
+            search = _built[name].search
             for batch in batches:
                 counts, spans, names = [], [], []
                 columns = (batch.column(c).to_pylist() for c in ("text", "spans", "items"))
