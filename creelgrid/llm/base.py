@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task holds as Python strings at once; one longer text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 #: Lower-cases A-Z, keeps 0-9, a-z and every byte of a character beyond ASCII, and turns the rest into
 #: spaces: what is left between spaces are the words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``.

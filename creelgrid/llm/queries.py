@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from creelgrid.session import configure
 
-from . import byte_bpe, decontaminate, exact_dedup, licenses, token_files
-from .base import ship, table
+from . import byte_bpe, decontaminate, exact_dedup, language, licenses, near_dedup, token_files, toxicity, word_pieces
+from .base import fold, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,28 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_licenses")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op6_language")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(F.col("doc_id"), 3) == 1)
+    slices = language.train(docs.filter(~F.col("held_out")))
+    return language.predict(docs, slices, ["doc_id", "held_out"]).drop("share")
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    machine = toxicity.train(docs.filter(~held_out), table(spark, sf_dir, "labels").filter(~held_out))
+    return toxicity.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op1_word_pieces")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_pieces.count_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("op3_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))

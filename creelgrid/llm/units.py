@@ -25,23 +25,22 @@ def units(text: str) -> list[str]:
 class UnitCache:
     """What units give, as bytes; computed for many new units at a time and kept up to a bound."""
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int = 600_000, longest: int = 64):
+    def __init__(self, encode: Callable[[list[str]], Iterable[bytes]], most: int = 500_000, longest: int = 64):
         self.encode, self.most, self.longest = encode, most, longest
         self.first: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
 
     def _fill(self, known: dict[str, bytes], prefix: str, wanted: set[str]) -> dict[str, bytes]:
         """``known`` with all that is wanted, or a fresh dictionary for overlong units."""
-        new = wanted - known.keys()
+        new = [x for x in wanted if x not in known]
         if not new:
             return known
         if len(known) > self.most:
             known.clear()
-            new = wanted
-        new = list(new)
+            new = list(wanted)
         found = dict(zip(new, self.encode([prefix + x for x in new])))
         known.update((k, v) for k, v in found.items() if len(k) <= self.longest)
-        return known if max(map(len, new)) <= self.longest else {**{k: known[k] for k in wanted & known.keys()}, **found}
+        return known if max(map(len, new)) <= self.longest else {**{k: known[k] for k in wanted if k in known}, **found}
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
         """For each text the bytes of all its units, one after the other; null is the empty text."""
