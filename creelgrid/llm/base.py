@@ -39,6 +39,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The columns as c0, c1, ..., which clash with no column that an operator adds."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def named(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Columns c0, c1, ... under the names of ``like`` again."""
+    return df.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(like.columns)))
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id falls in fold 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts, F.lit(0))

@@ -98,8 +98,10 @@ def contamination(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, n_hit, items (array), spans (array), contaminated.
+    """One row per row of ``docs``: doc_id, n_words, n_hit, items (array), spans (array), contaminated,
+    and the columns ``extra`` as they are (names of the result may not be among them).
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased. A window is ``window``
     consecutive words of an item, or the whole of a shorter one; a document word inside an occurrence of a
@@ -123,7 +125,9 @@ def contamination(
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<int>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
+        *extra,
     )
+    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in extra)
     for k in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()
         sent = spark.sparkContext.broadcast([(r.item, r.text) for r in rows])
@@ -147,17 +151,17 @@ def contamination(
                     spans.append(_spans(hit))
                 text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column("text")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), text, pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string()))],
-                    ["doc_id", "text", "n_words", "spans", "items"],
+                    [batch.column("doc_id"), text, pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(names, pa.list_(pa.string())), *(batch.column(c) for c in extra)],
+                    ["doc_id", "text", "n_words", "spans", "items", *extra],
                 )
 
-        state = map_arrow(state, run, f"doc_id {kind}, text string, n_words long, spans array<int>, items array<string>")
+        state = map_arrow(state, run, f"doc_id {kind}, text string, n_words long, spans array<int>, items array<string>{carried}")
         if not last:
             state = stage_table(state, "searched")
     signed = F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x + 1))
     n_hit = F.aggregate(signed, F.lit(0).cast("long"), lambda total, x: total + x)
     state = state.withColumn("n_hit", n_hit)
-    return state.select("doc_id", "n_words", "n_hit", "items", "spans", contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+    return state.select("doc_id", "n_words", "n_hit", "items", "spans", contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"), *extra)
 
 
 def contaminated(n_hit: Column, n_words: Column) -> Column:

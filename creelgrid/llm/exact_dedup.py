@@ -72,3 +72,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.col("doc_id").eqNullSafe(F.col("best.doc_id")).alias("kept"),
         "text_sha256",
     )
+
+
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of rows that repeat an id and a text, one."""
+    found = stage_table(exact_duplicates(docs, id_col, text_col).filter("kept"), "kept")
+    keys = found.select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_digest"))
+    own = docs.withColumn("kept_digest", F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
+    same = (own[id_col].eqNullSafe(F.col("kept_id"))) & (own["kept_digest"] == keys["kept_digest"])
+    kept = own.join(keys, same, "left_semi")
+    repeated = stage_table(keys.groupBy("kept_id", "kept_digest").count().filter("count > 1"), "repeated")
+    if not repeated.isEmpty():
+        twice = (own[id_col].eqNullSafe(repeated["kept_id"])) & (own["kept_digest"] == repeated["kept_digest"])
+        kept = kept.join(repeated, twice, "left_anti").unionByName(kept.join(repeated, twice, "left_semi").dropDuplicates([id_col, "kept_digest"]))
+    return kept.select(*docs.columns)
