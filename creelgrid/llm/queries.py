@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from creelgrid.session import configure
 
-from . import byte_bpe, decontaminate, exact_dedup, language, licenses, near_dedup, token_files, toxicity, word_pieces
+from . import byte_bpe, decontaminate, exact_dedup, language, licenses, near_dedup, pitman_yor, token_files, toxicity, word_pieces
 from .base import fold, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_model")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("train", fold(F.col("doc_id"), 10) != 0)
+    return pitman_yor.score(docs).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
