@@ -44,6 +44,7 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     has = np.zeros(len(texts), bool)
     has[owner[letter]] = True
     edge = np.zeros(len(points), bool)
+    edge[:1] = True
     edge[1:] = owner[1:] != owner[:-1]
     keep = letter | edge | ~np.concatenate([[False], ~letter[:-1]]) | np.concatenate([[False], edge[:-1]])
     points, owner = np.where(letter, points, 32)[keep].astype(np.uint64), owner[keep]
