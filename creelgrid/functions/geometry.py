@@ -18,40 +18,37 @@ FALSE_EASTING = 0.0
 FALSE_NORTHING = -4000000.0
 
 
-def _ellipsoid():
-    f = 1 / INVERSE_FLATTENING
-    e2 = f * (2 - f)
-    return e2, math.sqrt(e2)
-
-
-def _m(phi):
-    e2, _ = _ellipsoid()
+def _m(phi: float, e2: float) -> float:
     return math.cos(phi) / math.sqrt(1 - e2 * math.sin(phi) ** 2)
 
 
-def _q(phi):
-    e2, e = _ellipsoid()
-    s = math.sin(phi)
+def _q(phi: float, e2: float) -> float:
+    e, s = math.sqrt(e2), math.sin(phi)
     return (1 - e2) * (s / (1 - e2 * s * s) - math.log((1 - e * s) / (1 + e * s)) / (2 * e))
 
 
-def albers_constants() -> dict[str, float]:
-    """The cone constants of the projection (Snyder, USGS PP 1395, 1987)."""
-    e2, _ = _ellipsoid()
-    p1, p2 = math.radians(PARALLEL_1), math.radians(PARALLEL_2)
-    n = (_m(p1) ** 2 - _m(p2) ** 2) / (_q(p2) - _q(p1))
-    c = _m(p1) ** 2 + n * _q(p1)
+def cone(semi_major: float, e2: float, parallel_1: float, parallel_2: float, origin: float) -> dict[str, float]:
+    """Constants of an Albers cone (Snyder, USGS PP 1395, 1987); ``e2`` is the squared eccentricity."""
+    p1, p2 = math.radians(parallel_1), math.radians(parallel_2)
+    n = (_m(p1, e2) ** 2 - _m(p2, e2) ** 2) / (_q(p2, e2) - _q(p1, e2))
+    c = _m(p1, e2) ** 2 + n * _q(p1, e2)
     return {
         "n": n,
         "c": c,
-        "rho0": SEMI_MAJOR * math.sqrt(c) / n,
-        "qp": _q(math.pi / 2),
+        "rho0": semi_major * math.sqrt(c - n * _q(math.radians(origin), e2)) / n,
+        "qp": _q(math.pi / 2, e2),
         "k2": e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040,
         "k4": 23 * e2**2 / 360 + 251 * e2**3 / 3780,
         "k6": 761 * e2**3 / 45360,
     }
 
 
+def albers_constants() -> dict[str, float]:
+    """The cone constants of the layer's projection, whose origin lies on the equator."""
+    f = 1 / INVERSE_FLATTENING
+    return cone(SEMI_MAJOR, f * (2 - f), PARALLEL_1, PARALLEL_2, 0.0)
+
+
 def albers_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
     """Inverse projection of one vertex to degrees."""
     k = albers_constants()

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from .. import reasons
 from ..functions.scalars import or_zero
 from .dedupe import group_sizes
-from .joins import full_join, keyed_join
+from .joins import full_join, merge_unique
 from .rejects import REASON, Keep, Stage, in_plan
 
+# The published columns.
 MEASURES = (
     "Ob_Weighed_Fish", "Ob_AvKWgt", "Total_Obs_Fish_Caught", "Rep_Released_Dead", "Rep_Kept",
     "Rep_Released_Alive", "Total_Rep_Fish_Caught", "Days", "Cntrbs", "Vessels", "AnglerDays",
@@ -18,20 +19,18 @@ MEASURES = (
 NAMES = (
     "Common_Name_catch", "Common_Name_effort", "TripType_Description_catch", "TripType_Description_effort",
 )
-CATCH_KEYS = ["id", "ID_CODE", "SP_CODE", "Block", "Common_Name", "year"]
+CATCH_KEYS = ["id", "ID_CODE", "SP_CODE", "Block", "Common_Name", "TripType_Description", "year"]
 
 
-def all_catch(observed: DataFrame, reported: DataFrame, species: DataFrame) -> DataFrame:
-    """Observed and reported catch side by side, with the trip type of the species."""
-    both = full_join(observed, reported, CATCH_KEYS)
-    types = species.select("SP_CODE", "Common_Name", "TripType_Description")
-    return keyed_join(both, types, ["Common_Name", "SP_CODE"], "left").drop("locn")
+def all_catch(observed: DataFrame, reported: DataFrame) -> DataFrame:
+    """Observed and reported catch side by side; both carry the trip type of their species."""
+    return merge_unique(observed.drop("locn"), reported, CATCH_KEYS)
 
 
 def with_effort(catch: DataFrame, effort: DataFrame) -> DataFrame:
-    """Full join of catch and effort on trip, block and year."""
+    """Full join of catch and effort on trip, block and year; only a year can be NULL."""
     joined = full_join(
-        catch, effort, [("ID_CODE", "id_noloc"), "Block", "year"], suffixes=("_catch", "_effort")
+        catch, effort, [("ID_CODE", "id_noloc"), "Block", "year"], suffixes=("_catch", "_effort"), null_safe=["year"]
     )
     return joined.withColumn("id", F.coalesce("id", "ID_CODE"))
 
@@ -48,15 +47,22 @@ def publish(joined: DataFrame) -> DataFrame:
     return filled.withColumn("Total_Fish_Caught", total)
 
 
-def assemble(
-    observed: DataFrame, reported: DataFrame, effort: DataFrame, species: DataFrame, keep: Keep = in_plan
-) -> Stage:
+def without_catch():
+    return F.col("Common_Name_catch").isNull() & F.col("Common_Name_effort").isNotNull()
+
+
+def effort_without_catch(joined: DataFrame) -> DataFrame:
+    """Effort that no catch belongs to: used, but worth a look."""
+    return joined.filter(without_catch()).select("id", "year", "Block", "Common_Name_effort", "TripType_Description_effort", "AnglerDays")
+
+
+def assemble(observed: DataFrame, reported: DataFrame, effort: DataFrame, keep: Keep = in_plan) -> Stage:
     """``all_by_id`` and the catch that has no effort.
 
     Both sides are filters of one full join. All inputs are already one row per
     key, so no join key repeats beyond the species and trip types of one trip.
     """
-    joined = keep(with_effort(all_catch(observed, reported, species), effort), "assembled")
+    joined = keep(with_effort(all_catch(observed, reported), effort), "assembled")
     rejects = joined.filter(without_effort()).withColumn(REASON, F.lit(reasons.CATCH_NO_EFFORT))
     return Stage(publish(joined.filter(~without_effort())), rejects, tuple(reasons.OUTPUT))
 

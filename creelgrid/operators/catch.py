@@ -124,7 +124,7 @@ def unrepeat_weights(collapsed: DataFrame) -> DataFrame:
 
 
 def aggregate_observed(placed: DataFrame) -> DataFrame:
-    keys = ["id", "ID_CODE", "locn", "year", "Block", "SP_CODE", "Common_Name"]
+    keys = ["id", "ID_CODE", "locn", "year", "Block", "SP_CODE", "Common_Name", "TripType_Description"]
     sums = placed.groupBy(*keys).agg(
         sum_or_zero("fish").alias("Total_Obs_Fish_Caught"),
         F.sum("weight").alias("__weight"),
@@ -146,7 +146,7 @@ def observed_catch(
     One shuffle by id, after the rows of a trip have collapsed to one per species,
     serves both the window of `unrepeat_weights` and the join with the blocks.
     """
-    rows = observed_rows(i3)
+    rows = keep(observed_rows(i3), "observed_rows")
     named = keyed_join(collapse_weighed(usable(rows)), catch_species(species), ["SP_CODE"]).repartition("id")
     placed = spread_over_blocks(unrepeat_weights(named), location_targets(locations, leaders), ["fish"])
     return Stage(
@@ -179,12 +179,12 @@ def _plain(column: str):
 
 def collapse_reported(rows: DataFrame) -> DataFrame:
     """Fish by disposition per trip location, year and species."""
-    keys = ["id", "locn", "year", "SP_CODE", "Common_Name"]
+    keys = ["id", "locn", "year", "SP_CODE", "Common_Name", "TripType_Description"]
     return rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("alive", "dead", "kept")])
 
 
 def aggregate_reported(placed: DataFrame) -> DataFrame:
-    keys = ["id", "ID_CODE", "year", "Block", "SP_CODE", "Common_Name"]
+    keys = ["id", "ID_CODE", "year", "Block", "SP_CODE", "Common_Name", "TripType_Description"]
     sums = placed.groupBy(*keys).agg(
         sum_or_zero("alive").alias("Rep_Released_Alive"),
         sum_or_zero("dead").alias("Rep_Released_Dead"),
@@ -207,12 +207,12 @@ def reported_catch(
     rows = keep(reported_rows(i2), "reported_rows")
     keys = ["id", "SP_CODE", "DISPO"]
     named = keyed_join(usable(rows), catch_species(species), ["SP_CODE"])
-    once = drop_ambiguous(named.select(*keys, "locn", "year", "Common_Name", "fish"), keys, reasons.CATCH_AMBIGUOUS)
+    once = drop_ambiguous(named.select(*keys, "locn", "year", "Common_Name", "TripType_Description", "fish"), keys, reasons.CATCH_AMBIGUOUS)
     summed = collapse_reported(split_disposition(once.kept.repartition("id")))
     placed = spread_over_blocks(summed, location_targets(locations, leaders), ["alive", "dead", "kept"])
 
     screened = screen_catch(rows, locations, species, keep, "screened_reported")
-    listed = keyed_join(screened.kept, catch_species(species), ["SP_CODE"])
+    listed = keyed_join(screened.kept, catch_species(species).drop("TripType_Description"), ["SP_CODE"])
     copies = drop_ambiguous(listed, keys, reasons.CATCH_AMBIGUOUS).rejects
     return Stage(
         aggregate_reported(book_to_leader(count_listings(placed, ["alive", "dead", "kept"]))),

@@ -89,11 +89,5 @@ def consolidate_blocks(
 
 
 def same_blocks(df: DataFrame, key: str, block: str = "Block") -> DataFrame:
-    """A fingerprint per key that is equal for equal sets of blocks."""
-    code = F.xxhash64(block)
-    other = F.xxhash64(F.reverse(F.col(block)), F.lit(1))
-    return df.select(key, block).distinct().groupBy(key).agg(
-        F.concat_ws(
-            ":", F.count(F.lit(1)), F.min(block), F.max(block), F.bit_xor(code), F.bit_xor(other)
-        ).alias("blocks")
-    )
+    """The sorted set of blocks per key, which is as large as one location's blocks."""
+    return df.groupBy(key).agg(F.array_sort(F.collect_set(block)).alias("blocks"))

@@ -19,8 +19,6 @@ def _same(a: Column, b: Column, null_safe: bool) -> Column:
     return a.eqNullSafe(b) if null_safe else a == b
 
 
-
-
 def skew_join(
     left: DataFrame, right: DataFrame, on: Sequence[Key], how: str = "inner", null_safe: bool = False
 ) -> DataFrame:
@@ -58,11 +56,17 @@ def keyed_join(
 
 
 def full_join(
-    left: DataFrame, right: DataFrame, on: Sequence[Key], suffixes: tuple[str, str] = ("_x", "_y")
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[Key],
+    suffixes: tuple[str, str] = ("_x", "_y"),
+    null_safe: Sequence[str] | None = None,
 ) -> DataFrame:
     """Full outer join in which NULL keys match; keys are coalesced under the left name.
 
-    Other columns that exist on both sides get the suffixes.
+    ``null_safe`` names the left keys that can be NULL, if not all. Other columns that
+    exist on both sides get the suffixes. A full join cannot be split by AQE: both
+    inputs should be unique per key, as `dup_audit` tells.
     """
     pairs = _pairs(on)
     lk, rk = [l for l, _ in pairs], [r for _, r in pairs]
@@ -72,7 +76,9 @@ def full_join(
     rest_left = [c for c in left.columns if c not in lk]
     rest_right = [c for c in right.columns if c not in rk]
     right = right.withColumnsRenamed({r: f"__r{i}" for i, r in enumerate(rk)})
-    condition = reduce(Column.__and__, [left[l].eqNullSafe(right[f"__r{i}"]) for i, l in enumerate(lk)])
+    condition = reduce(Column.__and__, [
+        _same(left[l], right[f"__r{i}"], null_safe is None or l in null_safe) for i, l in enumerate(lk)
+    ])
     return left.join(right, condition, "full").select(
         *[F.coalesce(left[l], right[f"__r{i}"]).alias(l) for i, l in enumerate(lk)],
         *rest_left,
@@ -80,6 +86,15 @@ def full_join(
     )
 
 
+def merge_unique(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Full join of two frames that have a row per key, in one shuffle: stacked and grouped.
+
+    NULL keys match. The other columns must differ in name.
+    """
+    rest = [c for c in (*left.columns, *right.columns) if c not in on]
+    return left.unionByName(right, allowMissingColumns=True).groupBy(*on).agg(*[F.max(c).alias(c) for c in rest])
+
+
 def natural_left_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join on every shared column, NULL matching NULL."""
     shared = [c for c in left.columns if c in right.columns]

@@ -26,17 +26,22 @@ from .spatial import locate_points
 # The mode of private and rental boats, the year the newer files
 # replace, and the limits of a usable coordinate.
 BOAT_MODE = 7
-REPLACED_YEAR = 2016
+REPLACED_YEAR = "2016"
 MAX_LAT = 50
 MIN_LON = -150
 MAX_RANGE = 1
 
 CODES = SLOT_NAMES[:6]
 ATTRIBUTES = ("year", "ID_CODE", "MODE_FX", "survey", "ddlat", "ddlong", "HGSIZE", "hgsize2")
+STACK_REASON = "stack_reason"
+
 
 def stack_locations(old_north: DataFrame, old_south: DataFrame, new: DataFrame) -> DataFrame:
-    """All regions and years; the old files leave the year the new ones cover."""
-    old = union_strict(old_north, old_south).filter(to_number("YEAR") != REPLACED_YEAR)
+    """All regions and years. Old rows of the year the new files cover, and old rows without
+    a year, say so in ``stack_reason`` and become rejects; other texts in YEAR stay."""
+    year = F.col("YEAR")
+    why = F.when(year.isNull(), reasons.LOCATION_NO_YEAR).when(year == REPLACED_YEAR, reasons.LOCATION_REPLACED)
+    old = union_strict(old_north, old_south).withColumn(STACK_REASON, why)
     return union_by_name(old, new.withColumnsRenamed({"id_code": "ID_CODE"}))
 
 
@@ -48,7 +53,9 @@ def location_codes(i8: DataFrame) -> DataFrame:
         return F.when(F.col(c) != BLOCK_SENTINEL, stripped) if c == "block1" else stripped
 
     pairs = [(block(b), strip_zeros(f"box{b[-1]}{x}")) for b in ("block1", "block2") for x in "abc"]
+    stacked = F.col(STACK_REASON) if STACK_REASON in i8.columns else F.lit(None).cast("string")
     return i8.select(
+        stacked.alias(STACK_REASON),
         trip_location_id("ID_CODE", default_locn("locn")).alias("id_loc"),
         F.col("YEAR").alias("year"),
         "ID_CODE",
@@ -91,6 +98,7 @@ def screen_locations(coded: DataFrame, keep: Keep = in_plan) -> Stage:
     return split_rejects(
         coded,
         [
+            *[(r, F.col(STACK_REASON) == r) for r in (reasons.LOCATION_REPLACED, reasons.LOCATION_NO_YEAR)],
             (reasons.MISSING_ID, F.col("id_loc").isNull()),
             (reasons.LOCATION_NOT_BOAT, ~boat),
             (by_coordinates, without_block()),
@@ -136,7 +144,7 @@ def clean_locations(i8: DataFrame, polygons: DataFrame, cell=None, keep: Keep =
         "Block",
         "total_blocks",
     )
-    rejects = all_rejects(screened.rejects.drop("lat_given", *CODES), located.rejects, merged.rejects)
+    rejects = all_rejects(screened.rejects.drop("lat_given", STACK_REASON, *CODES), located.rejects, merged.rejects)
     return Stage(kept, rejects, tuple(reasons.LOCATION))
 
 
@@ -148,7 +156,10 @@ def location_slots(locations: DataFrame) -> DataFrame:
 
 def range_sizes(screened: DataFrame) -> DataFrame:
     """How often each pair of range sizes occurs among boat rows with a place."""
-    before = [reasons.MISSING_ID, reasons.LOCATION_NOT_BOAT, reasons.LOCATION_EMPTY]
+    before = [
+        reasons.LOCATION_REPLACED, reasons.LOCATION_NO_YEAR, reasons.MISSING_ID, reasons.LOCATION_NOT_BOAT,
+        reasons.LOCATION_EMPTY,
+    ]
     return group_sizes(screened.filter(~is_in(REASON, before)), ["HGSIZE", "hgsize2"])
 
 

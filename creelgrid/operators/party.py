@@ -45,10 +45,9 @@ def rollup_parties(i1: DataFrame) -> Stage:
     roled = party_role(i1)
     followers = roled.filter("role = 'follower'")
     sums = followers.groupBy("LEADER_ID").agg(F.sum("CNTRBTRS").alias("__led"))
-    leaders = roled.filter("role = 'leader'").drop("LEADER_ID")
-    led = add_led(leaders, sums)
-    kept = roled.filter("role = 'other'").drop("LEADER_ID").unionByName(led)
-    alone = skew_join(followers, leaders.select("id").distinct(), [("LEADER_ID", "id")], "left_anti")
+    kept = add_led(roled.filter("role in ('other', 'leader')").drop("LEADER_ID"), sums)
+    leaders = roled.filter("role = 'leader'").select("id").distinct()
+    alone = skew_join(followers, leaders, [("LEADER_ID", "id")], "left_anti")
     rejects = all_rejects(
         roled.filter("role = 'unplaced'").withColumn(REASON, F.lit(reasons.EFFORT_UNPLACED)),
         alone.withColumn(REASON, F.lit(reasons.EFFORT_FOLLOWER_ALONE)),
@@ -60,11 +59,12 @@ def rollup_parties(i1: DataFrame) -> Stage:
     )
 
 
-def add_led(leaders: DataFrame, sums: DataFrame) -> DataFrame:
-    """Leaders with their own plus the followers' contributors, NULLs skipped."""
-    joined = skew_join(leaders, sums, [("id", "LEADER_ID")], "left")
+def add_led(rows: DataFrame, sums: DataFrame) -> DataFrame:
+    """Leaders with their own plus the followers' contributors, NULLs skipped; other rows as they are."""
+    own = sums.withColumn("__role", F.lit("leader"))
+    joined = skew_join(rows, own, [("role", "__role"), ("id", "LEADER_ID")], "left")
     total = F.coalesce("CNTRBTRS", F.lit(0.0)) + F.coalesce("__led", F.lit(0.0))
-    return joined.withColumn("CNTRBTRS", total).drop("__led")
+    return joined.withColumn("CNTRBTRS", F.when(F.col("role") == "leader", total).otherwise(F.col("CNTRBTRS"))).drop("__led")
 
 
 def leader_map(i1: DataFrame) -> DataFrame:

@@ -39,10 +39,27 @@ def with_edges(polygons: DataFrame, block: str = "NM_INDEX") -> DataFrame:
     )
 
 
-def grid_cell(edges: DataFrame) -> tuple[float, float]:
-    """Cell width and height: the mean bounding box, so cells stay as many as polygons."""
-    row = edges.agg(F.avg(F.expr("xmax - xmin")).alias("w"), F.avg(F.expr("ymax - ymin")).alias("h")).first()
-    return row["w"] or 1.0, row["h"] or 1.0
+# A grid has cells four times as wide as the next finer one.
+GRID_STEP = 4
+
+
+def grid_level(base: float):
+    """The grid of a polygon: its bounding box is half a cell to two cells wide there, or smaller on the finest."""
+    extent = F.greatest(F.expr("xmax - xmin"), F.expr("ymax - ymin"))
+    steps = F.ceil(F.log(float(GRID_STEP), F.greatest(extent, F.lit(1e-12)) / (2 * base)))
+    return F.greatest(steps, F.lit(-FINEST)).cast("int")
+
+
+# How many steps finer than the median polygon the finest grid is.
+FINEST = 8
+
+
+def grid_cells(edges: DataFrame) -> dict[int, tuple[float, float]]:
+    """Cell width and height of every grid that a polygon needs, from one aggregate row."""
+    extent = F.greatest(F.expr("xmax - xmin"), F.expr("ymax - ymin"))
+    base = edges.agg(F.percentile_approx(extent, 0.5).alias("base")).first()["base"] or 1.0
+    levels = edges.agg(F.collect_set(grid_level(base)).alias("levels")).first()["levels"]
+    return {level: (base * GRID_STEP**level,) * 2 for level in sorted(levels)}
 
 
 def cover(edges: DataFrame, cell: tuple[float, float]) -> DataFrame:
@@ -57,6 +74,16 @@ def cover(edges: DataFrame, cell: tuple[float, float]) -> DataFrame:
     )
 
 
+def cover_levels(edges: DataFrame, cells: dict[int, tuple[float, float]]) -> dict[int, DataFrame]:
+    """The cover of each grid by the polygons of its size: at most nine cells a polygon, whatever the largest is."""
+    finest = min(cells, default=0)
+    base = next((width / GRID_STEP**level for level, (width, _) in cells.items()), 1.0)
+    return {
+        level: cover(edges.filter(F.greatest(grid_level(base), F.lit(finest)) == level), cell)
+        for level, cell in cells.items()
+    }
+
+
 def locate_points(
     points: DataFrame,
     polygons: DataFrame,
@@ -67,34 +94,62 @@ def locate_points(
 ) -> DataFrame:
     """Left join of points to every polygon they touch; the outline counts.
 
-    A point lies in one grid cell and a polygon is listed once per cell, so each
-    pair is tested at most once and the test can be part of the outer join: points
-    without a polygon stay, with a NULL block. A crowded cell is a skewed equi-join
-    key, which AQE splits; a small polygon layer is broadcast by Spark's size check.
+    Polygons lie on grids by their size, so one large polygon does not cut a layer
+    of small ones into small cells. A point lies in one cell of a grid and a polygon
+    is listed once per cell, so each pair is tested at most once. With a single grid
+    the test is part of the outer join; with several, the points go through one
+    outer join per grid, with the polygons of a cell as one row, and their blocks are
+    listed at the end. Points without a polygon stay, with a NULL block. A crowded
+    cell is a skewed key, which AQE splits; small layers are broadcast by Spark's
+    size check. ``cell`` asks for one grid of that size.
     """
     edges = with_edges(polygons, block)
-    cell = cell or grid_cell(edges)
-    covered = cover(edges, cell)
-    located = points.withColumns({"__cx": F.floor(F.col(lon) / cell[0]), "__cy": F.floor(F.col(lat) / cell[1])})
+    cells = {0: cell} if cell else grid_cells(edges)
+    if len(cells) > 1:
+        return _locate_by_levels(points, cover_levels(edges, cells), cells, lon, lat, block)
+    size = next(iter(cells.values()), (1.0, 1.0))
+    covered = cover(edges, size)
+    located = points.withColumns({"__cx": F.floor(F.col(lon) / size[0]), "__cy": F.floor(F.col(lat) / size[1])})
     px, py = located[lon], located[lat]
-    inside_box = px.between(covered["xmin"], covered["xmax"]) & py.between(covered["ymin"], covered["ymax"])
-    condition = (
-        (located["__cx"] == covered["cx"])
-        & (located["__cy"] == covered["cy"])
-        & inside_box
-        & intersects(covered["edges"], px, py)
-    )
+    condition = (located["__cx"] == covered["cx"]) & (located["__cy"] == covered["cy"]) & _holds(covered, px, py)
     return located.join(covered, condition, "left").drop(
         "__cx", "__cy", "cx", "cy", "edges", "xmin", "xmax", "ymin", "ymax"
     )
 
 
+def _holds(polygon, px, py):
+    in_box = px.between(polygon["xmin"], polygon["xmax"]) & py.between(polygon["ymin"], polygon["ymax"])
+    return in_box & intersects(polygon["edges"], px, py)
+
+
+def _locate_by_levels(points, covers, cells, lon: str, lat: str, block: str) -> DataFrame:
+    located, px, py = points, F.col(lon), F.col(lat)
+    found = []
+    for level, covered in covers.items():
+        width, height = cells[level]
+        name = f"__found_{len(found)}"
+        polygon = F.struct(block, "edges", "xmin", "xmax", "ymin", "ymax")
+        by_cell = covered.groupBy("cx", "cy").agg(F.collect_list(polygon).alias("__here"))
+        located = located.withColumns({"__cx": F.floor(px / width), "__cy": F.floor(py / height)})
+        located = skew_join(located, by_cell, [("__cx", "cx"), ("__cy", "cy")], "left")
+        held = F.transform(F.filter("__here", lambda p: _holds(p, px, py)), lambda p: p[block])
+        located = located.withColumn(name, F.coalesce(held, F.array().cast("array<string>"))).drop("__here", "__cx", "__cy")
+        found.append(name)
+    return located.withColumn(block, F.explode_outer(F.concat(*found))).drop(*found)
+
+
 def attach_blocks(results: DataFrame, polygons: DataFrame, block: str = "Block") -> DataFrame:
     """Results with their polygon; results off the map and blocks without results drop out."""
     layer = polygons.select(F.col("NM_INDEX").alias(block), "rings")
     return results.join(layer, block)
 
 
+def rows_off_map(table: DataFrame, polygons: DataFrame, reason: str) -> DataFrame:
+    """The rows whose block is not on the map."""
+    known = polygons.select("NM_INDEX").distinct()
+    return skew_join(table, known, [("Block", "NM_INDEX")], "left_anti", null_safe=True).withColumn(REASON, F.lit(reason))
+
+
 def unmatched_blocks(table: DataFrame, polygons: DataFrame, reason: str) -> DataFrame:
     """Blocks that are not on the map, with their number of rows.
 

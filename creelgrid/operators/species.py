@@ -27,7 +27,7 @@ def clean_species(raw: DataFrame) -> DataFrame:
 
 
 def catch_species(species: DataFrame) -> DataFrame:
-    return species.select("SP_CODE", "Common_Name")
+    return species.select("SP_CODE", "Common_Name", "TripType_Description")
 
 
 def target_species(species: DataFrame) -> DataFrame:

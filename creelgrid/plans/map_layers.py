@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.scalars import YEAR_RANGES
 from ..operators import layers
 from ..operators.species import check_species, select_species, select_trip
 from ..session import configure, stage_table
@@ -14,12 +15,15 @@ from ..sources.writers import layer_name, write_layer, write_table
 
 @dataclass(frozen=True)
 class Choice:
-    """What to map."""
+    """What to map. ``years`` are the columns of the wide layer, as far as they occur, and
+    ``ranges`` (label, first, last year) those of the grouped one; the audit counts rows outside."""
 
     species: str
     trip: str = "All"
     min_samples: int = layers.MIN_SAMPLES
     metric: str = "CPUA_All"
+    years: tuple[int, ...] = layers.WIDE_YEARS
+    ranges: tuple[tuple[str, int, int], ...] = YEAR_RANGES
 
 
 def map_layers(
@@ -33,20 +37,23 @@ def map_layers(
     """Long, wide, grouped and monthly layer; written under ``out`` if given.
 
     The yearly rates feed three layers and are written once. They have one row
-    per block and year, whatever the number of trips.
+    per block and year, whatever the number of trips. Without ``out`` they are a
+    stage table, which `drop_stages` removes when the layers are no longer needed.
     """
     configure(spark)
     check_species(table, choice.species, groups)
     trips = select_trip(layers.with_month(table), choice.trip)
     caught = select_trip(select_species(layers.with_month(table), choice.species, groups), choice.trip)
-    yearly = stage_table(layers.cpua(caught, trips, choice.species), "cpua_year")
+    rates = layers.cpua(caught, trips, choice.species)
+    name = layer_name(choice.species, choice.trip, choice.min_samples, "cpua_year")
+    yearly = write_table(rates, f"{out}/{name}") if out else stage_table(rates, "cpua_year")
     monthly = layers.cpua(caught, trips, choice.species, "month")
     results = {
         "long": layers.layer_long(yearly, choice.min_samples),
         choice.metric: layers.layer_wide(
-            yearly, choice.metric, choice.min_samples, layers.present_years(yearly)
+            yearly, choice.metric, choice.min_samples, layers.present_years(yearly, choice.years)
         ),
-        "GROUPS": layers.layer_grouped(yearly, choice.min_samples),
+        "GROUPS": layers.layer_grouped(yearly, choice.min_samples, choice.ranges),
         "monthly": layers.layer_monthly(monthly, choice.min_samples),
     }
     placed = {kind: layers.to_layer(result, polygons) for kind, result in results.items()}
@@ -55,5 +62,5 @@ def map_layers(
             name = layer_name(choice.species, choice.trip, choice.min_samples, kind)
             write_layer(layer, f"{out}/{name}")
         audit = layer_name(choice.species, choice.trip, choice.min_samples, "audit")
-        write_table(layers.rate_audit(yearly), f"{out}/{audit}")
+        write_table(layers.rate_audit(yearly, choice.years, choice.ranges), f"{out}/{audit}")
     return placed

@@ -19,13 +19,15 @@ BLOCK_OFF_MAP = "Block is not in reference shapefile"
 
 # Reasons of our own, for rows that would otherwise vanish without a trace.
 MISSING_ID = "Trip id is missing"
+LOCATION_REPLACED = "Old row of the year that the newer files replace"
+LOCATION_NO_YEAR = "Old row without a year"
 LOCATION_UNUSABLE_COORDS = "Coordinate is on the limit or not a number"
 EFFORT_FOLLOWER_ALONE = "Follower without a leader row"
 EFFORT_BAD_CONTRIBUTORS = "Contributors are not a positive number"
 EFFORT_AMBIGUOUS = "Several effort rows for one trip, trip type and year"
 
 LOCATION = [
-    MISSING_ID, LOCATION_NOT_BOAT, LOCATION_EMPTY, LOCATION_RANGE, LOCATION_BAD_COORDS,
+    LOCATION_REPLACED, LOCATION_NO_YEAR, MISSING_ID, LOCATION_NOT_BOAT, LOCATION_EMPTY, LOCATION_RANGE, LOCATION_BAD_COORDS,
     LOCATION_UNUSABLE_COORDS, LOCATION_OFF_MAP, LOCATION_CONFLICT,
 ]
 OBSERVED = [MISSING_ID, CATCH_BAD_CODE, CATCH_NO_SPECIES, NO_LOCATION]

@@ -38,6 +38,7 @@ def build_session(app: str = "creelgrid", master: str | None = None, **conf: str
 
 
 _local_dirs: dict[str, str] = {}
+_stages: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -65,4 +66,20 @@ def stage_table(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{base or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _stages.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession, *tables: DataFrame) -> int:
+    """Remove the folders of these stage tables, or of all the application wrote, and count them.
+
+    Frames that read them are unusable afterwards: for the end of a run.
+    """
+    own = _stages.get(spark.sparkContext.applicationId, [])
+    files = [f for t in tables for f in t.inputFiles()]
+    gone = [p for p in own if not tables or any(p.rsplit("/", 1)[1] in f for f in files)]
+    for path in gone:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        own.remove(path)
+    return len(gone)

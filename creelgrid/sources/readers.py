@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import NULL_TOKENS
-from ..operators.reshape import blanks_to_null
+from ..operators.reshape import blanks_to_null, union_by_name, union_strict
 from ..operators.spatial import reproject
 from ..operators.species import clean_species
 
@@ -16,38 +16,94 @@ from ..operators.species import clean_species
 KINDS = ("i1", "i2", "i3", "i8")
 
 
+# Quotes inside a quoted text are doubled.
+STANDARD = {
+    "header": True, "mode": "PERMISSIVE", "escape": '"', "ignoreLeadingWhiteSpace": True,
+    "ignoreTrailingWhiteSpace": True,
+}
+
+
+def _text_schema(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` string" for c in columns)
+
+
+def _headers(spark: SparkSession, path: str | Sequence[str], kind: str = "", **options) -> dict[tuple[str, ...], list[str]]:
+    """Files by header. Only names of files come to the driver, and of each file its first line is read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", f"*{kind}*" if kind else "*")
+    files = sorted(r.path for r in listed.load(path).select("path").collect())
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        out.setdefault(tuple(spark.read.options(**{**STANDARD, **options}).csv(file).columns), []).append(file)
+    return out
+
+
 def read_raw(
     spark: SparkSession,
     path: str | Sequence[str],
     null_tokens: Iterable[str] = NULL_TOKENS,
     columns: Sequence[str] | None = None,
+    multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
     """Delimited text with a header, every column as text, NULL tokens as NULL.
 
-    Short rows are padded. Nothing is inferred: ids would lose digits. With
-    ``columns`` the header is not read from the files.
+    Files with different headers are read each by its own and stacked by column
+    name. Short rows are padded, surplus cells are lost (see `malformed_rows`).
+    Nothing is inferred: ids would lose digits. With ``columns`` the header is not
+    read from the files. ``multi_line`` is for quoted texts with line breaks; a
+    file is then read by one task, whatever its size.
     """
-    reader = spark.read.options(
-        header=True, mode="PERMISSIVE", ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True, **options
-    )
+    options = {**STANDARD, "multiLine": multi_line, **options}
+
+    def read(names: Sequence[str], files) -> DataFrame:
+        return spark.read.options(**options).schema(_text_schema(names)).csv(files)
+
     if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
-    return blanks_to_null(reader.csv(path), list(null_tokens))
+        return blanks_to_null(read(columns, path), list(null_tokens))
+    groups = _headers(spark, path, **options)
+    if not groups:
+        raise ValueError(f"no files in {path}")
+    return blanks_to_null(union_by_name(*(read(h, files) for h, files in groups.items())), list(null_tokens))
 
 
-def read_yearly(spark: SparkSession, folder: str, kind: str, file_format: str = "csv", with_file: bool = False) -> DataFrame:
-    """All files of a folder whose name contains the kind, in one scan."""
-    reader = spark.read.option("pathGlobFilter", f"*{kind}*")
-    if file_format == "csv":
-        files = reader.options(
-            header=True, enforceSchema=False, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True
-        ).csv(folder)
-    else:
-        files = reader.format(file_format).load(folder)
+def read_yearly(
+    spark: SparkSession, folder: str, kind: str, file_format: str = "csv", with_file: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """All files of a folder whose name contains the kind, stacked by column name.
+
+    The files must have the same columns, in any order.
+    """
     named = [F.col("_metadata.file_name").alias("file_name")] if with_file else []
-    text = files.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in files.columns], *named)
-    return blanks_to_null(text)
+
+    def text(files: DataFrame) -> DataFrame:
+        return files.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in files.columns], *named)
+
+    if file_format != "csv":
+        return blanks_to_null(text(spark.read.option("pathGlobFilter", f"*{kind}*").format(file_format).load(folder)))
+    groups = _headers(spark, folder, kind, multiLine=multi_line)
+    if not groups:
+        raise ValueError(f"no files of kind {kind} in {folder}")
+    first = next(iter(groups))
+    for header, files in groups.items():
+        if set(header) != set(first):
+            odd = sorted(set(header) ^ set(first))
+            raise ValueError(f"{files[0]} differs from {groups[first][0]} in columns {odd}")
+    reader = spark.read.options(**STANDARD, multiLine=multi_line)
+    return blanks_to_null(union_strict(*(text(reader.schema(_text_schema(h)).csv(f)) for h, f in groups.items())))
+
+
+def malformed_rows(spark: SparkSession, path: str | Sequence[str], kind: str = "", **options: str) -> DataFrame:
+    """(file_name, rows, malformed) per file: malformed rows have more or fewer cells than the header."""
+    corrupt = "__corrupt"
+    counts = []
+    for header, files in _headers(spark, path, kind, **options).items():
+        reader = spark.read.options(**{**STANDARD, **options, "columnNameOfCorruptRecord": corrupt})
+        rows = reader.schema(f"{_text_schema(header)}, {corrupt} string").csv(files)
+        # Every cell is looked at too: Spark refuses a scan of the corrupt column alone. No text is a lone NUL.
+        bad = F.col(corrupt).isNotNull() | (F.concat_ws("", *[f"`{c}`" for c in header]) == "\x00")
+        parsed = rows.select("_metadata.file_name", bad.alias("bad"))
+        counts.append(parsed.groupBy("file_name").agg(F.count("*").alias("rows"), F.count_if("bad").alias("malformed")))
+    return union_strict(*counts)
 
 
 def read_species(spark: SparkSession, path: str) -> DataFrame:
@@ -68,7 +124,8 @@ def read_polygons(
 
     ``geojsonl`` holds one GeoJSON feature per line; ``parquet`` a table with
     ``rings``. ``projected`` layers are turned from the layer's projection. The
-    rings of several parts go into one list, as the even-odd rule wants them.
+    rings of several parts go into one list, as the even-odd rule wants them, and
+    end before the vertex they began with.
     """
     if file_format == "parquet":
         layer = spark.read.parquet(path).select(F.col(id_column).alias("NM_INDEX"), "rings")
@@ -84,9 +141,13 @@ def read_polygons(
         def vertex(p):
             return F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
 
+        def open_ring(ring):
+            closed = (F.size(ring) > 1) & (F.element_at(ring, -1) == F.get(ring, F.lit(0)))
+            return F.when(closed, F.slice(ring, 1, F.size(ring) - 1)).otherwise(ring)
+
         layer = parsed.select(
-            F.col(f"f.properties.{id_column}").alias("NM_INDEX"),
-            F.transform(rings, lambda ring: F.transform(ring, vertex)).alias("rings"),
+            F.col(f"f.properties.`{id_column}`").alias("NM_INDEX"),
+            F.transform(rings, lambda ring: open_ring(F.transform(ring, vertex))).alias("rings"),
         )
     return reproject(layer) if projected else layer
 

@@ -61,6 +61,10 @@ def selects(dialect: str) -> dict[str, str]:
     locn = "case l_linenumber % 4 when 0 then '0' when 1 then '' when 2 then '1' else '2' end"
     whole = "cast(cast(l_quantity as int) as varchar(20))"
     lead = f"({o} - {o} % 20)"
+    copies = {
+        "spark": "explode(sequence(0, cast(l_linenumber % 3 as int)))", "duckdb": "unnest(range(0, l_linenumber % 3 + 1))",
+    }[dialect]
+    odd_year = f"case when {k} % 97 = 3 then null when {k} % 97 = 5 then '20I2' else {year} end"
     effort = f"""
         select {id_code(o, dialect)} as ID_CODE,
                {year_of(o, dialect)} as YEAR,
@@ -92,11 +96,10 @@ def selects(dialect: str) -> dict[str, str]:
                     when (l_suppkey + fish) % 4 = 0 then null
                     else concat({_text('1 + (l_suppkey + fish) % 9')}, '.5') end as WGT,
                case when l_suppkey % 44 = 0 then null else {whole} end as FSHINSP
-        from lineitem join fish_copies on fish <= l_linenumber % 3"""
+        from (select *, {copies} as fish from lineitem) lines"""
     return {
-        "fish_copies": "select 0 as fish union all select 1 as fish union all select 2 as fish",
         "i8": f"""
-        select {own} as ID_CODE, {locn} as locn, {year} as YEAR,
+        select {own} as ID_CODE, {locn} as locn, {odd_year} as YEAR,
                case when l_suppkey % 20 = 3 then '6' when l_partkey % 50 = 0 then null else '7' end as MODE_FX,
                case when l_linenumber = 7 and l_suppkey % 5 = 0 then 'PR3' else {survey} end as survey,
                case when {k} % 3 <> 0 then '' when {k} % 60 = 0 then '51.5' when {k} % 60 = 3 then '50'
@@ -150,7 +153,7 @@ def selects(dialect: str) -> dict[str, str]:
 
 
 # Which survey tables a survey table reads.
-NEEDS = {"i1": ("i1_once",), "i3": ("fish_copies",)}
+NEEDS = {"i1": ("i1_once",)}
 
 
 # Tables that stand for raw files: read, blanks made NULL, written once per session.
@@ -174,6 +177,13 @@ def survey(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _written[key]
 
 
+def location_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Old rows of the north and the south, and the rows of the newer file, which also are among the old."""
+    i8 = survey(spark, sf_dir, "i8")
+    new = i8.filter("YEAR = '2016' and survey = 'PR1'").withColumnRenamed("ID_CODE", "id_code")
+    return i8.filter("block1 < '150'"), i8.filter("not coalesce(block1 < '150', false)"), new
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map blocks with rings: squares that overlap their neighbours, and triangles."""
     flat = survey(spark, sf_dir, "blocks_flat")

@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 
 from creelgrid import reasons as R
-from creelgrid.functions import geometry
 
 from .casting import selects
 
@@ -62,6 +61,10 @@ CTES |= {
                case when trim(Common_Name) like 'red %' or trim(Common_Name) like 'blue %' then 1 else 0 end as Rockfish,
                case when trim(Common_Name) like '% rod' then 1 else 0 end as Perch
         from species_raw where trim(Common_Name) <> 'bivalve class'""",
+    "i8_stacked": f"""
+        select *, case when {blank('YEAR')} is null then {lit(R.LOCATION_NO_YEAR)}
+                       when {blank('YEAR')} = '2016' then {lit(R.LOCATION_REPLACED)} end as stack_reason from i8
+        union all select *, null from i8 where YEAR = '2016' and survey = 'PR1'""",
     "i8_text": f"""
         select {blank('ID_CODE')} as ID_CODE, {_locn} as locn, {blank('YEAR')} as year,
                {blank('MODE_FX')} as MODE_FX, {blank('survey')} as survey, {blank('ddlat')} as lat_text,
@@ -70,7 +73,7 @@ CTES |= {
                nullif({strip(blank('block1'))}, '9999999') as block1, {strip(blank('block2'))} as block2,
                {strip(blank('box1a'))} as box1a, {strip(blank('box1b'))} as box1b, {strip(blank('box1c'))} as box1c,
                {strip(blank('box2a'))} as box2a, {strip(blank('box2b'))} as box2b, {strip(blank('box2c'))} as box2c
-        from i8""",
+               , stack_reason from i8_stacked""",
     "i8_coded": f"""
         select *, ID_CODE || locn as id_loc,
                {code('block1', 'box1a')} as c1, {code('block1', 'box1b')} as c2, {code('block1', 'box1c')} as c3,
@@ -78,7 +81,8 @@ CTES |= {
         from i8_text""",
     "i8_tagged": f"""
         select *, {' and '.join(f'{c} is null' for c in SIX)} as blockless,
-               case when id_loc is null then {lit(R.MISSING_ID)}
+               case when stack_reason is not null then stack_reason
+                    when id_loc is null then {lit(R.MISSING_ID)}
                     when coalesce({num('MODE_FX')} <> 7, true) then {lit(R.LOCATION_NOT_BOAT)}
                     when {' and '.join(f'{c} is null' for c in SIX)} and lat_text is null then {lit(R.LOCATION_EMPTY)}
                     when {_num_range('HGSIZE')} or {_num_range('hgsize2')} then {lit(R.LOCATION_RANGE)}
@@ -107,9 +111,10 @@ CTES |= {
         from (select distinct id_loc, year, ID_CODE, MODE_FX, survey, Block from located
               where id_loc not in (select id_loc from in_conflict)) d""",
     "location_reasons": f"""
-        select Reason from i8_tagged where Reason is not null
-        union all select {lit(R.LOCATION_OFF_MAP)} from on_points where Block is null
-        union all select {lit(R.LOCATION_CONFLICT)} from merged
+        select id_loc, year, ID_CODE, MODE_FX, survey, HGSIZE, hgsize2, Reason from i8_tagged where Reason is not null
+        union all select id_loc, year, ID_CODE, MODE_FX, survey, HGSIZE, hgsize2, {lit(R.LOCATION_OFF_MAP)}
+                  from on_points where Block is null
+        union all select id_loc, year, ID_CODE, MODE_FX, survey, HGSIZE, hgsize2, {lit(R.LOCATION_CONFLICT)} from merged
                   where id_loc in (select id_loc from in_conflict)""",
     "heads": "select distinct id_loc, ID_CODE, total_blocks from locations",
     "effort_rows": f"""
@@ -153,16 +158,18 @@ CTES |= {
         select distinct ID_CODE, blocks
         from (select id_loc, ID_CODE, list_sort(list(Block)) as blocks from locations group by 1, 2) s""",
     "effort_reasons": f"""
-        select {lit(R.EFFORT_UNPLACED)} as Reason from roles where role = 'unplaced'
-        union all select {lit(R.EFFORT_FOLLOWER_ALONE)} from roles
+        select id, year, prim1, FIRST, survey, CNTRBTRS, DAYSF, {lit(R.EFFORT_UNPLACED)} as Reason
+        from roles where role = 'unplaced'
+        union all select id, year, prim1, FIRST, survey, CNTRBTRS, DAYSF, {lit(R.EFFORT_FOLLOWER_ALONE)} from roles
                   where role = 'follower' and LEADER_ID not in (select id from roles where role = 'leader')
-        union all select {lit(R.EFFORT_NO_SPECIES)} from rolled
+        union all select 'ID' || id, year, prim1, FIRST, survey, CNTRBTRS, DAYSF, {lit(R.EFFORT_NO_SPECIES)} from rolled
                   where "primary" is null or "primary" not in (select code_text from species where code_text is not null)
-        union all select {lit(R.NO_LOCATION)} from effort_named where id not in (select ID_CODE from locations)
-        union all select case when CNTRBTRS = 0 then {lit(R.EFFORT_NO_CONTRIBUTORS)}
+        union all select id, year, prim1, FIRST, survey, CNTRBTRS, DAYSF, {lit(R.NO_LOCATION)} from effort_named
+                  where id not in (select ID_CODE from locations)
+        union all select id, year, prim1, FIRST, survey, CNTRBTRS, DAYSF, case when CNTRBTRS = 0 then {lit(R.EFFORT_NO_CONTRIBUTORS)}
                               else {lit(R.EFFORT_BAD_CONTRIBUTORS)} end
                   from effort_named n join trip_sets t on n.id = t.ID_CODE where not coalesce(CNTRBTRS > 0, false)
-        union all select {lit(R.EFFORT_AMBIGUOUS)}
+        union all select id, year, prim1, FIRST, survey, CNTRBTRS, DAYSF, {lit(R.EFFORT_AMBIGUOUS)}
                   from (select distinct * exclude (Block, copies)
                         from (select *, count(*) over (partition by id, Block, TripType_Description, year) as copies
                               from effort_blocks) c where copies > 1) a""",
@@ -175,21 +182,22 @@ CTES |= {
                {num(blank('WGT'))} as weight
         from i3""",
     "observed_named": """
-        select r.*, Common_Name from observed_rows r join species using (SP_CODE) where id is not null""",
+        select r.*, Common_Name, TripType_Description from observed_rows r join species using (SP_CODE) where id is not null""",
     "observed_placed": """
         select r.*, h.ID_CODE, total_blocks, fish / total_blocks / count(*) over (partition by id, SP_CODE) as per_block
         from observed_named r join heads h on r.id = h.id_loc""",
     "oc": """
         select coalesce(LEADER_ID || locn, p.id) as id, coalesce(LEADER_ID, p.ID_CODE) as ID_CODE, locn, p.year,
-               Block, SP_CODE, Common_Name, coalesce(sum(per_block), 0.0) as Total_Obs_Fish_Caught,
+               Block, SP_CODE, Common_Name, TripType_Description, coalesce(sum(per_block), 0.0) as Total_Obs_Fish_Caught,
                avg(weight) as Ob_AvKWgt, count(weight) as Ob_Weighed_Fish
         from observed_placed p left join leaders d on p.ID_CODE = d.ID_CODE
              join locations l on l.id_loc = p.id
-        group by 1, 2, 3, 4, 5, 6, 7""",
+        group by 1, 2, 3, 4, 5, 6, 7, 8""",
     "observed_reasons": f"""
         select case when SP_CODE is null then {lit(R.CATCH_BAD_CODE)} when id is null then {lit(R.MISSING_ID)}
                     when SP_CODE not in (select SP_CODE from species where SP_CODE is not null) then {lit(R.CATCH_NO_SPECIES)}
-                    when id not in (select id_loc from locations) then {lit(R.NO_LOCATION)} end as Reason
+                    when id not in (select id_loc from locations) then {lit(R.NO_LOCATION)} end as Reason,
+               id, locn, year, SP_CODE, fish, weight
         from observed_rows""",
     "reported_rows": f"""
         select 'ID' || {blank('ID_CODE')} || {_locn} as id, {_locn} as locn, {blank('YEAR')} as year,
@@ -197,18 +205,18 @@ CTES |= {
                coalesce({num(blank('NUM_FISH'))}, 0.0) as fish
         from (select distinct * from i2) d""",
     "reported_placed": """
-        select r.*, Common_Name, ID_CODE, total_blocks, fish / total_blocks as per_block,
+        select r.*, Common_Name, TripType_Description, ID_CODE, total_blocks, fish / total_blocks as per_block,
                count(*) over (partition by id, SP_CODE, DISPO) as copies
         from reported_rows r join species using (SP_CODE) join heads h on r.id = h.id_loc""",
     "rc_sums": """
         select coalesce(LEADER_ID || locn, p.id) as id, coalesce(LEADER_ID, p.ID_CODE) as ID_CODE, p.year, Block,
-               SP_CODE, Common_Name,
+               SP_CODE, Common_Name, TripType_Description,
                sum(case when DISPO in ('1', '2') then per_block else 0.0 end) as Rep_Released_Alive,
                sum(case when DISPO in ('6') then per_block else 0.0 end) as Rep_Released_Dead,
                sum(case when DISPO in ('3', '4', '5', '7') then per_block else 0.0 end) as Rep_Kept
         from reported_placed p left join leaders d on p.ID_CODE = d.ID_CODE
              join locations l on l.id_loc = p.id
-        where copies = 1 group by 1, 2, 3, 4, 5, 6""",
+        where copies = 1 group by 1, 2, 3, 4, 5, 6, 7""",
     "rc": """
         select *, Rep_Released_Alive + Rep_Kept + Rep_Released_Dead as Total_Rep_Fish_Caught,
                Rep_Released_Alive + Rep_Released_Dead as Rep_Released
@@ -216,15 +224,17 @@ CTES |= {
     "reported_reasons": f"""
         select case when SP_CODE is null then {lit(R.CATCH_BAD_CODE)} when id is null then {lit(R.MISSING_ID)}
                     when SP_CODE not in (select SP_CODE from species where SP_CODE is not null) then {lit(R.CATCH_NO_SPECIES)}
-                    when id not in (select id_loc from locations) then {lit(R.NO_LOCATION)} end as Reason
+                    when id not in (select id_loc from locations) then {lit(R.NO_LOCATION)} end as Reason,
+               id, locn, year, SP_CODE, DISPO, fish
         from reported_rows
-        union all select {lit(R.CATCH_AMBIGUOUS)} from reported_placed where copies > 1""",
+        union all select {lit(R.CATCH_AMBIGUOUS)}, id, locn, year, SP_CODE, DISPO, fish
+                  from reported_placed where copies > 1""",
     "catch_both": """
         select coalesce(o.id, r.id) as id, coalesce(o.ID_CODE, r.ID_CODE) as ID_CODE,
                coalesce(o.SP_CODE, r.SP_CODE) as SP_CODE, coalesce(o.Block, r.Block) as Block,
                coalesce(o.Common_Name, r.Common_Name) as Common_Name, coalesce(o.year, r.year) as year,
-               o.* exclude (id, ID_CODE, SP_CODE, Block, Common_Name, year, locn),
-               r.* exclude (id, ID_CODE, SP_CODE, Block, Common_Name, year)
+               o.* exclude (id, ID_CODE, SP_CODE, Block, Common_Name, TripType_Description, year, locn),
+               r.* exclude (id, ID_CODE, SP_CODE, Block, Common_Name, TripType_Description, year)
         from oc o full join rc r on o.id is not distinct from r.id and o.ID_CODE is not distinct from r.ID_CODE
              and o.SP_CODE is not distinct from r.SP_CODE and o.Block is not distinct from r.Block
              and o.Common_Name is not distinct from r.Common_Name and o.year is not distinct from r.year""",
@@ -336,11 +346,26 @@ def sql(select: str) -> str:
 
 
 def albers_sql(x: str, y: str) -> tuple[str, str]:
-    k = geometry.albers_constants()
-    dy = f"({k['rho0']!r} - ({y} + 4000000.0))"
+    """Longitude and latitude of a projected point, from the projection's published parameters alone:
+    Albers on GRS80, parallels 34 and 40.5, meridian -120, false northing -4000000."""
+    f = "(1.0 / 298.257222101)"
+    e2 = f"({f} * (2 - {f}))"
+
+    def m2(degrees: float) -> str:
+        return f"(pow(cos(radians({degrees})), 2) / (1 - {e2} * pow(sin(radians({degrees})), 2)))"
+
+    def q(degrees: float) -> str:
+        s = f"sin(radians({degrees}))"
+        return f"((1 - {e2}) * ({s} / (1 - {e2} * {s} * {s}) - ln((1 - sqrt({e2}) * {s}) / (1 + sqrt({e2}) * {s})) / (2 * sqrt({e2}))))"
+
+    n = f"(({m2(34.0)} - {m2(40.5)}) / ({q(40.5)} - {q(34.0)}))"
+    c = f"({m2(34.0)} + {n} * {q(34.0)})"
+    dy = f"(6378137.0 * sqrt({c}) / {n} - ({y} + 4000000.0))"
     rho2 = f"({x} * {x} + {dy} * {dy})"
-    beta = f"asin((({k['c']!r} - {rho2} * pow({k['n']!r} / 6378137.0, 2)) / {k['n']!r}) / {k['qp']!r})"
+    beta = f"asin((({c} - {rho2} * pow({n} / 6378137.0, 2)) / {n}) / {q(90.0)})"
     lat = (
-        f"degrees({beta} + {k['k2']!r} * sin(2 * {beta}) + {k['k4']!r} * sin(4 * {beta}) + {k['k6']!r} * sin(6 * {beta}))"
+        f"degrees({beta} + ({e2} / 3 + 31 * pow({e2}, 2) / 180 + 517 * pow({e2}, 3) / 5040) * sin(2 * {beta})"
+        f" + (23 * pow({e2}, 2) / 360 + 251 * pow({e2}, 3) / 3780) * sin(4 * {beta})"
+        f" + (761 * pow({e2}, 3) / 45360) * sin(6 * {beta}))"
     )
-    return f"(-120.0 + degrees(atan2({x}, {dy}) / {k['n']!r}))", lat
+    return f"(-120.0 + degrees(atan2({x}, {dy}) / {n}))", lat

@@ -70,7 +70,8 @@ def leaders_of(spark, sf_dir):
 
 
 def location_stage(spark, sf_dir, keep=in_plan):
-    return locations.clean_locations(survey(spark, sf_dir, "i8"), casting.blocks(spark, sf_dir), keep=keep)
+    stacked = locations.stack_locations(*casting.location_files(spark, sf_dir))
+    return locations.clean_locations(stacked, casting.blocks(spark, sf_dir), keep=keep)
 
 
 def observed_stage(spark, sf_dir, keep=in_plan):
@@ -90,9 +91,7 @@ def effort_stage(spark, sf_dir, keep=in_plan):
 
 
 def assemble_stage(spark, sf_dir, keep=in_plan):
-    return asm.assemble(
-        stage(spark, sf_dir, "oc"), stage(spark, sf_dir, "rc"), stage(spark, sf_dir, "oe"), species_of(spark, sf_dir), keep
-    )
+    return asm.assemble(stage(spark, sf_dir, "oc"), stage(spark, sf_dir, "rc"), stage(spark, sf_dir, "oe"), keep)
 
 
 STAGES = {
@@ -274,13 +273,11 @@ def union_by_name(spark, sf_dir):
 
 @probe(
     "stack_locations",
-    f"select ID_CODE, {blank('locn')} as locn, YEAR, block1, survey from i8 where cast(YEAR as int) <> 2016 or survey = 'PR1'",
+    f"select ID_CODE, {blank('locn')} as locn, YEAR, block1, survey, stack_reason from i8_stacked",
 )
 def stack_locations(spark, sf_dir):
-    i8 = survey(spark, sf_dir, "i8")
-    north, south = i8.filter("block1 < '150'"), i8.filter("not coalesce(block1 < '150', false)")
-    new = i8.filter("YEAR = '2016' and survey = 'PR1'").withColumnRenamed("ID_CODE", "id_code")
-    return locations.stack_locations(north, south, new).select("ID_CODE", "locn", "YEAR", "block1", "survey")
+    stacked = locations.stack_locations(*casting.location_files(spark, sf_dir))
+    return stacked.select("ID_CODE", "locn", "YEAR", "block1", "survey", "stack_reason")
 
 
 @probe("distinct_rows", "select distinct l_orderkey, l_linenumber, nullif(l_suppkey % 3, 1) as s from lineitem")
@@ -589,14 +586,25 @@ def location_rejects(spark, sf_dir):
     return location_stage(spark, sf_dir, stage_table).summary()
 
 
+_LOCATION_ROW = ("id_loc", "year", "ID_CODE", "MODE_FX", "survey", "HGSIZE", "hgsize2", rejects.REASON)
+
+
+@probe("location_reject_rows", f"select {', '.join(_LOCATION_ROW)} from location_reasons")
+def location_reject_rows(spark, sf_dir):
+    return location_stage(spark, sf_dir, stage_table).rejects.select(*_LOCATION_ROW)
+
+
+_BEFORE_RANGES = (R.LOCATION_REPLACED, R.LOCATION_NO_YEAR, R.MISSING_ID, R.LOCATION_NOT_BOAT, R.LOCATION_EMPTY)
+
+
 @probe(
     "range_sizes",
     f"""select HGSIZE, hgsize2, count(*) as n from i8_tagged
-        where Reason is null or Reason not in ({lit(R.MISSING_ID)}, {lit(R.LOCATION_NOT_BOAT)}, {lit(R.LOCATION_EMPTY)})
+        where Reason is null or Reason not in ({', '.join(lit(r) for r in _BEFORE_RANGES)})
         group by 1, 2""",
 )
 def range_sizes(spark, sf_dir):
-    coded = locations.location_codes(survey(spark, sf_dir, "i8"))
+    coded = locations.location_codes(locations.stack_locations(*casting.location_files(spark, sf_dir)))
     tagged = locations.screen_locations(coded)
     return locations.range_sizes(tagged.kept.withColumn(rejects.REASON, F.lit(None).cast("string")).unionByName(tagged.rejects))
 
@@ -606,7 +614,8 @@ def range_sizes(spark, sf_dir):
     "select id_loc, year, MODE_FX, ddlat, ddlong, HGSIZE, hgsize2, Reason from i8_tagged where Reason is not null",
 )
 def location_screens(spark, sf_dir):
-    screened = locations.screen_locations(locations.location_codes(survey(spark, sf_dir, "i8")))
+    stacked = locations.stack_locations(*casting.location_files(spark, sf_dir))
+    screened = locations.screen_locations(locations.location_codes(stacked))
     return screened.rejects.select("id_loc", "year", "MODE_FX", "ddlat", "ddlong", "HGSIZE", "hgsize2", rejects.REASON)
 
 
@@ -690,6 +699,14 @@ def effort_rejects(spark, sf_dir):
     return effort_stage(spark, sf_dir, stage_table).summary()
 
 
+_EFFORT_ROW = ("id", "year", "prim1", "FIRST", "survey", "CNTRBTRS", "DAYSF", rejects.REASON)
+
+
+@probe("effort_reject_rows", f"select {', '.join(_EFFORT_ROW)} from effort_reasons")
+def effort_reject_rows(spark, sf_dir):
+    return effort_stage(spark, sf_dir, stage_table).rejects.select(*_EFFORT_ROW)
+
+
 @probe(
     "target_types",
     """select TripType_Description, count(*) as n from effort_named group by 1""",
@@ -713,6 +730,14 @@ def observed_rejects(spark, sf_dir):
     return observed_stage(spark, sf_dir, stage_table).summary()
 
 
+_OBSERVED_ROW = ("id", "locn", "year", "SP_CODE", "fish", "weight", rejects.REASON)
+
+
+@probe("observed_reject_rows", f"select {', '.join(_OBSERVED_ROW)} from observed_reasons where Reason is not null")
+def observed_reject_rows(spark, sf_dir):
+    return observed_stage(spark, sf_dir, stage_table).rejects.select(*_OBSERVED_ROW)
+
+
 @probe(
     "unrepeat_weights",
     """select id, locn, year, SP_CODE, count(*) as rows, round(sum(fish / n), 6) as fish, sum(weight) as weight,
@@ -752,7 +777,7 @@ def disposition(spark, sf_dir):
 _RC = ("Rep_Released_Alive", "Rep_Released_Dead", "Rep_Kept", "Total_Rep_Fish_Caught", "Rep_Released")
 
 
-@probe("reported_catch", f"select id, ID_CODE, year, Block, SP_CODE, Common_Name, {r6(*_RC)} from rc")
+@probe("reported_catch", f"select id, ID_CODE, year, Block, SP_CODE, Common_Name, TripType_Description, {r6(*_RC)} from rc")
 def reported_catch(spark, sf_dir):
     return rounded(reported_stage(spark, sf_dir).kept, *_RC)
 
@@ -762,6 +787,14 @@ def reported_rejects(spark, sf_dir):
     return reported_stage(spark, sf_dir, stage_table).summary()
 
 
+_REPORTED_ROW = ("id", "locn", "year", "SP_CODE", "DISPO", "fish", rejects.REASON)
+
+
+@probe("reported_reject_rows", f"select {', '.join(_REPORTED_ROW)} from reported_reasons where Reason is not null")
+def reported_reject_rows(spark, sf_dir):
+    return reported_stage(spark, sf_dir, stage_table).rejects.select(*_REPORTED_ROW)
+
+
 # The assembled table
 
 _ALL_KEYS = ("id", "year", "Block", "SP_CODE", *asm.NAMES)
@@ -784,10 +817,30 @@ def catch_without_effort(spark, sf_dir):
 
 @probe("combos", f"select {', '.join(asm.NAMES)}, count(*) as n from assembled group by 1, 2, 3, 4")
 def combos(spark, sf_dir):
-    both = asm.all_catch(stage(spark, sf_dir, "oc"), stage(spark, sf_dir, "rc"), species_of(spark, sf_dir))
+    both = asm.all_catch(stage(spark, sf_dir, "oc"), stage(spark, sf_dir, "rc"))
     return asm.combos(asm.with_effort(both, stage(spark, sf_dir, "oe")))
 
 
+@probe(
+    "effort_without_catch",
+    """select id, year, Block, Common_Name_effort, TripType_Description_effort, AnglerDays from assembled
+       where Common_Name_catch is null and Common_Name_effort is not null""",
+)
+def effort_without_catch(spark, sf_dir):
+    both = asm.all_catch(stage(spark, sf_dir, "oc"), stage(spark, sf_dir, "rc"))
+    return asm.effort_without_catch(asm.with_effort(both, stage(spark, sf_dir, "oe")))
+
+
+@probe(
+    "blocks_off_map_rows",
+    f"""select id, year, Block, SP_CODE, round(Total_Fish_Caught, 6) as Total_Fish_Caught, {lit(R.BLOCK_OFF_MAP)} as Reason
+        from all_by_id where Block is null or Block not in (select NM_INDEX from blocks_flat)""",
+)
+def blocks_off_map_rows(spark, sf_dir):
+    listed = spatial.rows_off_map(stage(spark, sf_dir, "all_by_id"), casting.blocks(spark, sf_dir), R.BLOCK_OFF_MAP)
+    return rounded(listed.select("id", "year", "Block", "SP_CODE", "Total_Fish_Caught", rejects.REASON), "Total_Fish_Caught")
+
+
 @probe(
     "result_duplicates",
     """select id, Block, Common_Name_catch, TripType_Description_effort, count(*) as n from all_by_id
@@ -828,23 +881,44 @@ def weight_zscores(spark, sf_dir):
     )
 
 
-def _rate_outliers_sql(measure: str, name: str) -> str:
-    return f"""select id, Block, Common_Name_catch, round(z, 6) as {name} from (
-        select *, (rate - avg(rate) over (partition by Common_Name_catch))
-                  / nullif(stddev_samp(rate) over (partition by Common_Name_catch), 0) as z
-        from (select *, {measure} / nullif(AnglerDays, 0) as rate from all_by_id) r) s where z > 10"""
+@probe(
+    "weight_outliers",
+    """select id, ID_CODE, locn, year, Block, SP_CODE, Common_Name, TripType_Description, Ob_Weighed_Fish,
+              round(Total_Obs_Fish_Caught, 6) as Total_Obs_Fish_Caught, round(Ob_AvKWgt, 6) as Ob_AvKWgt,
+              round(z, 6) as z_score_weight from (
+         select *, (Ob_AvKWgt - avg(Ob_AvKWgt) over (partition by Common_Name))
+                   / nullif(stddev_samp(Ob_AvKWgt) over (partition by Common_Name), 0) as z from oc) w where z > 1.5""",
+)
+def weight_outliers(spark, sf_dir):
+    listed = outliers.weight_outliers(stage(spark, sf_dir, "oc"), 1.5)
+    return rounded(listed, "Total_Obs_Fish_Caught", "Ob_AvKWgt", "z_score_weight")
+
+
+_OUTLIER_SUMS = (*asm.MEASURES[:8], *asm.MEASURES[8:9], "AnglerDays", "Total_Fish_Caught")
+
 
+def _rate_outliers_sql(rate: str, name: str) -> str:
+    sums = r6(*_OUTLIER_SUMS, "Total_CPUA", "Obs_CPUA", "Rep_CPUA")
+    return f"""select id, year, Block, Common_Name_catch, TripType_Description_effort, {sums}, round(z, 6) as {name} from (
+        select *, ({rate} - avg({rate}) over (partition by Common_Name_catch))
+                  / nullif(stddev_samp({rate}) over (partition by Common_Name_catch), 0) as z
+        from (select *, Total_Fish_Caught / nullif(AnglerDays, 0) as Total_CPUA,
+                     Total_Obs_Fish_Caught / nullif(AnglerDays, 0) as Obs_CPUA,
+                     Total_Rep_Fish_Caught / nullif(AnglerDays, 0) as Rep_CPUA from all_by_id) r) s where z > 10"""
 
-@probe("observed_rate_outliers", _rate_outliers_sql("Total_Obs_Fish_Caught", "z_score_obs"))
+
+def _listed(df: DataFrame) -> DataFrame:
+    return rounded(df, *[c for c, kind in df.dtypes if kind == "double"])
+
+
+@probe("observed_rate_outliers", _rate_outliers_sql("Obs_CPUA", "z_score_obs"))
 def observed_rate_outliers(spark, sf_dir):
-    listed = outliers.observed_rate_outliers(stage(spark, sf_dir, "all_by_id"))
-    return rounded(listed.select("id", "Block", "Common_Name_catch", "z_score_obs"), "z_score_obs")
+    return _listed(outliers.observed_rate_outliers(stage(spark, sf_dir, "all_by_id")))
 
 
-@probe("reported_rate_outliers", _rate_outliers_sql("Total_Rep_Fish_Caught", "z_score_rep"))
+@probe("reported_rate_outliers", _rate_outliers_sql("Rep_CPUA", "z_score_rep"))
 def reported_rate_outliers(spark, sf_dir):
-    listed = outliers.reported_rate_outliers(stage(spark, sf_dir, "all_by_id"))
-    return rounded(listed.select("id", "Block", "Common_Name_catch", "z_score_rep"), "z_score_rep")
+    return _listed(outliers.reported_rate_outliers(stage(spark, sf_dir, "all_by_id")))
 
 
 # Map layers
@@ -933,6 +1007,37 @@ def layer_wide(spark, sf_dir):
     return layers.layer_wide(stage_table(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "cpua_year"), "CPUA_All")
 
 
+def _wide_sql(years, metric: str, tail: str = "") -> str:
+    columns = ", ".join(f"coalesce(w.Y{y}, -9999) as Y{y}" for y in years)
+    values = ", ".join(f"max(case when year = '{y}' then {metric} end) as Y{y}" for y in years)
+    return (
+        f"select w.Block, w.Catch, w.Trip, {columns}, t.{metric}, t.Samples{', x0 as corner' if tail else ''}"
+        f" from (select Block, Catch, Trip, {values} from cpua_group group by 1, 2, 3) w"
+        f" join years_total t on w.Block = t.Block and w.Catch = t.Catch {tail} where t.Samples >= 3"
+    )
+
+
+_ON_MAP = "join blocks_flat on w.Block = NM_INDEX"
+_ALL_YEARS = tuple(range(1992, 2030))
+
+
+def _placed(result: DataFrame, spark, sf_dir) -> DataFrame:
+    return layers.to_layer(result, casting.blocks(spark, sf_dir)).withColumn("corner", F.expr("rings[0][0].x")).drop("rings")
+
+
+@probe("layer_wide_years", _wide_sql(_ALL_YEARS, "CPUA_All"))
+def layer_wide_years(spark, sf_dir):
+    """The wide layer for years that a run names, beyond the usual ones."""
+    yearly = stage_table(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "cpua_year")
+    return layers.layer_wide(yearly, "CPUA_All", years=_ALL_YEARS)
+
+
+@probe("layer_wide_kept", _wide_sql(layers.WIDE_YEARS, "CPUA_Kept", _ON_MAP))
+def layer_wide_kept(spark, sf_dir):
+    yearly = stage_table(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "cpua_year")
+    return _placed(layers.layer_wide(yearly, "CPUA_Kept"), spark, sf_dir)
+
+
 @probe(
     "rate_audit",
     """select count(*) as rows, count(*) filter (where AnglerDays = 0) as zero_effort,
@@ -960,6 +1065,29 @@ def layer_grouped(spark, sf_dir):
     return layers.layer_grouped(stage_table(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "cpua_year"))
 
 
+@probe(
+    "layer_grouped_placed",
+    "select w.*, t.CPUA_Kept, t.CPUA_All, t.Samples, x0 as corner from (select Block, Catch, Trip, "
+    + ", ".join(
+        f"coalesce(max(case when year_group = '{r}' then CPUA_{m} end), -9999) as {m}_{r}" for m in ("All", "Kept") for r in _RANGES
+    )
+    + f" from years_ranged group by 1, 2, 3) w join years_total t on w.Block = t.Block and w.Catch = t.Catch {_ON_MAP}"
+    + " where t.Samples >= 3",
+)
+def layer_grouped_placed(spark, sf_dir):
+    return _placed(layer_grouped(spark, sf_dir), spark, sf_dir)
+
+
+@probe(
+    "layer_monthly_placed",
+    """select Block, Catch, Trip, n_samples_effort as Samples, '19' || lpad(cast(month as varchar), 2, '0') as time, month,
+              AnglerDays, round(TotalCatch, 6) as TotalCatch, Kept, Released, CPUA_All, CPUA_Kept, x0 as corner
+       from cpua_month join blocks_flat on Block = NM_INDEX where n_samples_effort >= 3""",
+)
+def layer_monthly_placed(spark, sf_dir):
+    return _placed(layer_monthly(spark, sf_dir), spark, sf_dir)
+
+
 @probe(
     "layer_monthly",
     """select Block, Catch, Trip, n_samples_effort as Samples, '19' || lpad(cast(month as varchar), 2, '0') as time, month,
@@ -1000,6 +1128,75 @@ def delimited_round_trip(spark, sf_dir):
     return readers.read_raw(spark, path, columns=lines.columns)
 
 
+@probe(
+    "quoted_round_trip",
+    """select cast(l_orderkey as varchar) as k, 'a "' || l_linenumber || '", b' as quoted,
+              case when l_suppkey % 3 = 0 then '"' end as mark from lineitem""",
+)
+def quoted_round_trip(spark, sf_dir):
+    lines = load(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey as varchar(20)) as k", """concat('a "', l_linenumber, '", b') as quoted""",
+        """case when l_suppkey % 3 = 0 then '"' end as mark""",
+    )
+    path = f"{shared_dir(spark)}/quoted-{uuid.uuid4().hex}"
+    writers.write_table(lines, path, "csv")
+    return readers.read_raw(spark, path)
+
+
+@probe(
+    "yearly_files",
+    "select cast(o_orderkey as varchar) as id_code, cast(year(o_orderdate) as varchar) as YEAR from orders",
+)
+def yearly_files(spark, sf_dir):
+    """A file per parity of the year; their columns stand in different orders."""
+    orders = load(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey as varchar(20)) as id_code", "cast(year(o_orderdate) as varchar(4)) as YEAR"
+    )
+    path = f"{shared_dir(spark)}/yearly-{uuid.uuid4().hex}"
+    writers.write_table(orders.filter("YEAR % 2 = 0"), f"{path}/even", "csv")
+    writers.write_table(orders.filter("YEAR % 2 = 1").select("YEAR", "id_code"), f"{path}/odd", "csv")
+    files = [f"{path}/even", f"{path}/odd"]
+    return readers.read_yearly(spark, files, "part").select("id_code", "YEAR")
+
+
+@probe("stage_round_trip", "select l_orderkey as k, nullif(l_quantity, 7.0) as q, nullif(l_suppkey, 3) as s from lineitem")
+def stage_round_trip(spark, sf_dir):
+    lines = load(spark, sf_dir, "lineitem").selectExpr("l_orderkey as k", "nullif(l_quantity, 7.0D) as q", "nullif(l_suppkey, 3) as s")
+    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    writers.write_table(lines, path)
+    return readers.read_stage(spark, path)
+
+
+@probe(
+    "layer_columns",
+    "select Block, n from (select NM_INDEX as Block, count(*) as n from blocks_flat group by 1) b",
+)
+def layer_columns(spark, sf_dir):
+    """Those of a list of columns that are there, in the list's order."""
+    counts = casting.blocks(spark, sf_dir).groupBy(F.col("NM_INDEX").alias("Block")).agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("z"))
+    return counts.select(*reshape.present_of(counts, ["Block", "missing", "n"]))
+
+
+@probe(
+    "point_in_mixed_polygons",
+    """select c_custkey as k, NM_INDEX from customer left join (
+         select * from blocks_flat union all select 'wide', -140.0, 20.0, false) b
+         on (-127 + c_custkey % 1300 * 0.01) >= x0 and (32 + c_custkey % 1100 * 0.01) >= y0
+        and case when NM_INDEX = 'wide' then (-127 + c_custkey % 1300 * 0.01) <= -121 and (32 + c_custkey % 1100 * 0.01) <= 40
+                 when triangle then (-127 + c_custkey % 1300 * 0.01 - x0) + (32 + c_custkey % 1100 * 0.01 - y0) < 1.495
+                 else (-127 + c_custkey % 1300 * 0.01) <= x0 + 1.25 and (32 + c_custkey % 1100 * 0.01) <= y0 + 1.25 end""",
+)
+def point_in_mixed_polygons(spark, sf_dir):
+    """Small blocks and one of many times their size: several grids."""
+    ring = "array(named_struct('x', -140D, 'y', 20D), named_struct('x', -121D, 'y', 20D), named_struct('x', -121D, 'y', 40D), named_struct('x', -140D, 'y', 40D))"
+    wide = spark.range(1).selectExpr("'wide' as NM_INDEX", f"array({ring}) as rings")
+    layer = casting.blocks(spark, sf_dir).select("NM_INDEX", "rings").unionByName(wide)
+    points = load(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as k", "cast(-127 + c_custkey % 1300 * 0.01 as double) as lon", "cast(32 + c_custkey % 1100 * 0.01 as double) as lat"
+    )
+    return spatial.locate_points(points, layer).select("k", "NM_INDEX")
+
+
 @probe(
     "layer_round_trip",
     "select NM_INDEX, x0, y0, cast(case when triangle then 3 else 4 end as int) as corners from blocks_flat",

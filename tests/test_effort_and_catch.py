@@ -191,18 +191,18 @@ def test_reported(spark, lookup):
     }
 
 
-def test_assemble(spark, lookup):
+def test_assemble(spark):
     oc = spark.createDataFrame(
-        [("IDt1", "IDt", "1", "2012", "X", 8827010201.0, "lingcod", 2.0, None, 0),
-         ("IDn1", "IDn", "1", None, "X", 8827010201.0, "lingcod", 5.0, 1.0, 1),
-         ("IDz1", "IDz", "1", "2012", "X", 8827010201.0, "lingcod", 1.0, 1.0, 1)],
-        "id string, ID_CODE string, locn string, year string, Block string, SP_CODE double, Common_Name string, "
+        [("IDt1", "IDt", "1", "2012", "X", 8827010201.0, "lingcod", "Bottomfish", 2.0, None, 0),
+         ("IDn1", "IDn", "1", None, "X", 8827010201.0, "lingcod", "Bottomfish", 5.0, 1.0, 1),
+         ("IDz1", "IDz", "1", "2012", "X", 8827010201.0, "lingcod", "Bottomfish", 1.0, 1.0, 1)],
+        "id string, ID_CODE string, locn string, year string, Block string, SP_CODE double, Common_Name string, TripType_Description string, "
         "Total_Obs_Fish_Caught double, Ob_AvKWgt double, Ob_Weighed_Fish bigint",
     )
     rc = spark.createDataFrame(
-        [("IDt1", "IDt", "2012", "X", 8827010201.0, "lingcod", 1.0, 1.0, 1.0, 3.0, 2.0),
-         ("IDt1", "IDt", "2012", "X", 8857030309.0, "California halibut", 0.0, 0.0, 4.0, 4.0, 0.0)],
-        "id string, ID_CODE string, year string, Block string, SP_CODE double, Common_Name string, "
+        [("IDt1", "IDt", "2012", "X", 8827010201.0, "lingcod", "Bottomfish", 1.0, 1.0, 1.0, 3.0, 2.0),
+         ("IDt1", "IDt", "2012", "X", 8857030309.0, "California halibut", "Inshore", 0.0, 0.0, 4.0, 4.0, 0.0)],
+        "id string, ID_CODE string, year string, Block string, SP_CODE double, Common_Name string, TripType_Description string, "
         "Rep_Released_Alive double, Rep_Released_Dead double, Rep_Kept double, Total_Rep_Fish_Caught double, Rep_Released double",
     )
     oe = spark.createDataFrame(
@@ -212,7 +212,7 @@ def test_assemble(spark, lookup):
         "id_noloc string, year string, Block string, Common_Name string, TripType_Description string, "
         "Days double, Cntrbs double, Vessels double, AnglerDays double",
     )
-    stage = A.assemble(oc, rc, oe, lookup)
+    stage = A.assemble(oc, rc, oe)
     columns = ["id", "SP_CODE", "TripType_Description_catch", "Ob_AvKWgt", "Total_Fish_Caught", "AnglerDays"]
     assert values(stage.kept, *columns) == [
         ("IDe", None, None, 0.0, 0.0, 1.0),
@@ -221,3 +221,10 @@ def test_assemble(spark, lookup):
         ("IDt1", 8857030309.0, "Inshore", 0.0, 4.0, 2.0),
     ]
     assert values(stage.rejects, "id", REASON) == [("IDz1", R.CATCH_NO_EFFORT)]
+    assert values(A.effort_without_catch(A.with_effort(A.all_catch(oc, rc), oe)), "id") == [("IDe",)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = stage.kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") <= 4

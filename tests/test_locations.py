@@ -132,7 +132,10 @@ def test_merging(spark):
 
 
 def test_stacking_leaves_the_replaced_year(spark):
-    old = text_frame(spark, ["ID_CODE", "YEAR"], [("a", "2015"), ("b", "2016"), ("c", None)])
+    old = text_frame(spark, ["ID_CODE", "YEAR"], [("a", "2015"), ("b", "2016"), ("c", None), ("e", "20I2")])
     new = text_frame(spark, ["id_code", "YEAR", "extra"], [("d", "2016", "x")])
     out = L.stack_locations(old, old.filter(F.lit(False)), new)
-    assert values(out, "ID_CODE", "YEAR", "extra") == [("a", "2015", None), ("d", "2016", "x")]
+    assert values(out, "ID_CODE", "YEAR", "extra", "stack_reason") == [
+        ("a", "2015", None, None), ("b", "2016", None, R.LOCATION_REPLACED), ("c", None, None, R.LOCATION_NO_YEAR),
+        ("d", "2016", "x", None), ("e", "20I2", None, None),
+    ]

@@ -1,4 +1,5 @@
 import csv
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +49,60 @@ def test_yearly_files(spark, tmp_path):
     assert values(files, "file_name") == [("PR1_i8_2016.csv",), ("PR1_i8_2017.csv",)]
 
 
+def test_files_with_other_column_orders(spark, tmp_path):
+    a = put(tmp_path / "a_i1.csv", ["id_code", "YEAR"], [("a", 2016)])
+    b = put(tmp_path / "b_i1.csv", ["YEAR", "id_code"], [(2017, "b")])
+    assert values(readers.read_raw(spark, [a, b]), "id_code", "YEAR") == [("a", "2016"), ("b", "2017")]
+    assert values(readers.read_yearly(spark, str(tmp_path), "i1"), "id_code", "YEAR") == [("a", "2016"), ("b", "2017")]
+    put(tmp_path / "c_i1.csv", ["YEAR", "other"], [(2018, "c")])
+    with pytest.raises(ValueError, match="c_i1.csv.*other"):
+        readers.read_yearly(spark, str(tmp_path), "i1")
+    with pytest.raises(ValueError):
+        readers.read_yearly(spark, str(tmp_path), "i9")
+
+
+def test_quoted_text_and_malformed_rows(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('a,b,c\n1,"x ""y"", z",k\n2,"two\nlines",k\n3,surplus,k,l\n')
+    assert values(readers.read_raw(spark, str(path)).filter("a = '1'")) == [("1", 'x "y", z', "k")]
+    whole = readers.read_raw(spark, str(path), multi_line=True)
+    assert values(whole.filter("a = '2'")) == [("2", "two\nlines", "k")] and whole.count() == 3
+    assert values(readers.malformed_rows(spark, str(path), multiLine="true")) == [("q.csv", 3, 1)]
+    assert values(readers.malformed_rows(spark, str(path))) == [("q.csv", 4, 3)]
+    df = spark.createDataFrame([('x "y", z', "a"), ('"', None)], "x string, y string")
+    back = writers.write_table(df, str(tmp_path / "t"), "csv")
+    assert values(back) == values(df) == values(readers.read_raw(spark, str(tmp_path / "t")))
+
+
+def test_files_of_a_partitioned_table(spark, tmp_path):
+    df = spark.range(0, 40_000, 1, 16).selectExpr("id", "cast(2004 + id % 19 as string) as year")
+    back = writers.write_table(df, str(tmp_path / "t"), partition_by=["year"])
+    assert back.count() == 40_000
+    files = list((tmp_path / "t").glob("year=*/*.parquet"))
+    assert len(files) <= 2 * 19
+
+
+def test_parts_and_holes(spark, tmp_path):
+    square = lambda x, y, d: [(x, y), (x + d, y), (x + d, y + d), (x, y + d)]
+    rings = [square(0.0, 0.0, 10.0), square(20.0, 0.0, 5.0), square(2.0, 2.0, 3.0), square(3.0, 3.0, 1.0)]
+    layer = spark.createDataFrame([("A", rings, 7)], "NM_INDEX string, rings array<array<struct<x: double, y: double>>>, n int")
+    writers.write_layer(layer, str(tmp_path / "l"))
+    feature = json.loads(spark.read.text(str(tmp_path / "l")).first()[0])
+    parts = feature["geometry"]["coordinates"]
+    assert feature["geometry"]["type"] == "MultiPolygon" and feature["properties"] == {"NM_INDEX": "A", "n": 7}
+    assert sorted(len(p) for p in parts) == [1, 1, 2]  # the island in the hole is a part of its own
+    assert all(ring[0] == ring[-1] and len(ring) == 5 for part in parts for ring in part)
+    back = readers.read_polygons(spark, str(tmp_path / "l")).first()["rings"]
+    assert sorted(tuple((p.x, p.y) for p in ring) for ring in back) == sorted(map(tuple, rings))
+
+
+def test_stages_are_removed(spark):
+    first, second = session.stage_table(spark.range(3).toDF("n"), "gone"), session.stage_table(spark.range(4).toDF("n"), "stays")
+    assert session.drop_stages(spark, first) == 1 and second.count() == 4
+    with pytest.raises(Exception):  # noqa: B017, PT011
+        first.count()
+
+
 def test_lookups(spark, tmp_path):
     path = put(tmp_path / "species.csv", ["PSMFC_Code", "ALPHA5", "Common_Name", "TripType_Description"], SPECIES)
     names = values(readers.read_species(spark, path), "Common_Name")
@@ -120,7 +175,8 @@ def test_rebuild(spark, tmp_path):
         i3_old=frame(I3, {"ID_CODE": id_code(2), "WGT": "1.5", "FSHINSP": "6", **fish}, {"ID_CODE": id_code(3), "WGT": "WGT", "FSHINSP": "1", **fish}),
         i3_new=frame(I3 + ["assnid"], {"ID_CODE": id_code(4, 2018), "YEAR": "2018", "SP_CODE": "8857030309", "FSHINSP": "2"}),
         i8_old_north=frame(I8, {"ID_CODE": id_code(1), "block1": "1035", **spot}, {"ID_CODE": id_code(2), "block1": "1035", "block2": "1036", **spot},
-                           {"ID_CODE": id_code(8), "YEAR": "2016", "MODE_FX": "7", "block1": "1035"}),
+                           {"ID_CODE": id_code(8), "YEAR": "2016", "MODE_FX": "7", "block1": "1035"},
+                           {"ID_CODE": id_code(9), "MODE_FX": "7", "block1": "1035"}),
         i8_old_south=frame(I8, {"ID_CODE": id_code(3), "ddlat": "36.5", "ddlong": "122.5", **spot}),
         i8_new=frame(["id_code" if c == "ID_CODE" else c for c in I8], {"id_code": id_code(4, 2018), "YEAR": "2018", "MODE_FX": "7", "block1": "1035"}),
         species=species.clean_species(raw),
@@ -135,6 +191,15 @@ def test_rebuild(spark, tmp_path):
     # the follower's catch in a block its leader did not report has no effort
     assert values(tables["all_by_id_notused"], "Block", REASON) == [("1036-", R.CATCH_NO_EFFORT)]
     assert values(tables["blocks_off_map"], "Block", "n") == [("1035-", 2)]
+    assert values(tables["blocks_off_map_rows"], "Block", REASON) == [("1035-", R.BLOCK_OFF_MAP)] * 2
+    for stage in ("location", "oc", "rc", "oe", "all_by_id"):
+        assert tables[f"{stage}_reconciled"].first()["balanced"], stage
+    assert values(tables["schema_differences"]) == sorted(
+        [("i1", "DAYSF", "old"), ("i1", "daysf", "new"), ("i2", "assnid", "new"), ("i3", "assnid", "new"),
+         ("i8", "ID_CODE", "old"), ("i8", "id_code", "new")], key=repr)
+    replaced = tables["location_cleaned_notused"].filter(F.col(REASON).isin(R.LOCATION_REPLACED, R.LOCATION_NO_YEAR))
+    assert values(replaced, "ID_CODE", REASON) == [(id_code(8), R.LOCATION_REPLACED), (id_code(9), R.LOCATION_NO_YEAR)]
+    assert tables["leader_fan_out"].isEmpty() and tables["effort_without_catch"].columns[0] == "id"
     counts = {r[REASON]: r["Count"] for r in tables["rc_notused_summary"].collect()}
     assert counts[R.NO_LOCATION] == 1 and sum(counts.values()) == 1
     assert tables["location_duplicate_rate"].first() == (4, 1, 0.0)

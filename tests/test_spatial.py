@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from creelgrid.functions import geometry as G
 from creelgrid.operators import spatial
 
+FLATTENING = 1 / G.INVERSE_FLATTENING
+E2 = FLATTENING * (2 - FLATTENING)
 SCHEMA = "NM_INDEX string, rings array<array<struct<x: double, y: double>>>"
 
 
@@ -50,6 +52,33 @@ def test_against_brute_force(spark):
         assert {tuple(r) for r in located} == expected
 
 
+def test_one_large_polygon_among_small_ones(spark):
+    rnd = random.Random(3)
+    square = lambda x, y, d: [[(x, y), (x + d, y), (x + d, y + d), (x, y + d)]]
+    shapes = [(f"s{i}", square(round(rnd.uniform(-10, 10), 2), round(rnd.uniform(-10, 10), 2), 0.02)) for i in range(2000)]
+    shapes.append(("large", square(-10.0, -10.0, 20.0)))
+    layer = spark.createDataFrame(shapes, SCHEMA)
+    edges = spatial.with_edges(layer)
+    covers = spatial.cover_levels(edges, spatial.grid_cells(edges))
+    assert sum(c.count() for c in covers.values()) < 5 * len(shapes) + 25
+    points = [(n, x + 0.01, y + 0.01) for n, (_, ((x, y), *_),) in enumerate((s, r[0]) for s, r in shapes[:40])] + [(99, 50.0, 50.0)]
+    frame = spark.createDataFrame(points, "n int, lon double, lat double")
+    got = {tuple(r) for r in spatial.locate_points(frame, layer).select("n", "NM_INDEX").collect()}
+    want = set()
+    for n, px, py in points:
+        hits = [s for s, ((a, _, c, _),) in shapes if a[0] <= px <= c[0] and a[1] <= py <= c[1]]
+        want |= {(n, h) for h in hits} or {(n, None)}
+    assert got == want and (99, None) in got
+
+
+def test_published_control_point():
+    """Snyder, USGS PP 1395, p. 292: Albers on Clarke 1866, parallels 29.5 and 45.5."""
+    k = G.cone(6378206.4, 0.00676866, 29.5, 45.5, 23.0)
+    assert k["n"] == pytest.approx(0.6029035, abs=1e-7)
+    assert k["c"] == pytest.approx(1.3491594, abs=1e-7)
+    assert k["rho0"] == pytest.approx(9929079.6, abs=0.2)
+
+
 def test_point_without_coordinate_stays(spark):
     layer = spark.createDataFrame([("A", [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]])], SCHEMA)
     frame = spark.createDataFrame([(1, None, 0.5)], "n int, lon double, lat double")
@@ -60,7 +89,7 @@ def forward(lon, lat):
     """Forward projection, only to check the inverse."""
     k = G.albers_constants()
     theta = k["n"] * math.radians(lon - G.MERIDIAN)
-    rho = G.SEMI_MAJOR * math.sqrt(k["c"] - k["n"] * G._q(math.radians(lat))) / k["n"]
+    rho = G.SEMI_MAJOR * math.sqrt(k["c"] - k["n"] * G._q(math.radians(lat), E2)) / k["n"]
     return rho * math.sin(theta), k["rho0"] - rho * math.cos(theta) + G.FALSE_NORTHING
 
 
