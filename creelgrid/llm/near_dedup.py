@@ -5,8 +5,9 @@ from __future__ import annotations
 from bisect import bisect_left
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creelgrid.session import stage_table
@@ -17,6 +18,10 @@ from .components import components
 #: Words of a k-mer, components of a sketch, minima in each, and the least similarity of near duplicates
 #: as a fraction (so that it is compared in whole numbers).
 K, SKETCHES, MINIMA, LEAST = 5, 24, 4, (4, 5)
+#: Turns of leaders before all that is left apart is compared.
+TURNS = 2
+#: Nodes in one row of the lists that are counted then.
+LIST = 1000
 
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, SKETCHES, np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -24,8 +29,7 @@ _known: dict[bytes, int] = {}
 
 
 def kmers(words: list[bytes]) -> np.ndarray:
-    """Hashes of the runs of ``K`` words in text order, each labelled with its occurrence number; a shorter
-    text is one run. Labelled runs differ, so that the second occurrence of a run is an item of its own."""
+    """Hashes (40 bits) of the runs of ``K`` words in text order; a shorter text is one run."""
     import xxhash
 
     if not words:
@@ -39,18 +43,25 @@ def kmers(words: list[bytes]) -> np.ndarray:
     for k in range(min(K, len(base))):
         runs = (runs ^ base[k : k + n]) * _PRIME
         runs ^= runs >> np.uint64(32)
+    return runs >> np.uint64(24)
+
+
+def labelled(runs: np.ndarray) -> np.ndarray:
+    """Runs with their occurrence number: the second occurrence of a run is an item of its own."""
+    n = len(runs)
     order = np.argsort(runs, kind="stable")
     sorted_ = runs[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-    if len(starts) < n:
-        number = np.empty(n, np.uint64)
-        number[order] = (np.arange(n) - np.repeat(starts, np.diff([*starts, n]))).astype(np.uint64)
-        runs = runs ^ (number * np.uint64(0xC2B2AE3D27D4EB4F))
-    return runs
+    starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if n else np.zeros(0, np.int64)
+    if len(starts) == n:
+        return runs
+    number = np.empty(n, np.uint64)
+    number[order] = (np.arange(n) - np.repeat(starts, np.diff([*starts, n]))).astype(np.uint64)
+    return runs | number << np.uint64(40)
 
 
 def order_sketch(runs: np.ndarray) -> list[int]:
     """Per component, the ``MINIMA`` least labelled runs under its hash, put together in text order."""
+    runs = labelled(runs)
     out: list[int] = []
     step = max(1, (1 << 19) // max(1, len(runs)))
     for k in range(0, SKETCHES, step):
@@ -70,30 +81,73 @@ def order_sketch(runs: np.ndarray) -> list[int]:
     return out
 
 
+def _prefix_hashes(runs: np.ndarray) -> np.ndarray:
+    powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(runs), _PRIME)]))
+    return np.concatenate([[np.uint64(0)], np.cumsum((runs * _PRIME ^ runs >> np.uint64(7)) * powers[:-1], dtype=np.uint64)]), powers
+
+
+def gaps(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """Least number of runs without a partner in an alignment of ``a`` and ``b``; ``most`` + 1 if more.
+
+    With each gap the alignment reaches one diagonal further, so the band is as wide as gaps are allowed.
+    All diagonals advance together; how far texts agree from two places comes from prefix hashes.
+    """
+    n, m = len(a), len(b)
+    (hash_a, powers), (hash_b, more) = _prefix_hashes(a), _prefix_hashes(b)
+    powers = powers if n > m else more
+
+    def agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        low, high = np.zeros(len(x), np.int64), np.minimum(n - x, m - y)
+        shift = y - x  # hashes of places apart are compared at the same power
+        up, down = powers[np.maximum(shift, 0)], powers[np.maximum(-shift, 0)]
+        while (open_ := low < high).any():
+            middle = (low + high + 1) >> 1
+            same = (hash_a[x + middle] - hash_a[x]) * up == (hash_b[y + middle] - hash_b[y]) * down
+            low, high = np.where(open_ & same, middle, low), np.where(open_ & ~same, middle - 1, high)
+        return low
+
+    reach = np.full(2 * most + 5, -1, np.int64)  # furthest place in a, per diagonal
+    middle = most + 2
+    reach[middle + 1] = 0
+    for d in range(most + 1):
+        diagonals = np.arange(-d, d + 1, 2)
+        x = np.maximum(reach[middle + diagonals - 1] + 1, reach[middle + diagonals + 1])
+        if d == 0:
+            x = np.zeros(1, np.int64)
+        inside = (x <= n) & (x - diagonals <= m) & (x - diagonals >= 0)
+        diagonals, x = diagonals[inside], x[inside]
+        x = x + agree(x, x - diagonals)
+        reach[middle + diagonals] = x
+        if ((x >= n) & (x - diagonals >= m)).any():
+            return d
+    return most + 1
+
+
 def aligned(a: np.ndarray, b: np.ndarray) -> int:
-    """Runs that a banded alignment of two texts matches, or 0 if too few for the least similarity.
+    """Runs that an alignment of two texts matches, at least as many as the least similarity asks, or 0.
 
-    Similarity is L / (len(a) + len(b) - L) with L the longest common subsequence of the labelled runs.
-    As many gaps as the least similarity allows bound how far apart matched places can be: the band.
+    Similarity is L / (len(a) + len(b) - L) with L the longest common subsequence of the runs. Counts of
+    common runs bound L from above; labelled runs in the order of both texts bound it from below, which
+    settles nearly every pair; the banded alignment decides the others.
     """
     up, down = LEAST
     total = len(a) + len(b)
     enough = -(-up * total // (up + down))  # least L
-    _, at, in_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    if len(at) < enough:
-        return 0
-    places = in_b[np.argsort(at)]
-    at = np.sort(at)
-    places = places[np.abs(at - places) <= total - 2 * enough]
-    if len(places) < enough:
+    most = total - 2 * enough
+    _, at, places = np.intersect1d(labelled(a), labelled(b), assume_unique=True, return_indices=True)
+    if len(at) < enough or most < 0:
         return 0
+    places = places[np.argsort(at)]
+    ends: list[int] = []  # longest increasing subsequence of the places
     if (places[1:] > places[:-1]).all():
         return len(places)
-    ends: list[int] = []  # longest increasing subsequence of the places
     for x in places.tolist():
         k = bisect_left(ends, x)
         ends[k : k + 1] = [x]
-    return len(ends) if len(ends) >= enough else 0
+    if len(ends) >= enough:
+        return len(ends)
+    found = gaps(a, b, most)
+    return (total - found) // 2 if found <= most else 0
 
 
 def _sketched(docs: DataFrame, kind: str) -> DataFrame:
@@ -128,7 +182,7 @@ def _runs_of(docs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
                 [
                     batch.column("doc_id"),
                     pa.array([xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words], pa.binary()),
-                    pa.array([(kmers(w) >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for w in words], pa.binary()),
+                    pa.array([kmers(w).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for w in words], pa.binary()),
                 ],
                 ["node", "digest", "runs"],
             )
@@ -139,7 +193,7 @@ def _runs_of(docs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    """Runs kept as 40 bits."""
+    """Runs from their 40 bits."""
     wide = np.zeros((len(data) // 5, 8), np.uint8)
     wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
     return wide.view("<u8").ravel()
@@ -156,11 +210,96 @@ def _verified(pairs: DataFrame, runs: DataFrame, kind: str) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    of = lambda end: runs.select(F.col("node").alias(end), F.col("runs").alias(f"runs_{end}"))
+    def of(end: str) -> DataFrame:
+        wanted = pairs.select(F.col(end).alias("node")).distinct()
+        return runs.join(wanted, "node", "left_semi").select(F.col("node").alias(end), F.col("runs").alias(f"runs_{end}"))
+
     joined = pairs.join(of("b"), "b").join(of("a"), "a").select("a", "b", "runs_a", "runs_b")
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _near(x: str, y: str) -> Column:
+    """Whether two counts of runs allow the least similarity."""
+    up, down = LEAST
+    return (F.col(x) * down >= F.col(y) * up) & (F.col(y) * down >= F.col(x) * up)
+
+
+def _star(entries: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's leader with the members of other classes.
+
+    The first leaders are the nodes that share components with most others, such as the text that all of a
+    group were made from; later ones are drawn anew for each bucket and turn."""
+    if turn:
+        order = F.xxhash64("node", "bucket", F.lit(turn))
+    else:
+        central = entries.groupBy("node").agg(F.sum("members").alias("met"))
+        entries, order = entries.join(central, "node"), -F.col("met")
+    leads = entries.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "node", "n", "label")).alias("l"))
+    leads = leads.select("bucket", F.col("l.node").alias("lead"), F.col("l.n").alias("lead_n"), F.col("l.label").alias("lead_label"))
+    pairs = entries.join(leads, "bucket").filter((F.col("label") != F.col("lead_label")) & _near("n", "lead_n"))
+    return pairs.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+
+
+def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """The entries of buckets that hold more than one class, with the class of each."""
+    classed = entries.select("bucket", "node", "n").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = classed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
+    return classed.join(mixed, "bucket", "left_semi").select("bucket", "node", "n", "label")
+
+
+def _items(runs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
+    """(node, n, label, item): the labelled runs of the nodes, one row each."""
+
+    def run(batches):
+        for batch in batches:
+            found = [labelled(_unpack(x)) for x in batch.column("runs").to_pylist()]
+            at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            kept = batch.select(["node", "n", "label"]).take(pa.array(at))
+            yield kept.append_column("item", pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)))
+
+    return runs.join(nodes, "node").select("node", "n", "label", "runs").mapInArrow(run, f"node {kind}, n long, label {kind}, item long")
+
+
+def _apart(entries: DataFrame, runs: DataFrame, kind: str) -> DataFrame:
+    """All pairs of different classes that can reach the least similarity, among the nodes of mixed buckets.
+
+    Two texts that do share more than four fifths of the longer one's runs, and so some of the rarest fifth
+    of either, its head. Common runs outside both heads are no more than the longer rest, so the heads must
+    share the others: an exact bound, which pairs that merely have a source or passage in common miss. The
+    nodes of a run are a list, and the lists of a node's runs are counted in its task: pairs below the bound
+    never become rows. Lists are cut at ``LIST`` nodes.
+    """
+    up, down = LEAST
+    nodes = entries.select("node", "n", "label").distinct()
+    items = stage_table(_items(runs, nodes, kind), "items")
+    often = items.groupBy("item").agg(F.count("*").alias("df")).filter("df > 1")
+    ranked = items.join(often, "item", "left").select("node", "n", "label", F.struct(F.coalesce("df", F.lit(1)).alias("df"), "item").alias("r"))
+    own = ranked.groupBy("node", "n", "label").agg(F.array_sort(F.collect_list("r")).alias("own"))
+    head = F.expr(f"slice(own, 1, cast(n - (n * {up} + {down - 1}) div {down} + 1 as int))")
+    heads = own.select("node", "n", "label", F.explode(F.filter(head, lambda r: r["df"] > 1)).alias("r"))
+    heads = stage_table(heads.select("node", "n", "label", F.col("r.item").alias("key"), F.col("r.df").alias("df")), "heads")
+    mixed = heads.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last")).filter("first <> last")
+    keys = stage_table(heads.join(mixed.select("key", "first"), "key"), "mixed")
+    slot = F.pmod(F.xxhash64("node"), F.expr(f"df div {LIST} + 1"))
+    lists = keys.groupBy("key", slot.alias("slot")).agg(F.collect_list("node").alias("others"), F.collect_list("n").alias("sizes"))
+    left = keys.filter("label <> first").select("key", F.col("node").alias("x"), F.col("n").alias("x_n"))
+
+    def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        others, place, shared = np.unique(np.concatenate(rows["others"].to_list()), return_index=True, return_counts=True)
+        sizes, own_n = np.concatenate(rows["sizes"].to_list())[place], int(rows["x_n"].iloc[0])
+        enough = -(-up * (sizes + own_n) // (up + down))
+        rest = np.maximum(sizes, own_n) * up
+        rest = -(-rest // down) - 1  # runs outside the longer text's head
+        near = (sizes * down >= own_n * up) & (own_n * down >= sizes * up)
+        found = others[near & (shared >= enough - rest) & (others != key[0])]
+        return pd.DataFrame({"x": np.full(len(found), key[0]), "y": found})
+
+    counted = left.join(lists, "key").groupBy("x").applyInPandas(count, f"x {kind}, y {kind}")
+    pairs = counted.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    of = lambda end: nodes.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter("a_label <> b_label").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, class_size, kept.
 
@@ -171,9 +310,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     0.8 once in some 300,000, pairs above less. A class is a connected component of copies and links;
     class_id is its least id, class_size counts its rows, and the row with that id is kept.
 
-    Copies count once. The rest of a bucket is compared with its least id only, which joins large groups
-    in linear work; then, in each bucket, those outside that id's class are compared with every member of
-    another class, so no link between buckets' members is left out that would join two classes.
+    Copies count once. The members of a bucket are compared with one leader only, then, if they are still
+    in different classes, with another: linear work, which joins large groups. What is left in buckets of
+    several classes is compared by an exact filter (see ``_apart``), so no link among it is lost.
 
     Texts without words, null ones too, are linked to nothing and kept. Rows without an id are in a class
     only as copies; a class of such rows alone has a null class_id and keeps them all. Rows that share an
@@ -189,29 +328,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = copies.filter("node is not null")
     heads = rows.join(known.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"])
     entries = heads.select(F.col("doc_id").alias("node"), "n", F.explode("sketch").alias("bucket")).distinct()
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("lead"), F.count("*").alias("members")).filter("members > 1")
-    entries = stage_table(entries.join(shared.select("bucket", "lead"), "bucket"), "buckets")
-
-    near = lambda x, y: (F.col(x) * LEAST[1] >= F.col(y) * LEAST[0]) & (F.col(y) * LEAST[1] >= F.col(x) * LEAST[0])
-    leads = entries.filter("node = lead").select("bucket", F.col("n").alias("lead_n"))
-    star = entries.filter("node <> lead").join(leads, "bucket").filter(near("n", "lead_n"))
-    star = stage_table(star.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "star")
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    entries = stage_table(entries.join(shared, "bucket").withColumn("label", F.col("node")), "buckets")
     nodes = entries.select("node").distinct()
     runs = stage_table(_runs_of(picked, known.join(nodes, "node", "left_semi"), kind), "runs")
-    links = stage_table(_verified(star, runs, kind), "verified")
-    labels = stage_table(components(links), "labels")
-
-    # What the stars left apart: members outside the class of their bucket's least id.
-    classed = entries.join(labels, "node", "left").select("bucket", "node", "n", "lead", F.coalesce("label", "node").alias("label"))
-    classed = stage_table(classed, "classed")
-    lead_label = classed.filter("node = lead").select("bucket", F.col("label").alias("lead_label"))
-    left = classed.join(lead_label, "bucket").filter("label <> lead_label").select("bucket", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("label").alias("x_label"))
-    others = classed.filter("node <> lead").select("bucket", F.col("node").alias("y"), F.col("n").alias("y_n"), F.col("label").alias("y_label"))
-    rest = left.join(others, "bucket").filter((F.col("x_label") != F.col("y_label")) & near("x_n", "y_n"))
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = stage_table(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    more = stage_table(_verified(rest, runs, kind), "verified")
-    labels = stage_table(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more)), "labels")
+
+    # Leaders first: linear work joins large groups. What is still apart gets other leaders in the next turn.
+    labels = None
+    for turn in range(TURNS):
+        links = stage_table(_verified(stage_table(_star(entries, turn), "star"), runs, kind), "verified")
+        if turn and links.isEmpty():
+            break
+        if labels is not None:
+            links = links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))
+        labels = stage_table(components(links), "labels")
+        entries = stage_table(_open(entries, labels), "open")
+    # Then every pair of different classes.
+    links = _verified(stage_table(_apart(entries, runs, kind), "apart"), runs, kind)
+    labels = stage_table(components(links.union(labels.select(F.col("node").alias("a"), F.col("label").alias("b")))), "labels")
 
     # Rows that share an id share its class, whatever their texts.
     placed = copies.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("class_id"))
