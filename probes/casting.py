@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from creelgrid.operators.reshape import blanks_to_null
+from creelgrid.operators.species import clean_species
+from creelgrid.plans.rebuild import Survey
 from creelgrid.session import stage_table
 
 SOURCES = (
@@ -184,6 +186,18 @@ def location_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return i8.filter("block1 < '150'"), i8.filter("not coalesce(block1 < '150', false)"), new
 
 
+def raw_survey(spark: SparkSession, sf_dir: str) -> Survey:
+    """All raw tables of a rebuild, split into old and newer files at 2016."""
+    old, new = "try_cast(YEAR as int) < 2016 or try_cast(YEAR as int) is null", "try_cast(YEAR as int) >= 2016"
+    i1, i2, i3 = (survey(spark, sf_dir, name) for name in ("i1", "i2", "i3"))
+    north, south, newer = location_files(spark, sf_dir)
+    return Survey(
+        i1_old=i1.filter(old), i1_new=i1.filter(new), i2_old=i2.filter(old), i2_new=i2.filter(new),
+        i3_old=i3.filter(old), i3_new=i3.filter(new), i8_old_north=north, i8_old_south=south, i8_new=newer,
+        species=clean_species(survey(spark, sf_dir, "species_raw")), polygons=blocks(spark, sf_dir),
+    )
+
+
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map blocks with rings: squares that overlap their neighbours, and triangles."""
     flat = survey(spark, sf_dir, "blocks_flat")
