@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creelgrid.session import stage_table
+from creelgrid.session import drop_stages, stage_table
 
 from .base import by_size
 
 #: Sweeps, and the first of them that are not averaged; concentration of all restaurants; text bytes whose
 #: pairs make a bucket; documents that are sampled to find frequent words (which only routes their pairs),
 #: the share of the tokens that makes a word frequent, and so at most 1 / HOT_SHARE words.
-SWEEPS, BURN, CONCENTRATION, BUCKET_BYTES, HOT_SAMPLE, HOT_SHARE = 3, 1, 1.0, 16 << 20, 2000, 0.002
+SWEEPS, BURN, CONCENTRATION, BUCKET_BYTES, HOT_SAMPLE, HOT_SHARE = 3, 1, 1.0, 8 << 20, 2000, 0.002
 HOT = ("word", "customers", "tables")
 BEGIN, END = np.uint64(1), np.uint64(2)  # instead of word hashes
 
@@ -45,9 +45,9 @@ def tokens_of(text: str | None) -> list[bytes]:
 def hashes_of(words: list[bytes]) -> np.ndarray:
     import xxhash
 
-    if len(_known) > 400_000:
+    if len(_known) > 300_000:
         _known.clear()
-    _known.update([(w, xxhash.xxh64_intdigest(w)) for w in set(words) if w not in _known])
+    _known.update([(w, xxhash.xxh64_intdigest(w) >> 8) for w in set(words) if w not in _known])
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
@@ -128,7 +128,7 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
 
 def _pairs(batches, buckets: int, hot: np.ndarray, partition: int, id_type: pa.DataType):
     """Per slice of documents, its pairs for each bucket and one row that names the documents."""
-    for k, batch in enumerate(by_size(batches, most=8 << 20)):
+    for k, batch in enumerate(by_size(batches)):
         chunk = f"{partition}-{k}"
         texts = [tokens_of(t) for t in batch.column("text").to_pylist()]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -235,12 +235,20 @@ class Bucket:
         return tables, customers, all_tables
 
 
-def _answers(body: list | None, dishes: np.ndarray, sweep: dict) -> np.ndarray:
+def _by_word_bucket(dishes: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    """(word bucket, places in ``dishes`` of its words) for each; the same order when sent and answered."""
+    to = (mixed(dishes) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    cuts = _runs(to[order])
+    return [(int(to[order[a]]), order[a:b]) for a, b in zip(cuts, [*cuts[1:], len(order)])]
+
+
+def _answers(parts: list | None, dishes: np.ndarray, sweep: dict) -> np.ndarray:
     """Parent probabilities of ``dishes`` from what the word buckets sent back for one sweep."""
     held = np.zeros(len(dishes))
-    for part in body or ():
-        words, values = unpack(part)
-        held[np.searchsorted(dishes, words)] = values
+    values = {p["word_bucket"]: p["answer"] for p in parts or ()}
+    for number, places in _by_word_bucket(dishes, sweep["buckets"]):
+        held[places] = unpack(values[number])[0]
     return (held + sweep["back"] / sweep["words"]) / sweep["scale"]
 
 
@@ -257,7 +265,7 @@ def score(
     Null and empty texts are the end alone. Rows that repeat are scored each, and count each time they
     train; a null mark does not train; null ids stay. Without training rows the base and the model are
     uniform over the one unseen word. An empty table gives none. Other columns are not read. Words are
-    told apart by 64-bit hashes.
+    told apart by 56-bit hashes.
     """
     spark = docs.sparkSession
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(train_col), F.lit(False)).alias("train"))
@@ -309,11 +317,14 @@ def score(
     past: list[dict] = []
     for sweep in range(sweeps):
         last = past[-1] if past else None
-        sent = state.join(last["answers"], "bucket", "left") if last else state.withColumn("parts", F.lit(None).cast("array<binary>"))
+        sent = state.join(last["answers"], "bucket", "left") if last else state.withColumn("parts", F.lit(None).cast("array<struct<word_bucket:long,answer:binary>>"))
         messages = _send(sent.select("bucket", "body", "parts"), last, hot, discount, seed + sweep, buckets, hot_words)
         messages = stage_table(messages, "tables")
         hot = _hot_totals(messages.select("hot")) or hot
-        past.append(_parent(messages.filter("words is not null").select("word_bucket", "bucket", "words"), buckets, vocabulary + 1, past[-1] if past else None, seed + sweep))
+        if last and sweep - 1 < burn:
+            drop_stages(spark, last["table"])  # not averaged, and seated upon by now
+        past.append(_parent(messages.filter("words is not null").select("word_bucket", "bucket", "words"), buckets, vocabulary + 1, last, seed + sweep))
+        drop_stages(spark, messages)
 
     used = past[burn:] or past
     final = state.select("bucket", "body", "chunks")
@@ -358,7 +369,7 @@ def _hot_totals(hot: DataFrame) -> dict[int, tuple[float, float]]:
 
 def _send(state: DataFrame, last: dict | None, hot: dict, discount: float, seed: int, buckets: int, hot_words: np.ndarray) -> DataFrame:
     """Seat every bucket and send the tables of each second word to its word bucket."""
-    sweep = {k: last[k] for k in ("back", "words", "scale")} if last else None
+    sweep = {k: last[k] for k in ("back", "words", "scale", "buckets")} if last else None
 
     def run(batches):
         for batch in batches:
@@ -367,14 +378,11 @@ def _send(state: DataFrame, last: dict | None, hot: dict, discount: float, seed:
                 parent = _answers(parts, own.dishes, sweep) if sweep else None
                 tables, customers, _ = own.seated(parent, hot, discount, seed * 1_000_003 + number)
                 sent = np.bincount(own.which, tables, minlength=len(own.dishes)).astype(np.int64)
-                to = (mixed(own.dishes) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
-                cuts = _runs(to[order])
                 wide = np.isin(own.first, hot_words)
                 mine = own.totals(own.customers)
                 here = own.totals(tables)
                 totals = [{"word": int(w), "customers": float(c), "tables": float(t)} for w, c, t in zip(own.first[wide].view(np.int64), mine[wide], here[wide])]
-                rows = [(int(to[order[a]]), pack(own.dishes[order[a:b]], least_type(sent[order[a:b]]))) for a, b in zip(cuts, [*cuts[1:], len(order)])]
+                rows = [(k, pack(own.dishes[at], least_type(sent[at]))) for k, at in _by_word_bucket(own.dishes, buckets)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows] + [None], pa.int64()), pa.array([number] * (len(rows) + 1), pa.int64()), pa.array([r[1] for r in rows] + [None], pa.binary()), pa.array([None] * len(rows) + [totals], hot_type)],
                     ["word_bucket", "bucket", "words", "hot"],
@@ -396,15 +404,18 @@ def _parent(messages: DataFrame, buckets: int, words: float, last: dict | None,
         opening = np.full(len(dishes), (CONCENTRATION + discount * tables_before) / words)
         tables = seat(customers, opening, discount, np.random.default_rng(seed * 1_000_033 + int(key[0])))
         held = np.where(customers > 0, customers - discount * tables, 0).astype(np.float32)
-        answers = [pack(p[0], held[np.searchsorted(dishes, p[0])]) for p in parts]
+        answers = [pack(held[np.searchsorted(dishes, p[0])]) for p in parts]
         sums = [float(customers.sum()), float(tables.sum()), float((customers == 1).sum()), float((customers == 2).sum())]
-        return pd.DataFrame([(b, a, None if i else sums) for i, (b, a) in enumerate(zip(rows.bucket, answers))], columns=["bucket", "answer", "sums"], dtype=object)
+        out = [(b, key[0], a, None if i else sums) for i, (b, a) in enumerate(zip(rows.bucket, answers))]
+        return pd.DataFrame(out, columns=["bucket", "word_bucket", "answer", "sums"], dtype=object)
 
-    answers = stage_table(messages.groupBy("word_bucket").applyInPandas(run, "bucket long, answer binary, sums array<double>"), "parents")
+    schema = "bucket long, word_bucket long, answer binary, sums array<double>"
+    answers = stage_table(messages.groupBy("word_bucket").applyInPandas(run, schema), "parents")
     sums = [x or 0.0 for x in answers.select(*(F.sum(F.col("sums")[i]) for i in range(4))).first()]
     customers, tables, ones, twos = sums
     return {
-        "answers": answers.groupBy("bucket").agg(F.collect_list("answer").alias("parts")),
+        "answers": answers.groupBy("bucket").agg(F.collect_list(F.struct("word_bucket", "answer")).alias("parts")),
+        "table": answers, "buckets": buckets,
         "back": CONCENTRATION + discount * tables, "scale": CONCENTRATION + customers, "words": words,
         "tables": tables, "discount": _discount(ones, twos) if last is None else discount,
     }
@@ -412,7 +423,7 @@ def _parent(messages: DataFrame, buckets: int, words: float, last: dict | None,
 
 def _document_sums(state: DataFrame, used: list[dict], hot: dict, discount: float, base: dict, seed: int) -> DataFrame:
     """Of each bucket and slice, what its pairs add to each document: known tokens, base score, score."""
-    sweeps = [{k: s[k] for k in ("back", "words", "scale")} for s in used]
+    sweeps = [{k: s[k] for k in ("back", "words", "scale", "buckets")} for s in used]
 
     def run(batches):
         for batch in batches:
