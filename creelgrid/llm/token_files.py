@@ -100,9 +100,27 @@ def _cache(path: str) -> tuple[UnitCache, int]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
 
+    # A token of a byte-level vocabulary has a character per byte.
+    widths = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        widths[i] = len(token)
+
     def encode(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        """Units that begin with a blank and do not end in one are encoded many at a time, as one text; the
+        widths of the tokens tell where each ends."""
+        out: list[bytes] = [b""] * len(texts)
+        joined = [i for i, t in enumerate(texts) if t[:1] == " " and not t[-1].isspace()]
+        groups = [joined[k : k + 256] for k in range(0, len(joined), 256)]
+        alone = sorted(set(range(len(texts))) - set(joined))
+        found = tokenizer.encode_batch_fast(["".join([texts[i] for i in g]) for g in groups], add_special_tokens=False)
+        for group, coded in zip(groups, found):
+            ids = np.array(coded.ids, "<u4")
+            ends = np.searchsorted(np.cumsum(widths[ids]), np.cumsum([len(texts[i].encode()) for i in group])) + 1
+            for i, a, b in zip(group, [0, *ends[:-1].tolist()], ends.tolist()):
+                out[i] = ids[a:b].tobytes()
+        for i, coded in zip(alone, tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)):
+            out[i] = np.array(coded.ids, "<u4").tobytes()
+        return out
 
     return UnitCache(encode), tokenizer.get_vocab_size()
 
