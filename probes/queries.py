@@ -894,7 +894,7 @@ def weight_outliers(spark, sf_dir):
     return rounded(listed, "Total_Obs_Fish_Caught", "Ob_AvKWgt", "z_score_weight")
 
 
-_OUTLIER_SUMS = (*asm.MEASURES[:8], *asm.MEASURES[8:9], "AnglerDays", "Total_Fish_Caught")
+_OUTLIER_SUMS = (*(m for m in asm.MEASURES if m != "Vessels"), "Total_Fish_Caught")
 
 
 def _rate_outliers_sql(rate: str, name: str) -> str:
