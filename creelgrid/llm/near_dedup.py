@@ -34,7 +34,7 @@ def kmers(words: list[bytes]) -> np.ndarray:
 
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_known) > 500_000:
+    if len(_known) > 200_000:
         _known.clear()
     _known.update([(w, xxhash.xxh64_intdigest(w)) for w in set(words) if w not in _known])
     base = np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
@@ -63,7 +63,7 @@ def order_sketch(runs: np.ndarray) -> list[int]:
     """Per component, the ``MINIMA`` least labelled runs under its hash, put together in text order."""
     runs = labelled(runs)
     out: list[int] = []
-    step = max(1, (1 << 19) // max(1, len(runs)))
+    step = max(1, (1 << 17) // max(1, len(runs)))
     for k in range(0, SKETCHES, step):
         seeds = _SEEDS[k : k + step, None]
         mixed = (runs ^ seeds) * _PRIME
@@ -154,7 +154,7 @@ def _sketched(docs: DataFrame, kind: str) -> DataFrame:
     def run(batches):
         import xxhash
 
-        for batch in by_size(batches):
+        for batch in by_size(batches, most=2 << 20):
             digests, counts, sketches = [], [], []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
@@ -176,7 +176,7 @@ def _runs_of(docs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
     def run(batches):
         import xxhash
 
-        for batch in by_size(batches):
+        for batch in by_size(batches, most=2 << 20):
             words = [words_of(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
