@@ -106,6 +106,37 @@ def test_sketches_find_pairs_at_the_threshold():
     assert missed == 0
 
 
+def test_pairs_of_few_runs_share_a_bucket():
+    rng = random.Random(8)
+    for _ in range(3000):
+        a = [str(rng.random()).encode() for _ in range(rng.randint(4, 28))]
+        b = [str(rng.random()).encode() for _ in range(rng.randint(0, 5))]
+        b = b + a if rng.random() < 0.5 else a + b  # 8 and 9 words: 4 and 5 runs, similarity 0.8
+        x, y = near_dedup.kmers(a), near_dedup.kmers(b)
+        if min(len(x), len(y)) < near_dedup.FEW and near_dedup.aligned(x, y):
+            assert set(near_dedup.buckets(x)) & set(near_dedup.buckets(y))
+
+
+def test_pairs_with_a_repeated_passage_share_a_bucket():
+    rng = random.Random(9)
+    missed = 0
+    for _ in range(600):
+        p, x = ([str(rng.random()).encode() for _ in range(n)] for n in (50, 160))
+        a, b = near_dedup.kmers(p + x + p), near_dedup.kmers(x + p)
+        assert near_dedup.aligned(a, b)
+        missed += not set(near_dedup.buckets(a)) & set(near_dedup.buckets(b))
+    assert missed == 0
+
+
+def test_classes_of_few_runs(make_docs):
+    rows = []
+    for k in range(600):
+        words = [f"w{k}x{j}" for j in range(9)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:8]))]
+    got = near_dedup.near_duplicates(make_docs(rows)).collect()
+    assert all(r.class_id == r.doc_id // 2 * 2 for r in got)
+
+
 def test_order_matters_to_sketches():
     words = [str(k).encode() for k in range(200)]
     x = near_dedup.order_sketch(near_dedup.kmers(words))
