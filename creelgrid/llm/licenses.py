@@ -53,6 +53,50 @@ TEMPLATES = {
     "cc-by-sa-4.0": "licensed under [[a]] [[creative commons]] cc by sa 4 0",
     "cc-by-nc-4.0": "licensed under [[a]] [[creative commons]] cc by nc 4 0",
     "cc-by-nc-sa-4.0": "licensed under [[a]] [[creative commons]] cc by nc sa 4 0",
+    "cc-by-nd-4.0": "licensed under [[a]] [[creative commons]] cc by nd 4 0",
+    "cc-by-nc-nd-4.0": "licensed under [[a]] [[creative commons]] cc by nc nd 4 0",
+    "lgpl-3.0": "licensed under the gnu lesser general public license [[as published by the free software foundation]]"
+    " [[either]] version 3 [[of the license]] [[(or at your option any later version|only)]]",
+    "lgpl-2.1": "licensed under the gnu lesser general public license [[as published by the free software foundation]]"
+    " [[either]] version 2 1 [[of the license]] [[(or at your option any later version|only)]]",
+    "agpl-3.0": "licensed under the gnu affero general public license [[as published by the free software foundation]]"
+    " [[either]] version 3 [[of the license]] [[(or at your option any later version|only)]]",
+    "apache-2.0-notice": "licensed under the apache license version 2 0 [[the license]] you may not use this file except"
+    " in compliance with the license you may obtain a copy of the license at {1-10} unless required by applicable"
+    " law or agreed to in writing software distributed under the license is distributed on an as is basis without"
+    " warranties or conditions of any kind either express or implied see the license for the specific language"
+    " governing permissions and limitations under the license",
+}
+
+# The header of the GNU licenses, as published, and notices that name such a license by its terms.
+_GNU = (
+    "[[redistribute it and or modify it]] under the terms of the gnu {name} [[{short}]] [[as published by the free"
+    " software foundation]] [[either]] version {version} [[of the license]] [[as published by the free software foundation]]"
+    " [[(or at your option any later version|or any later version|only)]] [[{{1-6}} is distributed in the hope that it will"
+    " be useful but without any warranty without even the implied warranty of merchantability or fitness for a"
+    " particular purpose see the gnu {name} for more details]]"
+)
+TEMPLATES |= {
+    f"{short}-{version}-terms": _GNU.format(name=f"{name}general public license", short=short, version=version.removesuffix(".0").replace(".", " "))
+    for name, short, version in [
+        ("", "gpl", "2.0"), ("", "gpl", "3.0"), ("library ", "lgpl", "2.0"), ("lesser ", "lgpl", "2.1"),
+        ("lesser ", "lgpl", "3.0"), ("affero ", "agpl", "3.0"),
+    ]
+}
+
+# The long names of the Creative Commons licenses.
+_CC = {
+    "by": "attribution",
+    "by-sa": "attribution (sharealike|share alike)",
+    "by-nd": "attribution (noderivatives|noderivs|no derivatives|no derivs)",
+    "by-nc": "attribution (noncommercial|non commercial)",
+    "by-nc-sa": "attribution (noncommercial|non commercial) (sharealike|share alike)",
+    "by-nc-nd": "attribution (noncommercial|non commercial) (noderivatives|noderivs|no derivatives|no derivs)",
+}
+TEMPLATES |= {
+    f"cc-{short}-{version}-name": f"creative commons {name} {version.replace('.', ' ')} [[(international|unported|generic)]] [[public]] [[(license|licence)]]"
+    for short, name in _CC.items()
+    for version in ("2.0", "2.5", "3.0", "4.0")
 }
 
 _MARK = re.compile(r"\[\[|\]\]|\(|\||\)|\{(\d+)-(\d+)\}|[^\s\[\](){}|]+")

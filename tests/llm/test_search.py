@@ -66,6 +66,64 @@ def test_every_template_has_a_text(name):
     assert not found.places(changed, b" " + b" ".join(changed) + b" ")
 
 
+GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by
+the Free Software Foundation, either version {} of the License, or (at your option) any later version. This program is distributed
+in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+PARTICULAR PURPOSE. See the GNU {} for more details."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or
+agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF
+ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to
+do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or
+substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE
+AUTHOR DISCLAIMS ALL WARRANTIES"""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright
+holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior
+written permission."""
+PUBLISHED = [("apache-2.0-notice", APACHE, 0), ("mit", MIT, 0), ("isc", ISC, 0), ("bsd", BSD, 0)]
+PUBLISHED += [
+    (f"{label}-terms", GNU.format(name, version, name), 7)
+    for label, name, version in [
+        ("gpl-2.0", "General Public License", "2"), ("gpl-3.0", "General Public License", "3"),
+        ("lgpl-2.0", "Library General Public License", "2"), ("lgpl-2.1", "Lesser General Public License", "2.1"),
+        ("lgpl-3.0", "Lesser General Public License", "3"), ("agpl-3.0", "Affero General Public License", "3"),
+    ]
+]
+PUBLISHED += [
+    (f"cc-{label}-{version}-name", f"This work is licensed under a Creative Commons {name} {version} {kind} License.", 6)
+    for version, kind in (("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"), ("4.0", "International"))
+    for label, name in [
+        ("by", "Attribution"), ("by-sa", "Attribution-ShareAlike"), ("by-nd", "Attribution-NoDerivatives"),
+        ("by-nc", "Attribution-NonCommercial"), ("by-nc-sa", "Attribution-NonCommercial-ShareAlike"),
+        ("by-nc-nd", "Attribution-NonCommercial-NoDerivatives"),
+    ]
+]
+
+
+@pytest.mark.parametrize("label,text,first", PUBLISHED)
+def test_published_notices(label, text, first):
+    """The first span reaches from ``first`` to the end, and no other notice is found, but Apache's short sentence in the whole."""
+    words = words_of(text)
+    spaced = b" " + b" ".join(words) + b" "
+    found = {n: licenses.Template(t).places(words, spaced) for n, t in licenses.TEMPLATES.items()}
+    found = {n: p for n, p in found.items() if p}
+    assert set(found) - {"apache-2.0"} == {label}
+    assert found[label][0] == (first, len(words) - first)
+
+
+def test_published_notices_in_rows(make_docs):
+    rows = licenses.scan_licenses(make_docs(list(enumerate(t for _, t, _ in PUBLISHED)))).collect()
+    assert all(PUBLISHED[r.doc_id][0] in r.labels.split(",") and r.score == 1 for r in rows) and len(rows) == len(PUBLISHED)
+
+
 def test_license_rows(make_docs, odd_docs):
     docs = make_docs(
         [
