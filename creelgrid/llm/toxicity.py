@@ -16,6 +16,8 @@ from .base import by_size, words_of
 #: Hash buckets of terms; terms that the machine keeps at most; the least G-statistic of a kept term and
 #: the documents it must stand in; labelled rows in the training sample (expected number); factors.
 BUCKETS, TERMS, LEAST_G, LEAST_DOCS, SAMPLE, FACTORS = 1 << 18, 4096, 30.0, 5, 40_000, 8
+#: The least G-statistic of a term whose partners are looked for: weak alone, it may be strong beside one.
+LEAD_G = 10.0
 #: Score from which a text is marked.
 MARK = 0.7
 
@@ -92,15 +94,50 @@ def _g_statistic(with_1, with_0, all_1, all_0):
     return 2 * sum(np.where(c > 0, c * np.log(np.maximum(c, 1e-12) / np.maximum(e, 1e-12)), 0.0) for c, e in zip(cells, expected))
 
 
+def _alone(few: DataFrame) -> DataFrame:
+    """The least id of each group of near copies: rows of one label whose four least hashes all agree."""
+    return few.groupBy("y", *(f"s{k}" for k in range(_SKETCHES))).agg(F.min("id").alias("id")).select("id")
+
+
+def _partners(few: DataFrame, leads: dict[int, tuple[int, int]], often: list[int]) -> dict[int, float]:
+    """Terms of pairs, with the best G-statistic of one for the label among the rows that hold the other.
+
+    ``leads``: toxic rows and rows of the terms that a pair may begin with. A pair counts from ``LEAST_DOCS``
+    rows and a G-statistic of ``LEAST_G``; at most ``TERMS`` pairs, the strongest, come to the driver. Left out
+    beforehand are only terms that no such pair can hold: ``often`` are those in ``LEAST_DOCS`` rows, and a lead
+    whose rows a term that told the label apart would give less than ``LEAST_G`` has no partner."""
+    leads = {a: (y, n) for a, (y, n) in leads.items() if 0 < y < n and _g_statistic(y, 0, y, n - y) >= LEAST_G}
+    if not leads:
+        return {}
+
+    def run(frames):
+        for pairs in frames:
+            all_1, held = np.array([leads[a] for a in pairs.a], float).reshape(-1, 2).T
+            with_1, with_0 = pairs.with_1.to_numpy(float), (pairs.held - pairs.with_1).to_numpy(float)
+            g = _g_statistic(with_1, with_0, all_1, held - all_1)
+            yield pairs.assign(g=g)[["a", "b", "g"]][g >= LEAST_G]
+
+    own = few.sparkSession.createDataFrame([(list(leads), often)], "own array<int>, often array<int>")  # one row
+    pairs = few.join(F.broadcast(own)).select("y", F.array_intersect("terms", "often").alias("terms"), F.explode(F.array_intersect("terms", "own")).alias("a"))
+    pairs = pairs.select("y", "a", F.explode("terms").alias("b")).filter("a <> b")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("y").alias("with_1"), F.count("*").alias("held")).filter(F.col("held") >= LEAST_DOCS)
+    best = pairs.mapInPandas(run, "a int, b int, g double").orderBy(F.desc("g"), "a", "b").limit(TERMS).toPandas()
+    out: dict[int, float] = {}
+    for a, b, g in best.itertuples(index=False):
+        out[a], out[b] = max(out.get(a, 0.0), g), max(out.get(b, 0.0), g)
+    return out
+
+
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE
 ) -> Machine:
     """Fit the machine on a bounded sample of labelled rows, whole texts.
 
     About ``sample`` labelled ids are taken by a hash of the id; only these few are broadcast, to be found
-    in ``docs``. Of near copies (a shared least hash of three-word runs) one row teaches. Terms with a high
-    G-statistic for the label come to the driver, at most ``TERMS``, with the rows of the sample reduced to
-    them. Rows without a label or text teach nothing; an id with several labels counts as 1 if any is 1.
+    in ``docs``. Of near copies of one label (all four least hashes of three-word runs agree) one row teaches.
+    Terms with a high G-statistic for the label come to the driver, at most ``TERMS``, with the rows of the
+    sample reduced to them; so do terms without one that have it among the rows of another term, and that
+    other (from ``LEAD_G`` alone). Rows without a label or text teach nothing; an id with several labels counts as 1 if any is 1.
     """
     labels = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y is not null")
     total = labels.count()
@@ -121,18 +158,20 @@ def train(
     kind = docs.schema[id_col].dataType.simpleString()
     few = rows.join(F.broadcast(chosen), "id").select("id", "text", "y").mapInArrow(run, f"id {kind}, y int, terms array<int>, {sketched}")
     few = stage_table(few, "toxic")
-    alone = few.select("id", "y", *(f"s{k}" for k in range(_SKETCHES)))
-    for k in range(_SKETCHES):  # one row of each group of near copies
-        alone = alone.groupBy(f"s{k}").agg(F.min(F.struct("id", "y", *(f"s{j}" for j in range(_SKETCHES)))).alias("r")).select("r.*")
-    few = few.join(F.broadcast(alone.select("id")), "id", "left_semi").select("y", "terms")  # ids of the sample
+    few = few.join(F.broadcast(_alone(few)), "id", "left_semi").select("y", "terms")  # ids of the sample
     whole = few.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("y")).first()
     counts = (
         few.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("with_1"), F.count("*").alias("held"))
         .filter(F.col("held") >= LEAST_DOCS).toPandas()
     )  # at most one row per bucket
     g = _g_statistic(counts.with_1.to_numpy(float), (counts.held - counts.with_1).to_numpy(float), max(whole.y, 1e-9), max(whole.n - whole.y, 1e-9)) if len(counts) else np.zeros(0)
-    order = np.argsort(-g, kind="stable")[:TERMS]
-    picked = counts.term.to_numpy()[order[g[order] >= LEAST_G]].astype(np.int64) if len(counts) else np.zeros(0, np.int64)
+    strength = {int(t): float(x) for t, x in zip(counts.term, g) if x >= LEAST_G}
+    lead = np.argsort(-g, kind="stable")[:TERMS]
+    lead = lead[g[lead] >= LEAD_G]
+    found = _partners(few, {int(t): (int(y), int(n)) for t, y, n in counts.iloc[lead][["term", "with_1", "held"]].itertuples(index=False)}, counts.term.tolist())
+    for t, x in found.items():
+        strength[t] = max(x, strength.get(t, 0.0))
+    picked = np.array(sorted(strength, key=lambda t: (-strength[t], t))[:TERMS], np.int64)
     share = (whole.y + 0.5) / (whole.n + 1)
     machine = Machine(picked, float(np.log(share / (1 - share))))
     if len(picked):

@@ -107,6 +107,29 @@ def test_pairs_weigh_more_than_their_terms():
     assert (marked == (labels > 0)).mean() > 0.99
 
 
+def test_pairs_of_a_weak_term_are_learnt(spark, make_docs):
+    """A group word is toxic beside a verb that alone has no effect: as many toxic rows hold none of either."""
+    rng = random.Random(12)
+    docs, labels = [], []
+    for i in range(4000):
+        group, insult = i % 10 == 0, i % 10 == 1
+        verb = rng.random() < (0.5 if group else 0 if insult else 0.25)
+        words = [f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}" for _ in range(20)]
+        docs.append((i, " ".join([*words, *["group"] * group, *["verb"] * verb, *["insult"] * insult])))
+        labels.append((i, int(group and verb or insult)))
+    docs = make_docs(docs)
+    machine = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r.doc_id: r.predicted for r in toxicity.score(docs, machine).collect()}
+    assert np.mean([found[i] == y for i, y in labels if i % 10 == 0]) > 0.95
+    assert np.mean([found[i] == y for i, y in labels]) > 0.98
+
+
+def test_near_copies_of_toxicity_rows(spark):
+    rows = [(1, 0, 5, 6, 7, 8), (2, 0, 5, 6, 7, 8), (3, 1, 5, 6, 7, 8), (4, 0, 5, 9, 9, 9), (5, 1, 5, 6, 7, 9)]
+    few = spark.createDataFrame(rows, "id long, y int, s0 long, s1 long, s2 long, s3 long")
+    assert {r.id for r in toxicity._alone(few).collect()} == {1, 3, 4, 5}
+
+
 def test_margins_are_sums_over_pairs():
     machine = toxicity.Machine(np.arange(6), 0.3)
     machine.weights[:] = np.arange(6) / 7
