@@ -1,4 +1,4 @@
-"""Scores by a hierarchical Pitman-Yor model of word pairs, seated by Gibbs sampling on the executors.
+"""Scores by a hierarchical Pitman-Yor model of word pairs, seated one by one anew in each sweep on the executors.
 
 A restaurant stands for the word before (or the begin of a text); its customers are the words that follow
 there in the training texts, and each of its tables sends one customer to the parent restaurant, which all
