@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import albers_to_lonlat, intersects, polygon_edges
+from ..functions.geometry import albers_to_lonlat, encloses, intersects, polygon_edges
 from .joins import skew_join
 from .rejects import REASON
 
@@ -42,46 +42,68 @@ def with_edges(polygons: DataFrame, block: str = "NM_INDEX") -> DataFrame:
 # A grid has cells four times as wide as the next finer one.
 GRID_STEP = 4
 
+# How many steps finer than the median polygon the finest grid of simple polygons is.
+FINEST = 8
+
+# Edges from which a polygon is cut into cells one step finer, and two steps.
+MANY_EDGES, MORE_EDGES = 16, 256
+
+# Part of a cell by which it is widened when edges near it are looked for: rounding never hides one.
+MARGIN = 1e-9
+
 
 def grid_level(base: float):
-    """The grid of a polygon: its bounding box is half a cell to two cells wide there, or smaller on the finest."""
+    """The grid of a polygon: its bounding box is half a cell to two cells wide there, or smaller on the finest.
+
+    Polygons of many edges lie one or two grids finer, so that most of their cells hold few edges or none.
+    """
     extent = F.greatest(F.expr("xmax - xmin"), F.expr("ymax - ymin"))
     steps = F.ceil(F.log(float(GRID_STEP), F.greatest(extent, F.lit(1e-12)) / (2 * base)))
-    return F.greatest(steps, F.lit(-FINEST)).cast("int")
-
-
-# How many steps finer than the median polygon the finest grid is.
-FINEST = 8
+    n = F.size("edges")
+    detail = F.when(n > MORE_EDGES, 2).when(n > MANY_EDGES, 1).otherwise(0)
+    return (F.greatest(steps, F.lit(-FINEST)) - detail).cast("int")
 
 
-def grid_cells(edges: DataFrame) -> dict[int, tuple[float, float]]:
-    """Cell width and height of every grid that a polygon needs, from one aggregate row."""
+def grid_cells(edges: DataFrame) -> tuple[float, dict[int, tuple[float, float]]]:
+    """The base, and cell width and height of every grid that a polygon needs, from two aggregate rows."""
     extent = F.greatest(F.expr("xmax - xmin"), F.expr("ymax - ymin"))
     base = edges.agg(F.percentile_approx(extent, 0.5).alias("base")).first()["base"] or 1.0
-    levels = edges.agg(F.collect_set(grid_level(base)).alias("levels")).first()["levels"]
-    return {level: (base * GRID_STEP**level,) * 2 for level in sorted(levels)}
+    levels = edges.filter("xmin is not null").agg(F.collect_set(grid_level(base)).alias("levels")).first()["levels"]
+    return base, {level: (base * float(GRID_STEP) ** level,) * 2 for level in sorted(levels)}
+
 
+def cover(edges: DataFrame, cells: dict[int, tuple[float, float]], level=None) -> DataFrame:
+    """One row per polygon and grid cell it may hold a point of: level, cx, cy, inside, edges.
 
-def cover(edges: DataFrame, cell: tuple[float, float]) -> DataFrame:
-    """One row per polygon and grid cell its bounding box reaches."""
-    width, height = cell
+    A cell that no edge comes near is inside, and needs no test, or outside, and is left out. The others
+    carry what the test of a point in them looks at: the edges in their row of cells that do not end left
+    of them. ``level`` is the grid of a polygon; without it all lie on the only one.
+    """
+    level = F.lit(next(iter(cells), 0)) if level is None else level
 
-    def cells(low, high, size):
-        return F.sequence(F.floor(F.col(low) / size), F.floor(F.col(high) / size))
+    def size(axis):
+        return F.coalesce(*[F.when(F.col("level") == l, F.lit(c[axis])) for l, c in cells.items()], F.lit(1.0))
 
-    return edges.withColumn("cx", F.explode(cells("xmin", "xmax", width))).withColumn(
-        "cy", F.explode(cells("ymin", "ymax", height))
-    )
+    def numbers(low, high, width):
+        return F.explode(F.sequence(F.floor(F.col(low) / F.col(width)), F.floor(F.col(high) / F.col(width))))
 
+    def bounds(number, width):
+        return (F.col(number) - MARGIN) * F.col(width), (F.col(number) + 1 + MARGIN) * F.col(width)
 
-def cover_levels(edges: DataFrame, cells: dict[int, tuple[float, float]]) -> dict[int, DataFrame]:
-    """The cover of each grid by the polygons of its size: at most nine cells a polygon, whatever the largest is."""
-    finest = min(cells, default=0)
-    base = next((width / GRID_STEP**level for level, (width, _) in cells.items()), 1.0)
-    return {
-        level: cover(edges.filter(F.greatest(grid_level(base), F.lit(finest)) == level), cell)
-        for level, cell in cells.items()
-    }
+    def reaches(e, axis, low, high):
+        return (F.greatest(e[axis + "1"], e[axis + "2"]) >= low) & (F.least(e[axis + "1"], e[axis + "2"]) <= high)
+
+    placed = edges.withColumn("level", level).withColumns({"__w": size(0), "__h": size(1)})
+    rows = placed.withColumn("cy", numbers("ymin", "ymax", "__h"))
+    low, high = bounds("cy", "__h")
+    rows = rows.withColumn("edges", F.filter("edges", lambda e: reaches(e, "y", low, high)))
+    boxes = rows.withColumn("cx", numbers("xmin", "xmax", "__w"))
+    left, right = bounds("cx", "__w")
+    near = F.exists("edges", lambda e: reaches(e, "x", left, right))
+    middle = encloses(F.col("edges"), (F.col("cx") + 0.5) * F.col("__w"), (F.col("cy") + 0.5) * F.col("__h"))
+    marked = boxes.withColumns({"inside": ~near, "__middle": near | middle}).filter("__middle")
+    to_test = F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left)
+    return marked.withColumn("edges", F.when(F.col("inside"), F.slice("edges", 1, 0)).otherwise(to_test)).drop("__w", "__h", "__middle")
 
 
 def locate_points(
@@ -95,47 +117,35 @@ def locate_points(
     """Left join of points to every polygon they touch; the outline counts.
 
     Polygons lie on grids by their size, so one large polygon does not cut a layer
-    of small ones into small cells. A point lies in one cell of a grid and a polygon
-    is listed once per cell, so each pair is tested at most once. With a single grid
-    the test is part of the outer join; with several, the points go through one
-    outer join per grid, with the polygons of a cell as one row, and their blocks are
-    listed at the end. Points without a polygon stay, with a NULL block. A crowded
-    cell is a skewed key, which AQE splits; small layers are broadcast by Spark's
-    size check. ``cell`` asks for one grid of that size.
+    of small ones into small cells, and each is listed once per cell of its grid
+    (`cover`). A point lies in one cell of a grid, so each pair is met at most once,
+    and only cells with edges are tested. With a single grid the test is part of the
+    outer join. With several, one equi-join on (grid, cell) takes the different
+    positions to their polygons, whatever the number of grids, and the rows are then
+    joined to these by position, once. Points without a polygon stay, with a NULL
+    block. Crowded cells and positions are skewed keys, which AQE splits; small
+    layers are broadcast by Spark's size check. ``cell`` asks for one grid of that size.
     """
     edges = with_edges(polygons, block)
-    cells = {0: cell} if cell else grid_cells(edges)
-    if len(cells) > 1:
-        return _locate_by_levels(points, cover_levels(edges, cells), cells, lon, lat, block)
-    size = next(iter(cells.values()), (1.0, 1.0))
-    covered = cover(edges, size)
-    located = points.withColumns({"__cx": F.floor(F.col(lon) / size[0]), "__cy": F.floor(F.col(lat) / size[1])})
-    px, py = located[lon], located[lat]
-    condition = (located["__cx"] == covered["cx"]) & (located["__cy"] == covered["cy"]) & _holds(covered, px, py)
-    return located.join(covered, condition, "left").drop(
-        "__cx", "__cy", "cx", "cy", "edges", "xmin", "xmax", "ymin", "ymax"
-    )
-
-
-def _holds(polygon, px, py):
-    in_box = px.between(polygon["xmin"], polygon["xmax"]) & py.between(polygon["ymin"], polygon["ymax"])
-    return in_box & intersects(polygon["edges"], px, py)
-
-
-def _locate_by_levels(points, covers, cells, lon: str, lat: str, block: str) -> DataFrame:
-    located, px, py = points, F.col(lon), F.col(lat)
-    found = []
-    for level, covered in covers.items():
-        width, height = cells[level]
-        name = f"__found_{len(found)}"
-        polygon = F.struct(block, "edges", "xmin", "xmax", "ymin", "ymax")
-        by_cell = covered.groupBy("cx", "cy").agg(F.collect_list(polygon).alias("__here"))
-        located = located.withColumns({"__cx": F.floor(px / width), "__cy": F.floor(py / height)})
-        located = skew_join(located, by_cell, [("__cx", "cx"), ("__cy", "cy")], "left")
-        held = F.transform(F.filter("__here", lambda p: _holds(p, px, py)), lambda p: p[block])
-        located = located.withColumn(name, F.coalesce(held, F.array().cast("array<string>"))).drop("__here", "__cx", "__cy")
-        found.append(name)
-    return located.withColumn(block, F.explode_outer(F.concat(*found))).drop(*found)
+    base, cells = (1.0, {0: cell}) if cell else grid_cells(edges)
+    if len(cells) < 2:
+        covered, (width, height) = cover(edges, cells), next(iter(cells.values()), (1.0, 1.0))
+        located = points.withColumns({"__cx": F.floor(F.col(lon) / width), "__cy": F.floor(F.col(lat) / height)})
+        condition = (located["__cx"] == covered["cx"]) & (located["__cy"] == covered["cy"]) & _holds(covered, located[lon], located[lat])
+        return located.join(covered, condition, "left").drop("__cx", "__cy", *[c for c in covered.columns if c != block])
+    covered = cover(edges, cells, grid_level(base))
+    x, y = F.col("__x"), F.col("__y")
+    keys = [F.struct(F.lit(l).alias("l"), F.floor(x / w).alias("cx"), F.floor(y / h).alias("cy")) for l, (w, h) in cells.items()]
+    positions = points.select(F.col(lon).alias("__x"), F.col(lat).alias("__y")).filter("__x is not null and __y is not null").distinct()
+    tried = positions.withColumn("__k", F.explode(F.array(*keys)))
+    same = (tried["__k.l"] == covered["level"]) & (tried["__k.cx"] == covered["cx"]) & (tried["__k.cy"] == covered["cy"])
+    found = tried.join(covered, same & _holds(covered, tried["__x"], tried["__y"])).select("__x", "__y", block)
+    return skew_join(points, found, [(lon, "__x"), (lat, "__y")], "left")
+
+
+def _holds(cell, px, py):
+    in_box = px.between(cell["xmin"], cell["xmax"]) & py.between(cell["ymin"], cell["ymax"])
+    return cell["inside"] | (in_box & intersects(cell["edges"], px, py))
 
 
 def attach_blocks(results: DataFrame, polygons: DataFrame, block: str = "Block") -> DataFrame:

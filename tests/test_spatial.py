@@ -59,8 +59,8 @@ def test_one_large_polygon_among_small_ones(spark):
     shapes.append(("large", square(-10.0, -10.0, 20.0)))
     layer = spark.createDataFrame(shapes, SCHEMA)
     edges = spatial.with_edges(layer)
-    covers = spatial.cover_levels(edges, spatial.grid_cells(edges))
-    assert sum(c.count() for c in covers.values()) < 5 * len(shapes) + 25
+    base, cells = spatial.grid_cells(edges)
+    assert len(cells) > 1 and spatial.cover(edges, cells, spatial.grid_level(base)).count() < 5 * len(shapes) + 25
     points = [(n, x + 0.01, y + 0.01) for n, (_, ((x, y), *_),) in enumerate((s, r[0]) for s, r in shapes[:40])] + [(99, 50.0, 50.0)]
     frame = spark.createDataFrame(points, "n int, lon double, lat double")
     got = {tuple(r) for r in spatial.locate_points(frame, layer).select("n", "NM_INDEX").collect()}
@@ -71,6 +71,39 @@ def test_one_large_polygon_among_small_ones(spark):
     assert got == want and (99, None) in got
 
 
+def test_nested_polygons_on_many_grids(spark):
+    """A coast of 600 corners with a lake, counties in it, blocks in these: insides need no test, and one join serves all grids."""
+    rnd = random.Random(11)
+
+    def star(x, y, size, n):
+        reach = [size * rnd.uniform(0.5, 1) for _ in range(n)]
+        return [(round(x + r * math.cos(2 * math.pi * i / n)), round(y + r * math.sin(2 * math.pi * i / n))) for i, r in enumerate(reach)]
+
+    shapes = [("coast", [star(0, 0, 4000, 600), star(100, 100, 300, 40)])]
+    shapes += [(f"county{i}", [star(rnd.randint(-2500, 2500), rnd.randint(-2500, 2500), 400, 40)]) for i in range(12)]
+    corners = [(rnd.randint(-3000, 3000), rnd.randint(-3000, 3000)) for _ in range(80)]
+    shapes += [(f"town{i}", [[(x, y), (x + 60, y), (x + 60, y + 60), (x, y + 60)]]) for i, (x, y) in enumerate(corners[:20])]
+    shapes += [(f"block{i}", [[(x, y), (x + 16, y), (x + 16, y + 16), (x, y + 16)]]) for i, (x, y) in enumerate(corners)]
+    points = [(x + rnd.choice([0, 8, 16]), y + rnd.choice([0, 8, 16])) for x, y in corners]
+    points += [(rnd.randint(-4200, 4200), rnd.randint(-4200, 4200)) for _ in range(400)] + points[:5]
+    points += [tuple(shapes[0][1][0][i]) for i in range(0, 600, 60)]
+    expected = []
+    for n, (x, y) in enumerate(points):
+        expected += [(n, h) for h in [name for name, rings in shapes if brute(rings, x, y)] or [None]]
+    layer = spark.createDataFrame([(n, [[tuple(map(float, p)) for p in r] for r in rings]) for n, rings in shapes], SCHEMA)
+    frame = spark.createDataFrame([(n, float(x), float(y)) for n, (x, y) in enumerate(points)], "n int, lon double, lat double")
+    located = spatial.locate_points(frame, layer).select("n", "NM_INDEX")
+    assert sorted(map(tuple, located.collect()), key=repr) == sorted(expected, key=repr)
+    edges = spatial.with_edges(layer)
+    base, cells = spatial.grid_cells(edges)
+    assert len(cells) >= 3
+    plan = located._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2
+    coast = spatial.cover(edges, cells, spatial.grid_level(base)).filter("NM_INDEX = 'coast'").selectExpr("inside", "size(edges) as n").collect()
+    assert sum(r.inside for r in coast) > 50 and all(r.n == 0 for r in coast if r.inside)
+    assert sum(r.n for r in coast) / len(coast) < 60  # of 640 edges
+
+
 def test_published_control_point():
     """Snyder, USGS PP 1395, p. 292: Albers on Clarke 1866, parallels 29.5 and 45.5."""
     k = G.cone(6378206.4, 0.00676866, 29.5, 45.5, 23.0)
