@@ -27,16 +27,60 @@ def _text_schema(columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}` string" for c in columns)
 
 
-def _headers(spark: SparkSession, path: str | Sequence[str], kind: str = "", **options) -> dict[tuple[str, ...], list[str]]:
-    """Files by header. Only names of files come to the driver, and of each file its first line is read."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", f"*{kind}*" if kind else "*")
-    files = sorted(r.path for r in listed.load(path).select("path").collect())
-    out: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        out.setdefault(tuple(spark.read.options(**{**STANDARD, **options}).csv(file).columns), []).append(file)
+Headers = dict[tuple[str, ...], list[str]]
+
+
+def _first_lines(spark: SparkSession, path: str | Sequence[str], pattern: str, options: dict) -> list:
+    """(file, first line) of every file that has one, in one job.
+
+    Each file, or piece of a large one, is a partition of its own, so its first line is the row that opens
+    a partition at the start of a file. A row per file comes to the driver.
+    """
+    conf, held = spark.conf, {}
+    apart = {"spark.sql.files.openCostInBytes": conf.get("spark.sql.files.maxPartitionBytes"), "spark.sql.files.minPartitionNum": "1"}
+    text = spark.read.option("pathGlobFilter", pattern)
+    if "lineSep" in options:
+        text = text.option("lineSep", options["lineSep"])
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = text.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), first.alias("n"), "value"
+    )
+    try:
+        for key, value in apart.items():
+            held[key] = conf.get(key, None)
+            conf.set(key, value)
+        return lines.filter("start = 0 and n = 0").select("file", "value").collect()
+    finally:
+        for key, value in held.items():
+            conf.unset(key) if value is None else conf.set(key, value)
+
+
+def find_headers(spark: SparkSession, path: str | Sequence[str], kinds: Sequence[str] = ("",), **options) -> dict[str, Headers]:
+    """Files by header, for each kind: the files whose name holds it. Empty files are left out.
+
+    Jobs do not grow with the files: one finds the first line of each, and of files that begin alike one is
+    read by the reader itself. Only where the first line is not the whole header (blank, a quote left open,
+    or comments are skipped) is a file asked for its own.
+    """
+    rows = _first_lines(spark, path, f"*{kinds[0]}*" if len(kinds) == 1 and kinds[0] else "*", options)
+    unclear = "comment" in options
+    names: dict[str, tuple[str, ...]] = {}
+    out: dict[str, Headers] = {k: {} for k in kinds}
+    for row in sorted(rows, key=lambda r: r["file"]):
+        own = unclear or not row["value"].strip() or row["value"].count('"') % 2
+        key = row["file"] if own else "\n" + row["value"]
+        if key not in names:
+            names[key] = tuple(spark.read.options(**{**STANDARD, **options}).csv(row["file"]).columns)
+        for k in kinds:
+            if k in row["file"].rsplit("/", 1)[-1]:
+                out[k].setdefault(names[key], []).append(row["file"])
     return out
 
 
+def _headers(spark: SparkSession, path: str | Sequence[str], kind: str = "", **options) -> Headers:
+    return find_headers(spark, path, [kind], **options)[kind]
+
+
 def read_raw(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -67,11 +111,12 @@ def read_raw(
 
 
 def read_yearly(
-    spark: SparkSession, folder: str, kind: str, file_format: str = "csv", with_file: bool = False, multi_line: bool = False
+    spark: SparkSession, folder: str, kind: str, file_format: str = "csv", with_file: bool = False, multi_line: bool = False,
+    headers: Headers | None = None,
 ) -> DataFrame:
     """All files of a folder whose name contains the kind, stacked by column name.
 
-    The files must have the same columns, in any order.
+    The files must have the same columns, in any order. ``headers`` are those of the kind, if known.
     """
     named = [F.col("_metadata.file_name").alias("file_name")] if with_file else []
 
@@ -80,7 +125,7 @@ def read_yearly(
 
     if file_format != "csv":
         return blanks_to_null(text(spark.read.option("pathGlobFilter", f"*{kind}*").format(file_format).load(folder)))
-    groups = _headers(spark, folder, kind, multiLine=multi_line)
+    groups = _headers(spark, folder, kind, multiLine=multi_line) if headers is None else headers
     if not groups:
         raise ValueError(f"no files of kind {kind} in {folder}")
     first = next(iter(groups))
@@ -92,11 +137,13 @@ def read_yearly(
     return blanks_to_null(union_strict(*(text(reader.schema(_text_schema(h)).csv(f)) for h, f in groups.items())))
 
 
-def malformed_rows(spark: SparkSession, path: str | Sequence[str], kind: str = "", **options: str) -> DataFrame:
+def malformed_rows(
+    spark: SparkSession, path: str | Sequence[str], kind: str = "", headers: Headers | None = None, **options: str
+) -> DataFrame:
     """(file_name, rows, malformed) per file: malformed rows have more or fewer cells than the header."""
     corrupt = "__corrupt"
     counts = []
-    for header, files in _headers(spark, path, kind, **options).items():
+    for header, files in (_headers(spark, path, kind, **options) if headers is None else headers).items():
         reader = spark.read.options(**{**STANDARD, **options, "columnNameOfCorruptRecord": corrupt})
         rows = reader.schema(f"{_text_schema(header)}, {corrupt} string").csv(files)
         # Every cell is looked at too: Spark refuses a scan of the corrupt column alone. No text is a lone NUL.

@@ -1,5 +1,6 @@
 import csv
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,70 @@ def test_parts_and_holes(spark, tmp_path):
     assert sorted(tuple((p.x, p.y) for p in ring) for ring in back) == sorted(map(tuple, rings))
 
 
+def test_many_rings_in_one_feature(spark, tmp_path):
+    """2,000 rings: squares in a row, each with a hole, an island in it and a hole in that."""
+    square = lambda x, d: [(x - d, -d), (x + d, -d), (x + d, d), (x - d, d)]
+    rings = [square(100.0 * i, d) for i in range(500) for d in (1.0, 8.0, 2.0, 4.0)]
+    layer = spark.createDataFrame([("A", rings)], "NM_INDEX string, rings array<array<struct<x: double, y: double>>>")
+    start = time.time()
+    parts = writers.with_parts(layer).first()["parts"]
+    assert time.time() - start < 30
+    widths = sorted([tuple(ring[1].x - ring[0].x for ring in part) for part in parts])
+    assert widths == [(4.0, 2.0)] * 500 + [(16.0, 8.0)] * 500
+    assert all(part[0][0].x < part[1][0].x < part[0][1].x for part in parts)
+
+
+def jobs_of(spark, run):
+    """How many jobs an action starts."""
+    context, group = spark.sparkContext, f"jobs-{time.time_ns()}"
+    context.setJobGroup(group, "counted")
+    out = run()
+    found = len(context.statusTracker().getJobIdsForGroup(group))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    return out, found
+
+
+def test_headers_in_one_job(spark, tmp_path):
+    few, many = tmp_path / "few", tmp_path / "many"
+    for folder, n in ((few, 2), (many, 40)):
+        folder.mkdir()
+        for i in range(n):
+            put(folder / f"f{i:02d}_i1.csv", ["id_code", "YEAR"] if i % 2 else [" YEAR ", "id_code"], [(f"{i}", 2016)])
+    held = spark.conf.get("spark.sql.files.openCostInBytes")
+    one, jobs_few = jobs_of(spark, lambda: readers.find_headers(spark, str(few), ["i1"]))
+    two, jobs_many = jobs_of(spark, lambda: readers.find_headers(spark, str(many), ["i1"]))
+    assert jobs_few == jobs_many and spark.conf.get("spark.sql.files.openCostInBytes") == held
+    assert {h: len(f) for h, f in two["i1"].items()} == {("YEAR", "id_code"): 20, ("id_code", "YEAR"): 20}
+    assert readers.read_raw(spark, str(many)).filter("YEAR = '2016'").count() == 20
+
+
+def test_unclear_first_lines(spark, tmp_path):
+    """Blank first lines, headers over two lines, empty and large files: each file has its own header."""
+    folder = tmp_path / "odd"
+    folder.mkdir()
+    (folder / "a_i1.csv").write_text("\na,b\n1,2\n")
+    (folder / "b_i1.csv").write_text("\nc,d\n3,4\n")
+    (folder / "c_i1.csv").write_text("")
+    (folder / "d_i1.csv").write_text('"x\ny",e\n5,6\n')
+    (folder / "e_i1.csv").write_text('"x\nz",e\n7,8\n')
+    put(folder / "f_i1.csv", ["g"], [(i,) for i in range(1000)])
+    found = readers.find_headers(spark, str(folder), ["i1"], multiLine=True)["i1"]
+    assert {h: len(f) for h, f in found.items()} == {("a", "b"): 1, ("c", "d"): 1, ("x\ny", "e"): 1, ("x\nz", "e"): 1, ("g",): 1}
+
+
+@pytest.mark.parametrize("keys", [["k"], ["name", "k"]])
+def test_sorted_table(spark, tmp_path, keys):
+    """Small pieces are left apart here, so that there are several files."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(20_000).selectExpr("(id * 7919) % 20011 as k", "if(id % 50 = 0, null, md5(cast(id % 9 as string))) as name")
+    back = writers.write_table(rows.repartition(6), str(tmp_path / "sorted"), sort_by=keys)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted((r.f, r.rows) for r in back.groupBy(F.input_file_name().alias("f")).agg(F.collect_list(F.struct(*keys)).alias("rows")).collect())
+    in_order = [tuple((v is not None, v) for v in row) for _, part in files for row in part]
+    assert len(files) > 1 and len(in_order) == 20_000
+    assert all(a <= b for a, b in zip(in_order, in_order[1:]))
+
+
 def test_stages_are_removed(spark):
     first, second = session.stage_table(spark.range(3).toDF("n"), "gone"), session.stage_table(spark.range(4).toDF("n"), "stays")
     assert session.drop_stages(spark, first) == 1 and second.count() == 4
