@@ -89,7 +89,7 @@ def location_targets(locations: DataFrame, leaders: DataFrame) -> DataFrame:
 
 def spread_over_blocks(catch: DataFrame, targets: DataFrame, measures: list[str]) -> DataFrame:
     """Each measure divided by the blocks of the trip location, one row per block."""
-    placed = keyed_join(catch, targets, [("id", "id_loc")])
+    placed = skew_join(catch, targets, [("id", "id_loc")])
     return placed.withColumns({m: F.col(m) / F.col("total_blocks") for m in measures})
 
 

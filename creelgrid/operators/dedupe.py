@@ -1,7 +1,10 @@
 """Copies, ambiguous keys and merged locations.
 
-Nothing here uses a window over raw rows: groups collapse in partial aggregates
-before the shuffle, so a key with a third of all rows costs one row per map task.
+Nothing here uses a window over raw rows or carries whole rows through an aggregate:
+counts by key are partial hash aggregates, so a key with a third of all rows costs one
+row per map task. The keys that occur more than once are written as a table of their
+own; where Spark's size check finds them small, which keys that should be unique are,
+they are broadcast and no other row moves.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import reasons
+from ..session import stage_table
 from .joins import skew_join
 from .rejects import REASON, Stage
 
@@ -25,20 +29,17 @@ def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "n") -> Data
     return skew_join(df, group_sizes(df, keys, name), keys, "left", null_safe=True)
 
 
-def only_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key occurs once, from a single aggregation."""
-    rest = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*rest)).alias("__row")
-    )
-    return grouped.filter("__n = 1").select(*keys, "__row.*").select(*df.columns)
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of more than one row, as a written table; NULL is a key."""
+    return stage_table(group_sizes(df, keys).filter("n > 1").select(*keys), "repeated")
 
 
 def drop_ambiguous(df: DataFrame, keys: Sequence[str], reason: str) -> Stage:
     """Remove every copy of a key that occurs more than once."""
-    repeated = group_sizes(df, keys).filter("n > 1").select(*keys)
+    repeated = repeated_keys(df, keys)
     rejects = skew_join(df, repeated, keys, "left_semi", null_safe=True)
-    return Stage(only_copies(df, keys), rejects.withColumn(REASON, F.lit(reason)), (reason,))
+    kept = skew_join(df, repeated, keys, "left_anti", null_safe=True)
+    return Stage(kept, rejects.withColumn(REASON, F.lit(reason)), (reason,))
 
 
 def dup_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -62,25 +63,16 @@ def consolidate_blocks(
 
     Input is one row per (row, block). An id is kept when all its rows carry the
     same attributes; it then has one row per different block, with their number
-    in ``total_blocks``. The first aggregation leaves one row per (id, block), so
-    the window after it sees at most as many rows per id as the map has blocks.
-    Rejected are the merged rows: one per id and attributes.
+    in ``total_blocks``. Ids in conflict are found first; of the others the different
+    (id, block) are left, so the window that counts them sees at most as many rows
+    per id as the map has blocks. Rejected are the merged rows: one per id and attributes.
     """
-    packed = F.struct(*attributes)
-    by_block = df.groupBy(key, block).agg(F.min(packed).alias("lo"), F.max(packed).alias("hi"))
-    ids = Window.partitionBy(key)
-    checked = by_block.select(
-        key,
-        block,
-        F.min("lo").over(ids).alias("lo"),
-        F.max("hi").over(ids).alias("hi"),
-        F.count(F.lit(1)).over(ids).cast("int").alias("total_blocks"),
-    )
-    agreed = F.col("lo").eqNullSafe(F.col("hi"))
-    kept = checked.filter(agreed).select(key, "lo.*", block, "total_blocks")
     merged = df.select(key, *attributes).distinct()
-    in_conflict = group_sizes(merged, [key]).filter("n > 1").select(key)
-    rejects = skew_join(merged, in_conflict, [key], "left_semi")
+    in_conflict = repeated_keys(merged, [key])
+    agreed = skew_join(df.select(key, *attributes, block), in_conflict, [key], "left_anti", null_safe=True).distinct()
+    counted = F.count(F.lit(1)).over(Window.partitionBy(key)).cast("int")
+    kept = agreed.withColumn("total_blocks", counted)
+    rejects = skew_join(merged, in_conflict, [key], "left_semi", null_safe=True)
     return Stage(
         kept,
         rejects.withColumn(REASON, F.lit(reasons.LOCATION_CONFLICT)),

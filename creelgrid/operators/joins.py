@@ -65,8 +65,10 @@ def full_join(
     """Full outer join in which NULL keys match; keys are coalesced under the left name.
 
     ``null_safe`` names the left keys that can be NULL, if not all. Other columns that
-    exist on both sides get the suffixes. A full join cannot be split by AQE: both
-    inputs should be unique per key, as `dup_audit` tells.
+    exist on both sides get the suffixes. A full join cannot be split by AQE, so it is
+    made of two that can: the left join, and the rows of the right side without a key on
+    the left, which meet one row per key. A key with a third of the rows of either side
+    is split. Both inputs are read twice and should be tables or cheap to make again.
     """
     pairs = _pairs(on)
     lk, rk = [l for l, _ in pairs], [r for _, r in pairs]
@@ -75,15 +77,28 @@ def full_join(
     right = right.withColumnsRenamed({c: c + suffixes[1] for c in clash})
     rest_left = [c for c in left.columns if c not in lk]
     rest_right = [c for c in right.columns if c not in rk]
-    right = right.withColumnsRenamed({r: f"__r{i}" for i, r in enumerate(rk)})
-    condition = reduce(Column.__and__, [
-        _same(left[l], right[f"__r{i}"], null_safe is None or l in null_safe) for i, l in enumerate(lk)
-    ])
-    return left.join(right, condition, "full").select(
-        *[F.coalesce(left[l], right[f"__r{i}"]).alias(l) for i, l in enumerate(lk)],
-        *rest_left,
-        *rest_right,
-    )
+    matched = _split_join(left, right, pairs, "left", null_safe)
+    keys = left.select(*[F.col(l).alias(f"__k{i}") for i, l in enumerate(lk)]).distinct()
+    back = [(r, f"__k{i}") for i, r in enumerate(rk)]
+    safe = None if null_safe is None else [r for l, r in pairs if l in null_safe]
+    alone = _split_join(right, keys, back, "left_anti", safe)
+    alone = alone.select(*[F.col(r).alias(l) for l, r in pairs], *rest_right)
+    return matched.select(*lk, *rest_left, *rest_right).unionByName(alone, allowMissingColumns=True)
+
+
+def _split_join(left: DataFrame, right: DataFrame, pairs, how: str, null_safe: Sequence[str] | None) -> DataFrame:
+    """`skew_join` with some of the keys null-safe (those in ``null_safe``, or all)."""
+    if null_safe is None or set(null_safe) >= {l for l, _ in pairs}:
+        return skew_join(left, right, pairs, how, null_safe=True)
+    if not null_safe:
+        return skew_join(left, right, pairs, how)
+    # a key that may be NULL becomes one that says so and one that is never NULL
+    flags = [(f"__n{i}", f"__m{i}") for i, (l, _) in enumerate(pairs) if l in null_safe]
+    marked_left = left.withColumns({f"__n{i}": F.struct(F.col(l)) for i, (l, _) in enumerate(pairs) if l in null_safe})
+    marked_right = right.withColumns({f"__m{i}": F.struct(F.col(r).alias(l)) for i, (l, r) in enumerate(pairs) if l in null_safe})
+    marked_right = marked_right.drop(*[r for l, r in pairs if l in null_safe])
+    on = [(l, r) for l, r in pairs if l not in null_safe] + flags
+    return skew_join(marked_left, marked_right, on, how).drop(*[f for f, _ in flags])
 
 
 def merge_unique(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

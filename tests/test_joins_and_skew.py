@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from creelgrid import session
 from creelgrid.operators import catch, dedupe, joins, layers, locations, outliers, rejects, reshape, spatial
 
 from conftest import values
@@ -124,6 +125,44 @@ def test_null_keys(spark):
     assert values(joins.natural_left_join(a, b.withColumnRenamed("v", "w")), "v", "w") == [("x", "p"), ("y", "q")]
 
 
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_full_join_splits_a_hot_key(spark, no_broadcast, side):
+    rows, few = hot(spark, 120_000), spark.range(60_000, 180_000).selectExpr("if(id = 60000, 0, id) as k", "id as w")
+    a, b = (rows, few) if side == "left" else (few, rows)
+    a, b = session.stage_table(a, "full_a"), session.stage_table(b, "full_b")
+    joined = joins.full_join(a, b, ["k"])
+    plan = final_plan(joined)
+    assert "skew=true" in plan and "FullOuter" not in plan
+    want = a.join(b, "k", "full")
+    assert joined.count() == want.count() and joined.exceptAll(want.select(joined.columns)).isEmpty()
+
+
+def test_full_join_with_some_null_safe_keys(spark):
+    a = spark.createDataFrame([(1, None, "x"), (None, "b", "y"), (3, "c", "z")], "k int, b string, v string")
+    b = spark.createDataFrame([(1, None, "p"), (None, "b", "q"), (4, None, "r")], "j int, b string, w string")
+    got = values(joins.full_join(a, b, [("k", "j"), "b"], null_safe=["b"]))
+    want = a.join(b, (a.k == b.j) & a.b.eqNullSafe(b.b), "full").select(F.coalesce("k", "j"), F.coalesce(a.b, b.b), "v", "w")
+    assert got == values(want) and len(got) == 5
+
+
+def test_repeated_keys_without_sorting_rows(spark, no_broadcast):
+    rows = session.stage_table(hot(spark, 60_000), "raw")
+    stage = dedupe.drop_ambiguous(rows, ["k"], "again")
+    for frame in (stage.kept, stage.rejects):
+        assert "SortAggregate" not in final_plan(frame)
+    placed = rows.selectExpr("k", "'x' as mode", "cast(v % 5 as string) as Block")
+    merged = dedupe.consolidate_blocks(placed, "k", ["mode"])
+    assert "SortAggregate" not in final_plan(merged.kept) and "SortAggregate" not in final_plan(merged.rejects)
+    assert merged.kept.filter("k = 0").select("total_blocks").distinct().collect() == [(5,)]
+
+
+def test_conflicting_rows_of_one_location(spark):
+    rows = [("a", "m", "1"), ("a", "m", "2"), ("a", "m", "2"), ("b", "m", "1"), ("b", None, "1"), ("c", None, "3"), (None, "m", "4"), (None, "n", "4")]
+    stage = dedupe.consolidate_blocks(spark.createDataFrame(rows, "k string, mode string, Block string"), "k", ["mode"])
+    assert values(stage.kept, "k", "mode", "Block", "total_blocks") == [("a", "m", "1", 2), ("a", "m", "2", 2), ("c", None, "3", 1)]
+    assert values(stage.rejects, "k", "mode") == [("b", "m"), ("b", None), (None, "m"), (None, "n")]
+
+
 def test_members(spark):
     a = spark.createDataFrame([(1,), (None,), (3,)], "v int")
     b = spark.createDataFrame([(1,), (None,)], "v int")
