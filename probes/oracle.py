@@ -285,6 +285,9 @@ def _cpua_steps(tag: str, catch: str, effort: str, species: str, period: str) ->
 
 
 _month = "cast(month(try_strptime(substr(id, 8, 8), '%Y%m%d')) as int)"
+# the newer table alone, without the rows of earlier years
+CTES["i8_plain_text"] = CTES["i8_text"].replace(", stack_reason from i8_stacked", "from i8")
+CTES["i8_plain"] = CTES["i8_coded"].replace("i8_text", "i8_plain_text")
 CTES |= {
     "group_trip": f"""
         select *, {_month} as month, 'Rockfish' as Catch, TripType_Description_effort as Trip from all_by_id

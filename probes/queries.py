@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from creelgrid import reasons as R
@@ -110,7 +110,7 @@ STAGES = {
     "block_code",
     f"""select id_loc, {code('block1', 'box1a')} as code1, {code('block2', 'box2a')} as code2,
                (select count(distinct v) from (values (c1), (c2), (c3), (c4), (c5), (c6)) t(v)) as codes
-        from i8_coded""",
+        from i8_plain""",
 )
 def block_code(spark, sf_dir):
     i8 = survey(spark, sf_dir, "i8")
@@ -753,12 +753,15 @@ def unrepeat_weights(spark, sf_dir):
 @probe(
     "spread_over_blocks",
     """select l_orderkey as trip, s_suppkey as Block, round(l_quantity / b, 6) as fish
-       from lineitem join (select s_nationkey, s_suppkey, count(*) over (partition by s_nationkey) as b from supplier) s
-       on l_linenumber = s_nationkey""",
+       from lineitem join (select s_suppkey // 4 as place, s_suppkey, count(*) over (partition by s_suppkey // 4) as b from supplier) s
+       on case when l_linenumber < 3 then 1 else l_suppkey // 4 end = place""",
 )
 def spread_over_blocks(spark, sf_dir):
-    caught = load(spark, sf_dir, "lineitem").selectExpr("l_orderkey as trip", "l_linenumber as id", "l_quantity as fish")
-    blocks = load(spark, sf_dir, "supplier").selectExpr("s_nationkey as id_loc", "s_suppkey as Block")
+    """Four blocks a place; one place holds the catch of two lines of every order."""
+    caught = load(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as trip", "if(l_linenumber < 3, 1, l_suppkey div 4) as id", "l_quantity as fish"
+    )
+    blocks = load(spark, sf_dir, "supplier").selectExpr("s_suppkey div 4 as id_loc", "s_suppkey as Block")
     targets = blocks.join(dedupe.group_sizes(blocks, ["id_loc"], "total_blocks"), "id_loc")
     return rounded(catch.spread_over_blocks(caught, targets, ["fish"]).select("trip", "Block", "fish"), "fish")
 
@@ -1179,12 +1182,13 @@ def layer_columns(spark, sf_dir):
 
 @probe(
     "point_in_mixed_polygons",
-    """select c_custkey as k, NM_INDEX from customer left join (
+    """select k, NM_INDEX from
+       (select c_custkey as k, -127 + c_custkey % 832 / 64.0 as lon, 32 + c_custkey % 704 / 64.0 as lat from customer) p left join (
          select * from blocks_flat union all select 'wide', -140.0, 20.0, false) b
-         on (-127 + c_custkey % 1300 * 0.01) >= x0 and (32 + c_custkey % 1100 * 0.01) >= y0
-        and case when NM_INDEX = 'wide' then (-127 + c_custkey % 1300 * 0.01) <= -121 and (32 + c_custkey % 1100 * 0.01) <= 40
-                 when triangle then (-127 + c_custkey % 1300 * 0.01 - x0) + (32 + c_custkey % 1100 * 0.01 - y0) < 1.495
-                 else (-127 + c_custkey % 1300 * 0.01) <= x0 + 1.25 and (32 + c_custkey % 1100 * 0.01) <= y0 + 1.25 end""",
+         on lon >= x0 and lat >= y0
+        and case when NM_INDEX = 'wide' then lon <= -121 and lat <= 40
+                 when triangle then (lon - x0) + (lat - y0) <= 1.5
+                 else lon <= x0 + 1.25 and lat <= y0 + 1.25 end""",
 )
 def point_in_mixed_polygons(spark, sf_dir):
     """Small blocks and one of many times their size: several grids."""
@@ -1192,7 +1196,7 @@ def point_in_mixed_polygons(spark, sf_dir):
     wide = spark.range(1).selectExpr("'wide' as NM_INDEX", f"array({ring}) as rings")
     layer = casting.blocks(spark, sf_dir).select("NM_INDEX", "rings").unionByName(wide)
     points = load(spark, sf_dir, "customer").selectExpr(
-        "c_custkey as k", "cast(-127 + c_custkey % 1300 * 0.01 as double) as lon", "cast(32 + c_custkey % 1100 * 0.01 as double) as lat"
+        "c_custkey as k", "-127 + c_custkey % 832 / 64D as lon", "32 + c_custkey % 704 / 64D as lat"
     )
     return spatial.locate_points(points, layer).select("k", "NM_INDEX")
 
@@ -1209,6 +1213,73 @@ def layer_round_trip(spark, sf_dir):
     return back.selectExpr("NM_INDEX", "rings[0][0].x as x0", "rings[0][0].y as y0", "size(rings[0]) as corners")
 
 
+@probe(
+    "sorted_table",
+    "select count(*) as rows, cast(sum(l_orderkey) as bigint) as keys, true as in_order from lineitem",
+)
+def sorted_table(spark, sf_dir):
+    """A sorted write: the ranges of its files follow each other."""
+    rows = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    path = f"{shared_dir(spark)}/sorted-{uuid.uuid4().hex}"
+    back = writers.write_table(rows, path, sort_by=["l_orderkey", "l_linenumber"])
+    files = back.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high")
+    )
+    before = F.lag("high").over(Window.orderBy("file"))  # a row per file
+    checked = files.withColumn("fine", F.coalesce(F.col("low") >= before, F.lit(True)))
+    return checked.agg(F.sum("n").alias("rows"), F.sum("keys").alias("keys"), F.every("fine").alias("in_order"))
+
+
+@probe(
+    "schema_difference",
+    """select 'orders' as side, column_name, (select count(*) from orders) as n
+       from (describe select * from orders) where column_name <> 'o_custkey'
+       union all select 'customer', column_name, (select count(*) from customer)
+       from (describe select * from customer) where column_name <> 'c_custkey'""",
+)
+def schema_difference(spark, sf_dir):
+    """Columns that one of two tables lacks, after both took part in a union by name."""
+    orders = load(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "custkey")
+    customer = load(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "custkey")
+    left, right = reshape.schema_difference(orders, customer)
+    stacked = reshape.union_by_name(orders, customer)
+    counted = stacked.agg(*[F.count(c).alias(c) for c in [*left, *right]])
+    names = counted.unpivot([], [*left, *right], "column_name", "n")
+    return names.select(F.when(F.col("column_name").isin(left), "orders").otherwise("customer").alias("side"), "column_name", "n")
+
+
+@probe(
+    "layer_with_holes",
+    """select nation, cast(2 as bigint) as parts, cast(3 as bigint) as part_rings, k, inside from (
+         select n_nationkey as nation, c_custkey as k,
+                (greatest(abs(x), abs(y)) <= 8 and greatest(abs(x), abs(y)) >= 4) or greatest(abs(x), abs(y)) <= 1 as inside
+         from (select c_custkey, c_nationkey, c_custkey % 21 - 10 as x, c_custkey % 19 - 9 as y from customer) join nation on n_nationkey = c_nationkey)""",
+)
+def layer_with_holes(spark, sf_dir):
+    """Squares with a hole and an island in it, written as features and read back: two parts, three rings."""
+    ring = "array(named_struct('x', {0}-{1}D, 'y', -{1}D), named_struct('x', {0}+{1}D, 'y', -{1}D), named_struct('x', {0}+{1}D, 'y', {1}D), named_struct('x', {0}-{1}D, 'y', {1}D))"
+    middle = "100D * n_nationkey "
+    layer = load(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey as string) as NM_INDEX", f"array({ring.format(middle, 1)}, {ring.format(middle, 8)}, {ring.format(middle, 4)}) as rings"
+    )
+    path = f"{shared_dir(spark)}/layer-{uuid.uuid4().hex}"
+    written = writers.write_layer(layer, path)
+    shape = written.selectExpr(
+        "get_json_object(value, '$.properties.NM_INDEX') as nation_text",
+        "size(from_json(get_json_object(value, '$.geometry.coordinates'), 'array<array<array<array<double>>>>')) as parts",
+    )
+    back = readers.read_polygons(spark, path)
+    points = load(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as k", "c_nationkey", "100D * c_nationkey + (c_custkey % 21 - 10) as lon", "cast(c_custkey % 19 - 9 as double) as lat"
+    )
+    located = spatial.locate_points(points, back.select("NM_INDEX", "rings"))
+    rings = back.selectExpr("NM_INDEX as nation_text", "size(rings) as part_rings")
+    return (
+        located.withColumn("nation_text", F.col("c_nationkey").cast("string")).join(shape, "nation_text").join(rings, "nation_text")
+        .selectExpr("c_nationkey as nation", "cast(parts as bigint) as parts", "cast(part_rings as bigint) as part_rings", "k", "NM_INDEX is not null as inside")
+    )
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw survey tables to the long map layer."""
     return layer_long(configure(spark), sf_dir)

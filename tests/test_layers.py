@@ -92,6 +92,7 @@ def test_plan_writes_layers(spark, table, groups, polygons, tmp_path):
     assert set(placed) == {"long", "CPUA_All", "GROUPS", "monthly"}
     assert placed["CPUA_All"].columns == ["Block", "Catch", "Trip", "Y2004", "Y2012", "CPUA_All", "Samples", "rings"]
     names = {p.name for p in tmp_path.iterdir()}
-    assert "Rockfish_Bottomfish_2_SAMPLES_long" in names and len(names) == 5
+    kinds = ("long", "CPUA_All", "GROUPS", "monthly", "cpua_year", "audit")
+    assert names == {f"Rockfish_Bottomfish_2_SAMPLES_{kind}" for kind in kinds}
     back = read_polygons(spark, str(tmp_path / "Rockfish_Bottomfish_2_SAMPLES_long"), id_column="Block")
     assert values(back.select("NM_INDEX", F.size("rings"))) == [("X", 1), ("Y", 1)]
