@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -22,6 +22,25 @@ WORD_BYTES = bytes(
 )
 
 
+_caches: dict[str, Callable[[], None]] = {}
+_working: list[str | None] = [None]
+
+
+def remembers(operator: str, forget: Callable[[], None]) -> None:
+    """An operator keeps something in a worker from task to task; ``forget`` drops it."""
+    _caches[operator] = forget
+
+
+def working(operator: str) -> None:
+    """Called in a task before an operator uses what it keeps: a reused worker drops what all others kept."""
+    if _working[0] != operator:
+        _working[0] = operator
+        for other, forget in _caches.items():
+            if other != operator:
+                forget()
+        pa.default_memory_pool().release_unused()
+
+
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import map_arrow
+from .base import map_arrow, remembers, working
 from .units import UnitCache
 
 #: Widths of the matrices; a piece goes to the least width that holds its bytes. Longer pieces, whose
@@ -176,6 +176,9 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+remembers("byte_bpe", encoder.cache_clear)
+
+
 def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_tokens, ids (unsigned 32-bit, little-endian), decoded (bytes).
 
@@ -188,6 +191,7 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     """
 
     def run(batches):
+        working("byte_bpe")
         enc = encoder(path, pattern)
         for batch in batches:
             ids = enc.encode(batch.column("text").to_pylist())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from creelgrid.session import stage_table
 
-from .base import map_arrow, words_of
+from .base import map_arrow, remembers, words_of, working
 
 #: Words of a window, and bytes of benchmark text whose windows one pass over the documents searches.
 WINDOW, BLOCK_BYTES = 13, 2 << 20
@@ -87,6 +87,7 @@ def _spans(hit: bytearray) -> list[int]:
 
 
 _built: dict[str, Benchmark] = {}  # the block that this worker searches now
+remembers("decontaminate", _built.clear)
 
 
 def contamination(
@@ -134,6 +135,7 @@ def contamination(
         last, name = k == blocks - 1, uuid.uuid4().hex
 
         def run(batches, sent=sent, last=last, name=name):
+            working("decontaminate")
             if name not in _built:
                 _built.clear()
                 _built[name] = Benchmark(sent.value, window)

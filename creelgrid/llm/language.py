@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import by_size
+from .base import by_size, remembers, working
 
 #: Characters of an n-gram; rows and probes of the filter; n-grams that it takes at most; labelled rows
 #: that a language gives to the training sample (expected number); the share of the best language's
@@ -155,6 +155,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 _held: dict[str, BitSlices] = {}
+remembers("language", _held.clear)
 
 
 def predict(docs: DataFrame, slices: BitSlices, extra: list[str] | None = None, text_col: str = "text") -> DataFrame:
@@ -170,6 +171,7 @@ def predict(docs: DataFrame, slices: BitSlices, extra: list[str] | None = None,
     picked = docs.select(*(F.col(c).alias(f"c{i}") for i, c in enumerate(kept)), F.col(text_col).alias("text"))
 
     def run(batches):
+        working("language")
         if name not in _held:
             _held.clear()
             _held[name] = known = object.__new__(BitSlices)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from creelgrid.session import stage_table
 
-from .base import by_size, words_of
+from .base import by_size, remembers, words_of, working
 from .components import components
 
 #: Words of a k-mer, components of a sketch, minima in each, and the least similarity of near duplicates
@@ -29,6 +29,7 @@ _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, SKETCHES, np.uint64)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _ORDER = np.uint64(0xD6E8FEB86659FD93)
 _known: dict[bytes, int] = {}
+remembers("near_dedup", _known.clear)
 
 
 def kmers(words: list[bytes]) -> np.ndarray:
@@ -37,6 +38,7 @@ def kmers(words: list[bytes]) -> np.ndarray:
 
     if not words:
         return np.zeros(0, np.uint64)
+    working("near_dedup")
     if len(_known) > 200_000:
         _known.clear()
     _known.update([(w, xxhash.xxh64_intdigest(w)) for w in set(words) if w not in _known])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from creelgrid.session import drop_stages, stage_table
 
-from .base import by_size
+from .base import by_size, remembers, working
 
 #: Sweeps, and the first of them that are not averaged; concentration of all restaurants; text bytes whose
 #: pairs make a bucket; documents that are sampled to find frequent words (which only routes their pairs),
@@ -35,6 +35,7 @@ BEGIN, END = np.uint64(1), np.uint64(2)  # instead of word hashes
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _known: dict[bytes, int] = {}
+remembers("pitman_yor", _known.clear)
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -45,6 +46,7 @@ def tokens_of(text: str | None) -> list[bytes]:
 def hashes_of(words: list[bytes]) -> np.ndarray:
     import xxhash
 
+    working("pitman_yor")
     if len(_known) > 300_000:
         _known.clear()
     _known.update([(w, xxhash.xxh64_intdigest(w) >> 8) for w in set(words) if w not in _known])

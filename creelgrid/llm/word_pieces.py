@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import map_arrow
+from .base import map_arrow, remembers, working
 
 ROOT, SUFFIX_ROOT = 0, 1
 
@@ -100,6 +100,7 @@ def count_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """
 
     def run(batches):
+        working("word_pieces")
         automaton = rank_file_automaton(path)
         known = _known.setdefault(path, {})
         for batch in batches:
@@ -131,3 +132,11 @@ def count_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
 
 _known: dict[str, dict[bytes, int]] = {}
+
+
+def _forget() -> None:
+    _known.clear()
+    rank_file_automaton.cache_clear()
+
+
+remembers("word_pieces", _forget)

@@ -65,7 +65,7 @@ def test_stages_keep_the_columns(spark, sf_dir):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and len(corpus_pipeline.STAGES) == 5
+    assert numbers == list(range(1, 14)) and len(corpus_pipeline.STAGES) == 5
 
 
 def test_without_the_subpackage(tmp_path):
