@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 from creelgrid.operators.joins import skew_join
 from creelgrid.session import drop_stages, stage_table
 
-from .base import map_arrow
+from .base import by_size, map_arrow, remembers, working
 from .suffix_groups import suffix_array
 
 #: Bytes that must occur twice, and bytes of the anchor by which equal windows are brought together.
 LENGTH, ANCHOR = 400, 200
 #: Different neighbourhoods of one anchor that share a suffix array; more are told apart by narrower
-#: cores, whose windows start in steps of ``STEPS``. Bytes of text of one suffix array.
-TOGETHER, STEPS, ARRAY_BYTES = 128, (16, 1), 1 << 16
+#: cores, whose windows start in steps of ``STEPS``. Within a task runs are narrowed to ``NARROW`` windows.
+TOGETHER, STEPS, NARROW = 128, (16, 1), 32
+#: Bytes of text of one suffix array, or runs without any, after which a task passes on what it found.
+ARRAY_BYTES, ARRAY_ROWS = 1 << 16, 1 << 14
 #: Bytes of a text that are hashed at once.
 PIECE = 1 << 19
 
@@ -36,6 +38,9 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(both[0]), np.cumprod(both[1])
 
 
+remembers("repeated_bytes", _powers.cache_clear)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
@@ -95,6 +100,7 @@ def _rows(columns: list[list | np.ndarray], names: str) -> pa.RecordBatch:
 
 
 def _runs(batches, length: int, anchor: int):
+    working("repeated_bytes")
     for batch in batches:
         parts: list[list] = [[] for _ in range(6)]
         for id1, id2, data in zip(*(batch.column(c).to_pylist() for c in ("id1", "id2", "text"))):
@@ -159,38 +165,81 @@ def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
     return [np.flatnonzero(hit[a : b - 1]) for a, b in zip(bounds[:-1], bounds[1:])]
 
 
-def _arrays(batches, length: int):
-    """Spans of windows that occur twice among the neighbourhoods of an anchor; rows come sorted by anchor."""
-    held: dict[tuple[int, int], tuple] = {}
-    size = 0
-
-    def flush():
-        rows = list(held.values())
+def _stretches(marks: np.ndarray):
+    """(start, end) of each run of set marks."""
+    edges = np.flatnonzero(np.diff(marks, prepend=False, append=False)).tolist()
+    return zip(edges[::2], edges[1::2])
+
+
+class Neighbourhoods:
+    """Runs of windows with their texts, gathered anchor by anchor until a suffix array of them is worth while."""
+
+    def __init__(self, length: int):
+        self.length = length
+        self.rows: list[tuple[int, int, int, np.ndarray]] = []  # ids, first window, windows found twice
+        self.parts: list[bytes] = []
+        self.places: list[tuple[int, int]] = []
+        self.size = 0
+
+    def add(self, group: list[tuple]) -> None:
+        """Different runs of one anchor as (id1, id2, n, loc, bytes). Runs are narrowed to windows with a core that
+        another run holds too. Equal narrow runs are repeated whole; the suffix array gets one of them beside
+        the different ones of the same core."""
+        cores: dict[int, dict[int, list[tuple[int, int, int]]]] = {}
+        base = len(self.rows)
+        wanted: dict[int, np.ndarray] = {}  # windows of a run for the suffix array
+        for number, (id1, id2, n, loc, data) in enumerate(group):
+            first, more, distance = _where(loc)
+            self.rows.append((id1, id2, first, np.zeros(more + 1, bool)))
+            for *_, core, own, _, place in _narrowed(data, 0, 0, {"loc": loc & ((1 << 18) - 1), "n": n}, self.length, NARROW):
+                cores.setdefault(core, {}).setdefault(own, []).append((number, n, place))
+        for alike in cores.values():
+            for holders in alike.values():
+                if sum(n for _, n, _ in holders) > 1:
+                    for number, _, place in holders:
+                        low, more, _ = _where(place)
+                        self.rows[base + number][3][low : low + more + 1] = True
+            if len(alike) > 1 and any(len(h) == 1 and h[0][1] == 1 for h in alike.values()):
+                for holders in alike.values():
+                    number, _, place = holders[0]
+                    low, more, _ = _where(place)
+                    wanted.setdefault(number, np.zeros_like(self.rows[base + number][3]))[low : low + more + 1] = True
+        for number, windows in wanted.items():
+            for low, high in _stretches(windows):
+                self.parts.append(group[number][4][low : high - 1 + self.length])
+                self.places.append((base + number, low))
+                self.size += len(self.parts[-1])
+
+    def spans(self) -> list[tuple[int, int, int]]:
+        """(id1, id2, span) of the windows found twice so far; begins anew."""
+        if self.parts:
+            for (row, low), starts in zip(self.places, repeated_windows(self.parts, self.length)):
+                self.rows[row][3][low + starts] = True
         out = []
-        for (id1, id2, n, loc, _), starts in zip(rows, repeated_windows([r[4] for r in rows], length)):
-            if n == 1 and len(starts):
-                base = _where(loc)[0]
-                gaps = np.flatnonzero(np.diff(starts) > 1)
-                lows = starts[np.concatenate(([0], gaps + 1))]
-                highs = starts[np.append(gaps, len(starts) - 1)]
-                out += [(id1, id2, _span(base + a, b - a + length)) for a, b in zip(lows.tolist(), highs.tolist())]
+        for id1, id2, first, hit in self.rows:
+            out += [(id1, id2, _span(first + a, b - a + self.length - 1)) for a, b in _stretches(hit)]
+        self.__init__(self.length)
         return out
 
-    for batch in batches:
-        found: list[tuple] = []
+
+def _arrays(batches, length: int):
+    """Spans of windows that occur twice among the runs of an anchor; rows come sorted by anchor."""
+    near = Neighbourhoods(length)
+    key, group = None, {}
+    for batch in by_size(batches, "bytes", 1 << 20):
         for row in zip(*(batch.column(c).to_pylist() for c in ("key", "frag", "id1", "id2", "n", "loc", "bytes"))):
-            if size > ARRAY_BYTES and next(reversed(held))[0] != row[0]:
-                found += flush()
-                held, size = {}, 0
-            if row[:2] not in held:
-                held[row[:2]] = row[2:]
-                size += len(row[6])
-        if found:
-            yield _rows(list(zip(*found)), "id1, id2, span")
-    if held:
-        found = flush()
-        if found:
-            yield _rows(list(zip(*found)), "id1, id2, span")
+            if row[0] != key:
+                near.add(list(group.values()))
+                key, group = row[0], {}
+                if near.size > ARRAY_BYTES or len(near.rows) > ARRAY_ROWS:
+                    found = near.spans()
+                    if found:
+                        yield _rows(list(zip(*found)), "id1, id2, span")
+            group.setdefault(row[1], row[2:])
+    near.add(list(group.values()))
+    found = near.spans()
+    if found:
+        yield _rows(list(zip(*found)), "id1, id2, span")
 
 
 def _span(start, size):
@@ -237,8 +286,8 @@ def remove_repeats(
     Every window of ``length`` bytes has an anchor that its bytes alone decide, and windows of one anchor
     stand in runs. Runs meet by the anchor's hash. Equal runs collapse into a count before anything else, so
     that a group of copies is one row; what occurs twice so is repeated whole. Where different runs share an
-    anchor, their texts are cut out and one suffix array of them, built by Lyndon groups, tells which windows
-    are repeated. An anchor with more than ``together`` different runs does not meet in one task: its runs are
+    anchor, their texts are cut out and narrowed to windows with a common core, and one suffix array of those
+    that differ, built by Lyndon groups, tells which windows are repeated. An anchor with more than ``together`` different runs does not meet in one task: its runs are
     split by the cores that 16 and then single windows share, where such runs collapse again.
 
     Texts are told apart by 128 bits, runs of one anchor by 64 bits. Null text is the empty text; texts under
