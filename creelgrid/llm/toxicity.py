@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from creelgrid.session import stage_table
 
-from .base import by_size, words_of
+from .base import by_size, remembers, words_of, working
 
 #: Hash buckets of terms; terms that the machine keeps at most; the least G-statistic of a kept term and
 #: the documents it must stand in; labelled rows in the training sample (expected number); factors.
@@ -34,6 +34,7 @@ def _hash(word: bytes) -> int:
 def terms_of(text: str | None) -> np.ndarray:
     """Sorted distinct hashed terms of a whole text: words of letters, A-Z lower-cased, without digits."""
     words = set(words_of(text))
+    working("toxicity")
     if len(_known) > 500_000:
         _known.clear()
     _known.update([(w, _hash(w) & (BUCKETS - 1)) for w in words if w not in _known])
@@ -99,6 +100,32 @@ def _alone(few: DataFrame) -> DataFrame:
     return few.groupBy("y", *(f"s{k}" for k in range(_SKETCHES))).agg(F.min("id").alias("id")).select("id")
 
 
+def _pairs(first: np.ndarray, other: np.ndarray, most: int):
+    """Each term of the one list with each different one of the other, in one number; about ``most`` at a time."""
+    step = max(1, most // max(1, len(other)))
+    for i in range(0, len(first), step):
+        part = first[i : i + step, None]
+        yield (part.astype(np.int64) * BUCKETS + other[None, :])[part != other[None, :]]
+
+
+def _chunks(batches, lists_of, most: int = 1 << 19):
+    """(pairs, labels) of many rows at a time, or of a part of a long one."""
+    keys, labels, held = [], [], 0
+    for batch in batches:
+        sizes = batch.column("terms").value_lengths().to_numpy()
+        terms = np.split(batch.column("terms").flatten().to_numpy(), np.cumsum(sizes)[:-1])
+        for own, y in zip(terms, batch.column("y").to_pylist()):
+            for part in _pairs(*lists_of(own), most):
+                keys.append(part)
+                labels.append(np.full(len(part), y, np.int8))
+                held += len(part)
+                if held > most:
+                    yield np.concatenate(keys), np.concatenate(labels)
+                    keys, labels, held = [], [], 0
+    if held:
+        yield np.concatenate(keys), np.concatenate(labels)
+
+
 def _partners(few: DataFrame, leads: dict[int, tuple[int, int]], often: list[int]) -> dict[int, float]:
     """Terms of pairs, with the best G-statistic of one for the label among the rows that hold the other.
 
@@ -110,18 +137,28 @@ def _partners(few: DataFrame, leads: dict[int, tuple[int, int]], often: list[int
     if not leads:
         return {}
 
-    def run(frames):
+    spark = few.sparkSession
+    first, other = np.zeros(BUCKETS, bool), np.zeros(BUCKETS, bool)
+    first[list(leads)], other[often] = True, True
+    sent = spark.sparkContext.broadcast((first, other))
+
+    def count(batches):
+        first, other = sent.value
+        for keys, y in _chunks(batches, lambda terms: (terms[first[terms]], terms[other[terms]])):
+            pairs, at = np.unique(keys, return_inverse=True)
+            columns = (pairs // BUCKETS, pairs % BUCKETS, np.bincount(at, y).astype(np.int64), np.bincount(at))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "with_1", "held"])
+
+    def weigh(frames):
         for pairs in frames:
             all_1, held = np.array([leads[a] for a in pairs.a], float).reshape(-1, 2).T
             with_1, with_0 = pairs.with_1.to_numpy(float), (pairs.held - pairs.with_1).to_numpy(float)
             g = _g_statistic(with_1, with_0, all_1, held - all_1)
             yield pairs.assign(g=g)[["a", "b", "g"]][g >= LEAST_G]
 
-    own = few.sparkSession.createDataFrame([(list(leads), often)], "own array<int>, often array<int>")  # one row
-    pairs = few.join(F.broadcast(own)).select("y", F.array_intersect("terms", "often").alias("terms"), F.explode(F.array_intersect("terms", "own")).alias("a"))
-    pairs = pairs.select("y", "a", F.explode("terms").alias("b")).filter("a <> b")
-    pairs = pairs.groupBy("a", "b").agg(F.sum("y").alias("with_1"), F.count("*").alias("held")).filter(F.col("held") >= LEAST_DOCS)
-    best = pairs.mapInPandas(run, "a int, b int, g double").orderBy(F.desc("g"), "a", "b").limit(TERMS).toPandas()
+    pairs = few.select("y", "terms").mapInArrow(count, "a long, b long, with_1 long, held long")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("with_1").alias("with_1"), F.sum("held").alias("held")).filter(F.col("held") >= LEAST_DOCS)
+    best = pairs.mapInPandas(weigh, "a long, b long, g double").orderBy(F.desc("g"), "a", "b").limit(TERMS).toPandas()
     out: dict[int, float] = {}
     for a, b, g in best.itertuples(index=False):
         out[a], out[b] = max(out.get(a, 0.0), g), max(out.get(b, 0.0), g)
@@ -175,8 +212,17 @@ def train(
     share = (whole.y + 0.5) / (whole.n + 1)
     machine = Machine(picked, float(np.log(share / (1 - share))))
     if len(picked):
-        own = few.sparkSession.createDataFrame([(picked.tolist(),)], "own array<int>")  # one row
-        reduced = few.join(F.broadcast(own)).select("y", F.array_intersect("terms", "own").alias("terms")).toPandas()
+        sent = few.sparkSession.sparkContext.broadcast(machine.place)
+
+        def reduce(batches):
+            place = sent.value
+            for batch in batches:
+                sizes = batch.column("terms").value_lengths().to_numpy()
+                terms = np.split(batch.column("terms").flatten().to_numpy(), np.cumsum(sizes)[:-1])
+                kept = [t[place[t] >= 0] for t in terms] if len(sizes) else []
+                yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(kept, pa.list_(pa.int32()))], ["y", "terms"])
+
+        reduced = few.select("y", "terms").mapInArrow(reduce, "y int, terms array<int>").toPandas()
         owner = np.repeat(np.arange(len(reduced)), [len(t) for t in reduced.terms])
         flat = np.concatenate([*reduced.terms, []]).astype(np.int64)
         machine.fit(machine.place[flat], owner, reduced.y.to_numpy(float))
@@ -186,6 +232,14 @@ def train(
 _held: dict[str, Machine] = {}
 
 
+def _forget() -> None:
+    _known.clear()
+    _held.clear()
+
+
+remembers("toxicity", _forget)
+
+
 def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, score (0 to 1), predicted (1 from ``MARK``).
 
@@ -196,6 +250,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches):
+        working("toxicity")
         if name not in _held:
             _held.clear()
             _held[name] = own = object.__new__(Machine)

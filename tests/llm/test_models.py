@@ -232,3 +232,14 @@ def test_score_of_nothing(spark):
 
 def test_tables(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("pairs_")], SF
+
+
+def test_a_worker_forgets_other_operators():
+    from creelgrid.llm import near_dedup, pitman_yor
+
+    toxicity.terms_of("a few words")
+    assert toxicity._known
+    near_dedup.kmers([b"a", b"few", b"words"])
+    assert near_dedup._known and not toxicity._known
+    pitman_yor.hashes_of([b"a"])
+    assert pitman_yor._known and not near_dedup._known
