@@ -6,6 +6,7 @@ import os
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from creelgrid.session import shared_dir, stage_table
 
-from .base import by_size
+from .base import by_size, remembers, working
 from .units import UnitCache
 
 #: Ids per sequence and sequences per record batch.
@@ -98,7 +99,6 @@ def _cache(path: str) -> tuple[UnitCache, int]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
 
     # A token of a byte-level vocabulary has a character per byte.
     widths = np.zeros(tokenizer.get_vocab_size(), np.int64)
@@ -113,11 +113,12 @@ def _cache(path: str) -> tuple[UnitCache, int]:
         groups = [joined[k : k + 256] for k in range(0, len(joined), 256)]
         alone = sorted(set(range(len(texts))) - set(joined))
         found = tokenizer.encode_batch_fast(["".join([texts[i] for i in g]) for g in groups], add_special_tokens=False)
-        for group, coded in zip(groups, found):
-            ids = np.array(coded.ids, "<u4")
-            ends = np.searchsorted(np.cumsum(widths[ids]), np.cumsum([len(texts[i].encode()) for i in group])) + 1
-            for i, a, b in zip(group, [0, *ends[:-1].tolist()], ends.tolist()):
-                out[i] = ids[a:b].tobytes()
+        ids = np.fromiter(chain.from_iterable(coded.ids for coded in found), "<u4")
+        sizes = [len(t) if t.isascii() else len(t.encode()) for t in map(texts.__getitem__, joined)]
+        ends = (np.searchsorted(np.cumsum(widths[ids]), np.cumsum(sizes)) * 4 + 4).tolist() if sizes else []
+        flat = ids.tobytes()
+        for i, a, b in zip(joined, [0, *ends], ends):
+            out[i] = flat[a:b]
         for i, coded in zip(alone, tokenizer.encode_batch_fast([texts[i] for i in alone], add_special_tokens=False)):
             out[i] = np.array(coded.ids, "<u4").tobytes()
         return out
@@ -125,6 +126,9 @@ def _cache(path: str) -> tuple[UnitCache, int]:
     return UnitCache(encode), tokenizer.get_vocab_size()
 
 
+remembers("token_files", _cache.cache_clear)
+
+
 def _open(path: str):
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else "file://" + path)
 
@@ -147,6 +151,7 @@ def write_tokens(
         shard, store_path = context.partitionId(), None
         writer = docs_writer = sink = docs_sink = None
         n_docs = 0
+        working("token_files")
         cache, vocabulary = _cache(path)
         end = np.array([end_id], np.uint32)
         for batch in by_size(batches):

@@ -68,8 +68,7 @@ def test_files_round_trip(spark, odd_docs, texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
-    docs = odd_docs.select("doc_id", "text").union(spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    docs = odd_docs.select("doc_id", "text").union(spark.createDataFrame([(100 + i, t) for i, t in enumerate([*texts, "a <|endoftext|> b", "x<|endoftext|>", "<|endoftext|>y z<|endoftext|>\n"])], "doc_id long, text string"))
     got = sorted((tuple(r) for r in token_files.token_files(docs, JSON).collect()), key=lambda r: r[1])
     want, start = [], 0
     ordered = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, (r.text or "").encode()))
