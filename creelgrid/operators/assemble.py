@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import reasons
 from ..functions.scalars import or_zero
+from ..session import stage_table
 from .dedupe import group_sizes
 from .joins import full_join, merge_unique
 from .rejects import REASON, Keep, Stage, in_plan
@@ -28,9 +29,12 @@ def all_catch(observed: DataFrame, reported: DataFrame) -> DataFrame:
 
 
 def with_effort(catch: DataFrame, effort: DataFrame) -> DataFrame:
-    """Full join of catch and effort on trip, block and year; only a year can be NULL."""
+    """Full join of catch and effort on trip, block and year; only a year can be NULL.
+
+    Effort has a row per trip type of a key; catch may be much more of one trip, which is split.
+    """
     joined = full_join(
-        catch, effort, [("ID_CODE", "id_noloc"), "Block", "year"], suffixes=("_catch", "_effort"), null_safe=["year"]
+        catch, effort, [("ID_CODE", "id_noloc"), "Block", "year"], suffixes=("_catch", "_effort"), null_safe=["year"], split_right=False
     )
     return joined.withColumn("id", F.coalesce("id", "ID_CODE"))
 
@@ -60,9 +64,12 @@ def assemble(observed: DataFrame, reported: DataFrame, effort: DataFrame, keep:
     """``all_by_id`` and the catch that has no effort.
 
     Both sides are filters of one full join. All inputs are already one row per
-    key, so no join key repeats beyond the species and trip types of one trip.
+    key, so no join key repeats beyond the species and trip types of one trip. The
+    catch, which the join reads twice, is a written table.
     """
-    joined = keep(with_effort(all_catch(observed, reported), effort), "assembled")
+    catch = all_catch(observed, reported)
+    catch = stage_table(catch, "catch") if keep is in_plan else keep(catch, "catch")
+    joined = keep(with_effort(catch, effort), "assembled")
     rejects = joined.filter(without_effort()).withColumn(REASON, F.lit(reasons.CATCH_NO_EFFORT))
     return Stage(publish(joined.filter(~without_effort())), rejects, tuple(reasons.OUTPUT))
 

@@ -61,6 +61,7 @@ def full_join(
     on: Sequence[Key],
     suffixes: tuple[str, str] = ("_x", "_y"),
     null_safe: Sequence[str] | None = None,
+    split_right: bool = True,
 ) -> DataFrame:
     """Full outer join in which NULL keys match; keys are coalesced under the left name.
 
@@ -68,7 +69,9 @@ def full_join(
     exist on both sides get the suffixes. A full join cannot be split by AQE, so it is
     made of two that can: the left join, and the rows of the right side without a key on
     the left, which meet one row per key. A key with a third of the rows of either side
-    is split. Both inputs are read twice and should be tables or cheap to make again.
+    is split, on the right only with ``split_right``, which costs a shuffle of the left keys;
+    a side with few rows per key goes right, without it. Both inputs are read twice and
+    should be tables or cheap to make again.
     """
     pairs = _pairs(on)
     lk, rk = [l for l, _ in pairs], [r for _, r in pairs]
@@ -78,10 +81,17 @@ def full_join(
     rest_left = [c for c in left.columns if c not in lk]
     rest_right = [c for c in right.columns if c not in rk]
     matched = _split_join(left, right, pairs, "left", null_safe)
-    keys = left.select(*[F.col(l).alias(f"__k{i}") for i, l in enumerate(lk)]).distinct()
+    keys = left.select(*[F.col(l).alias(f"__k{i}") for i, l in enumerate(lk)])
     back = [(r, f"__k{i}") for i, r in enumerate(rk)]
     safe = None if null_safe is None else [r for l, r in pairs if l in null_safe]
-    alone = _split_join(right, keys, back, "left_anti", safe)
+    if split_right:
+        alone = _split_join(right, keys.distinct(), back, "left_anti", safe)
+    else:
+        # a struct is never NULL, so its equality is null-safe and the shuffle of the keys serves the join
+        boxed = {r for r, _ in back if safe is None or r in safe}
+        keys = keys.select(*[(F.struct(k) if r in boxed else F.col(k)).alias(k) for r, k in back]).distinct()
+        same = [(F.struct(right[r].alias(k)) if r in boxed else right[r]) == keys[k] for r, k in back]
+        alone = right.join(keys, reduce(Column.__and__, same), "left_anti")
     alone = alone.select(*[F.col(r).alias(l) for l, r in pairs], *rest_right)
     return matched.select(*lk, *rest_left, *rest_right).unionByName(alone, allowMissingColumns=True)
 

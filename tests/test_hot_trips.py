@@ -81,3 +81,37 @@ def test_leader(spark, lookup):
     )
     stage = effort.effort(raw, locations(spark, place("boss", 1, "X-1")), lookup)
     assert [tuple(r) for r in stage.kept.select("id_noloc", "Cntrbs").collect()] == [("IDboss", 2.0 * N)]
+
+
+def test_assembly_of_a_hot_trip_is_split(spark):
+    """A third of the catch lies in one block and year of one trip."""
+    from creelgrid.operators import assemble as A
+    from creelgrid.session import stage_table
+
+    catch = spark.range(150_000).selectExpr(
+        "'x' as id", "if(id % 3 = 0, 'hot', cast(id as string)) as ID_CODE", "cast(id as double) as SP_CODE", "'B' as Block",
+        "md5(cast(id as string)) as Common_Name", "'t' as TripType_Description", "if(id % 5 = 1, null, '2012') as year", "1D as Total_Obs_Fish_Caught",
+    )
+    effort = spark.range(40_000).selectExpr(
+        "if(id = 0, 'hot', cast(id * 7 as string)) as id_noloc", "'2012' as year", "'B' as Block", "'n' as Common_Name", "'t' as TripType_Description", "2D as AnglerDays",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        catch, effort = stage_table(catch, "hot_catch"), stage_table(effort, "hot_effort")
+        joined = A.with_effort(catch, effort)
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "FullOuter" not in plan
+        same = (catch.ID_CODE == effort.id_noloc) & (catch.Block == effort.Block) & catch.year.eqNullSafe(effort.year)
+        want = catch.join(effort, same, "full")
+        assert joined.count() == want.count()
+        assert joined.filter("AnglerDays = 2 and SP_CODE is not null").count() == want.filter("AnglerDays = 2 and SP_CODE is not null").count() > 30_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
