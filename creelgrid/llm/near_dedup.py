@@ -1,4 +1,4 @@
-"""Near duplicates by MinHash and, for texts of few runs, a prefix filter, verified by banded alignment."""
+"""Near duplicates by order MinHash and, for texts of few runs, a prefix filter, verified by banded alignment."""
 
 from __future__ import annotations
 
@@ -70,26 +70,41 @@ def _mixed(runs: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return mixed * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def sketch(runs: np.ndarray) -> list[int]:
-    """Per component, the ``MINIMA`` least labelled runs under its hash, as a set.
+def _hashed(start: np.ndarray, columns: np.ndarray) -> list[int]:
+    """One number for each row of ``columns``, which tells their order."""
+    value = start.copy()
+    for column in columns.T:
+        value = (value ^ column) * _PRIME
+        value ^= value >> np.uint64(31)
+    return value.view(np.int64).tolist()
 
-    Their order in the text has no part in it: where a passage is repeated, an alignment may match a run's
-    first occurrence with the other text's second, and the same items stand in another order."""
+
+def sketches(runs: np.ndarray) -> tuple[list[int], list[int]]:
+    """Two sketches of a text: per component, the ``MINIMA`` least labelled runs under its hash, put together
+    in the order of the text, and the same runs as a set.
+
+    The order tells moved passages, and texts without repeated runs lose nothing by it: what an alignment
+    matches stands in one order. Where a passage is repeated, an alignment may match its first occurrence
+    with the other text's second, and the same labelled runs stand in another order; the sets are for these."""
     runs = labelled(runs)
-    out: list[int] = []
+    ordered: list[int] = []
+    sets: list[int] = []
     step = max(1, (1 << 17) // max(1, len(runs)))
     for k in range(0, SKETCHES, step):
         seeds = _SEEDS[k : k + step, None]
         mixed = _mixed(runs, seeds)
         if mixed.shape[1] > MINIMA:
-            mixed = np.partition(mixed, MINIMA - 1, axis=1)[:, :MINIMA]
-        mixed.sort(axis=1)
-        value = seeds[:, 0].copy()
-        for column in mixed.T:
-            value = (value ^ column) * _PRIME
-            value ^= value >> np.uint64(31)
-        out += value.view(np.int64).tolist()
-    return out
+            places = np.sort(np.argpartition(mixed, MINIMA - 1, axis=1)[:, :MINIMA], axis=1)
+        else:
+            places = np.broadcast_to(np.arange(mixed.shape[1]), mixed.shape)
+        ordered += _hashed(seeds[:, 0], runs[places])
+        sets += _hashed(~seeds[:, 0], np.sort(np.take_along_axis(mixed, places, axis=1), axis=1))
+    return ordered, sets
+
+
+def repeats(runs: np.ndarray) -> bool:
+    """Whether a run stands in a text more than once."""
+    return len(np.unique(runs)) < len(runs)
 
 
 def prefix(runs: np.ndarray) -> list[int]:
@@ -103,31 +118,18 @@ def prefix(runs: np.ndarray) -> list[int]:
     return first.view(np.int64).tolist()
 
 
-def buckets(runs: np.ndarray) -> list[int]:
-    """The buckets of a text: pairs with a text under ``FEW`` runs always share one, others by their sketches."""
+def buckets(runs: np.ndarray) -> tuple[list[int], list[int]]:
+    """The buckets of a text: those of its own, and those that count where a text with repeated runs has them too.
+
+    Pairs with a text under ``FEW`` runs always share one, by their prefixes. Others share one by their sketches
+    in text order or, where a run is repeated in either, by those sketches as sets."""
     up, down = LEAST
     n = len(runs)
-    return (prefix(runs) if n and n * up < FEW * down else []) + (sketch(runs) if n >= FEW else [])
-
-
-def order_sketch(runs: np.ndarray) -> list[int]:
-    """As ``sketch``, put together in text order: tells moved passages, but loses pairs with repeated ones."""
-    runs = labelled(runs)
-    out: list[int] = []
-    step = max(1, (1 << 17) // max(1, len(runs)))
-    for k in range(0, SKETCHES, step):
-        seeds = _SEEDS[k : k + step, None]
-        mixed = _mixed(runs, seeds)
-        if mixed.shape[1] > MINIMA:
-            places = np.sort(np.argpartition(mixed, MINIMA - 1, axis=1)[:, :MINIMA], axis=1)
-        else:
-            places = np.broadcast_to(np.arange(mixed.shape[1]), mixed.shape)
-        value = seeds[:, 0].copy()
-        for column in range(places.shape[1]):
-            value = (value ^ runs[places[:, column]]) * _PRIME
-            value ^= value >> np.uint64(31)
-        out += value.view(np.int64).tolist()
-    return out
+    short = prefix(runs) if n and n * up < FEW * down else []
+    if n < FEW:
+        return short, []
+    ordered, sets = sketches(runs)
+    return (short + ordered + sets, []) if repeats(runs) else (short + ordered, sets)
 
 
 def _prefix_hashes(runs: np.ndarray) -> np.ndarray:
@@ -204,19 +206,21 @@ def _sketched(docs: DataFrame, kind: str) -> DataFrame:
         import xxhash
 
         for batch in by_size(batches, most=2 << 20):
-            digests, counts, sketches = [], [], []
+            digests, counts, own, others = [], [], [], []
             for text in batch.column("text").to_pylist():
                 words = words_of(text)
                 runs = kmers(words)
                 digests.append(xxhash.xxh3_128_digest(b" ".join(words)) if words else None)
                 counts.append(len(runs))
-                sketches.append(buckets(runs))
+                for kept, found in zip((own, others), buckets(runs)):
+                    kept.append(found)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))],
-                ["doc_id", "digest", "n", "sketch"],
+                [batch.column("doc_id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64())]
+                + [pa.array(x, pa.list_(pa.int64())) for x in (own, others)],
+                ["doc_id", "digest", "n", "own", "others"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, digest binary, n long, sketch array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, digest binary, n long, own array<long>, others array<long>")
 
 
 def _runs_of(docs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
@@ -356,8 +360,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies. Two texts are linked when their labelled five-word runs align with similarity 0.8 or more
     (see ``aligned``; equal to the Jaccard similarity of the runs unless passages change places).
     Candidates with a text under 20 runs come from an exact prefix filter, which misses none. Others agree
-    in a component of a MinHash sketch of the labelled runs: 24 components of 4 minima miss a pair at 0.8
-    once in some 300,000 if texts are long, once in 100,000 at 20 runs, pairs above less. A class is a connected component of copies and links;
+    in a component of an order MinHash sketch, the least labelled runs in text order: 24 components of 4
+    minima miss a pair at 0.8 once in some 300,000 if texts are long, once in 100,000 at 20 runs, pairs above
+    less. Where a run is repeated in one of two texts the order may differ though they align; there the same
+    minima as sets, in buckets of their own, find as many. A class is a connected component of copies and links;
     class_id is its least id, class_size counts its rows, and the row with that id is kept.
 
     Copies count once. The members of a bucket are compared with one leader only, then, if they are still
@@ -377,8 +383,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = stage_table(rows.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node")), "copies")
     known = copies.filter("node is not null")
     heads = rows.join(known.withColumnRenamed("node", "doc_id"), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"])
-    entries = heads.select(F.col("doc_id").alias("node"), "n", F.explode("sketch").alias("bucket")).distinct()
-    shared = entries.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    of = lambda c, own: F.transform(F.array_distinct(c), lambda b: F.struct(b.alias("bucket"), F.lit(own).alias("own")))
+    entries = heads.select(F.col("doc_id").alias("node"), "n", F.explode(F.concat(of("own", True), of("others", False))).alias("e")).select("node", "n", "e.bucket", "e.own")
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("members"), F.max("own").alias("any")).filter("members > 1 and any").drop("any")
+    entries = entries.drop("own")
     entries = stage_table(entries.join(shared, "bucket").withColumn("label", F.col("node")), "buckets")
     nodes = entries.select("node").distinct()
     runs = stage_table(_runs_of(picked, known.join(nodes, "node", "left_semi"), kind), "runs")

@@ -41,6 +41,12 @@ def classes(rows):
     return {rows[i][0]: rows[find(i)][0] for i in range(len(rows))}
 
 
+def meet(x, y):
+    """Whether two texts share a bucket that counts."""
+    (own_x, others_x), (own_y, others_y) = (map(set, near_dedup.buckets(r)) for r in (x, y))
+    return bool(own_x & own_y or own_x & others_y or others_x & own_y)
+
+
 @pytest.fixture(scope="module")
 def corpus():
     rng = random.Random(11)
@@ -102,7 +108,7 @@ def test_sketches_find_pairs_at_the_threshold():
             b[k] = str(rng.random()).encode()
         x, y = near_dedup.kmers(a), near_dedup.kmers(b)
         assert near_dedup.aligned(x, y) == 160
-        missed += not set(near_dedup.order_sketch(x)) & set(near_dedup.order_sketch(y))
+        missed += not meet(x, y)
     assert missed == 0
 
 
@@ -114,7 +120,7 @@ def test_pairs_of_few_runs_share_a_bucket():
         b = b + a if rng.random() < 0.5 else a + b  # 8 and 9 words: 4 and 5 runs, similarity 0.8
         x, y = near_dedup.kmers(a), near_dedup.kmers(b)
         if min(len(x), len(y)) < near_dedup.FEW and near_dedup.aligned(x, y):
-            assert set(near_dedup.buckets(x)) & set(near_dedup.buckets(y))
+            assert meet(x, y)
 
 
 def test_pairs_with_a_repeated_passage_share_a_bucket():
@@ -124,7 +130,7 @@ def test_pairs_with_a_repeated_passage_share_a_bucket():
         p, x = ([str(rng.random()).encode() for _ in range(n)] for n in (50, 160))
         a, b = near_dedup.kmers(p + x + p), near_dedup.kmers(x + p)
         assert near_dedup.aligned(a, b)
-        missed += not set(near_dedup.buckets(a)) & set(near_dedup.buckets(b))
+        missed += not meet(a, b)
     assert missed == 0
 
 
@@ -139,9 +145,35 @@ def test_classes_of_few_runs(make_docs):
 
 def test_order_matters_to_sketches():
     words = [str(k).encode() for k in range(200)]
-    x = near_dedup.order_sketch(near_dedup.kmers(words))
-    moved = near_dedup.order_sketch(near_dedup.kmers(words[100:] + words[:100]))
+    x, sets = near_dedup.buckets(near_dedup.kmers(words))
+    moved, others = near_dedup.buckets(near_dedup.kmers(words[100:] + words[:100]))
     assert len(set(x) & set(moved)) < near_dedup.SKETCHES / 3
+    assert len(set(sets) & set(others)) > near_dedup.SKETCHES / 2 and not set(x) & set(others) and not set(moved) & set(sets)
+
+
+def test_repeated_passages_and_changes_share_a_bucket():
+    rng = random.Random(12)
+    missed = pairs = 0
+    while pairs < 400:
+        parts = [[str(rng.random()).encode() for _ in range(rng.randint(10, 60))] for _ in range(4)]
+        a = [w for _ in range(6) for w in rng.choice(parts)]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            b[rng.randrange(len(b))] = str(rng.random()).encode()
+        x, y = near_dedup.kmers(a[rng.randint(0, 30) :]), near_dedup.kmers(b)
+        if near_dedup.aligned(x, y):
+            pairs += 1
+            missed += not meet(x, y)
+    assert missed == 0
+
+
+def test_repeated_passages_in_the_query(make_docs):
+    rng = random.Random(13)
+    rows = []
+    for k in range(40):
+        p, x = ([f"{k}x{rng.random()}" for _ in range(n)] for n in (50, 160))
+        rows += [(2 * k, " ".join(p + x + p)), (2 * k + 1, " ".join(x + p))]
+    assert all(r.class_id == r.doc_id // 2 * 2 for r in near_dedup.near_duplicates(make_docs(rows)).collect())
 
 
 def test_odd_rows(odd_docs):
