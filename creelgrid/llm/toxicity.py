@@ -16,8 +16,8 @@ from .base import by_size, remembers, words_of, working
 #: Hash buckets of terms; terms that the machine keeps at most; the least G-statistic of a kept term and
 #: the documents it must stand in; labelled rows in the training sample (expected number); factors.
 BUCKETS, TERMS, LEAST_G, LEAST_DOCS, SAMPLE, FACTORS = 1 << 18, 4096, 30.0, 5, 40_000, 8
-#: The least G-statistic of a term whose partners are looked for: weak alone, it may be strong beside one.
-LEAD_G = 10.0
+#: Terms on either side of a block of pairs, which a task counts in one matrix.
+SIDE = 2048
 #: Score from which a text is marked.
 MARK = 0.7
 
@@ -100,65 +100,93 @@ def _alone(few: DataFrame) -> DataFrame:
     return few.groupBy("y", *(f"s{k}" for k in range(_SKETCHES))).agg(F.min("id").alias("id")).select("id")
 
 
-def _pairs(first: np.ndarray, other: np.ndarray, most: int):
-    """Each term of the one list with each different one of the other, in one number; about ``most`` at a time."""
-    step = max(1, most // max(1, len(other)))
-    for i in range(0, len(first), step):
-        part = first[i : i + step, None]
-        yield (part.astype(np.int64) * BUCKETS + other[None, :])[part != other[None, :]]
-
-
-def _chunks(batches, lists_of, most: int = 1 << 19):
-    """(pairs, labels) of many rows at a time, or of a part of a long one."""
-    keys, labels, held = [], [], 0
-    for batch in batches:
-        sizes = batch.column("terms").value_lengths().to_numpy()
-        terms = np.split(batch.column("terms").flatten().to_numpy(), np.cumsum(sizes)[:-1])
-        for own, y in zip(terms, batch.column("y").to_pylist()):
-            for part in _pairs(*lists_of(own), most):
-                keys.append(part)
-                labels.append(np.full(len(part), y, np.int8))
-                held += len(part)
-                if held > most:
-                    yield np.concatenate(keys), np.concatenate(labels)
-                    keys, labels, held = [], [], 0
-    if held:
-        yield np.concatenate(keys), np.concatenate(labels)
-
-
-def _partners(few: DataFrame, leads: dict[int, tuple[int, int]], often: list[int]) -> dict[int, float]:
-    """Terms of pairs, with the best G-statistic of one for the label among the rows that hold the other.
-
-    ``leads``: toxic rows and rows of the terms that a pair may begin with. A pair counts from ``LEAST_DOCS``
-    rows and a G-statistic of ``LEAST_G``; at most ``TERMS`` pairs, the strongest, come to the driver. Left out
-    beforehand are only terms that no such pair can hold: ``often`` are those in ``LEAST_DOCS`` rows, and a lead
-    whose rows a term that told the label apart would give less than ``LEAST_G`` has no partner."""
-    leads = {a: (y, n) for a, (y, n) in leads.items() if 0 < y < n and _g_statistic(y, 0, y, n - y) >= LEAST_G}
-    if not leads:
-        return {}
-
-    spark = few.sparkSession
-    first, other = np.zeros(BUCKETS, bool), np.zeros(BUCKETS, bool)
-    first[list(leads)], other[often] = True, True
-    sent = spark.sparkContext.broadcast((first, other))
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The lists of a column without nulls."""
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    return np.split(column.flatten().to_numpy(), ends[:-1]) if len(ends) else []
+
+
+def _blocks(few: DataFrame, place: np.ndarray) -> DataFrame:
+    """(block, y, first, other): each row's terms (their places) in every block of pairs in which it has any.
+
+    Place p is in stripe p div ``SIDE``; a block is a pair of stripes, the lower one first, so a pair of terms
+    is in one block. A row sends its terms once for each stripe it has, not its pairs."""
+    sent = few.sparkSession.sparkContext.broadcast(place)
+    stripes = -(-(int(place.max()) + 1) // SIDE)
+
+    def packed(rows: list[tuple]):
+        blocks, labels, first, other = zip(*rows)
+        lists = [pa.array(x, pa.list_(pa.int16())) for x in (first, other)]
+        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(labels, pa.int32()), *lists], ["block", "y", "first", "other"])
+
+    def run(batches):
+        place, rows = sent.value, []
+        for batch in batches:
+            for own, y in zip(_lists(batch.column("terms")), batch.column("y").to_pylist()):
+                at = np.sort(place[own])
+                at = at[at >= 0]
+                held, starts = np.unique(at // SIDE, return_index=True)
+                parts = [(x % SIDE).astype(np.int16) for x in np.split(at, starts[1:])]
+                for i, low in enumerate(held.tolist()):
+                    rows += [(low * stripes + high, y, parts[i], parts[i + j]) for j, high in enumerate(held[i:].tolist())]
+                    if len(rows) > 5000:
+                        yield packed(rows)
+                        rows = []
+        if rows:
+            yield packed(rows)
+
+    return few.select("y", "terms").mapInArrow(run, "block int, y int, first array<short>, other array<short>")
+
+
+def _partners(few: DataFrame, terms: np.ndarray, with_1: np.ndarray, held: np.ndarray) -> dict[int, float]:
+    """Terms of pairs of which either tells the label apart among the rows of the other, with the best statistic.
+
+    That of a pair is the lesser G-statistic of the two, so a strong term does not bring along what stands beside
+    it. ``terms`` are those in ``LEAST_DOCS`` rows, with their toxic rows and rows. All their pairs are counted; one
+    counts from ``LEAST_DOCS`` rows and a statistic of ``LEAST_G``, and at most ``TERMS`` pairs, the strongest,
+    come to the driver. A task adds the rows of a block to a matrix of ``SIDE`` x ``SIDE`` counts."""
+    able = (with_1 > 0) & (with_1 < held)
+    if not len(terms) or not (_g_statistic(with_1, np.zeros(len(terms)), with_1, held - with_1)[able] >= LEAST_G).any():
+        return {}  # in no term's rows could another tell the label apart
+
+    order = np.lexsort((terms, -held))  # common terms in few stripes, so that a row is in few blocks
+    terms, with_1, held = terms[order], with_1[order], held[order]
+    place = np.full(BUCKETS, -1, np.int32)
+    place[terms] = np.arange(len(terms))
+    stripes = -(-len(terms) // SIDE)
+    sent = few.sparkSession.sparkContext.broadcast((terms, with_1, held))
+
+    def weighed(block: int, counts: np.ndarray):
+        """Pairs (a, b) of a block with the lesser of two statistics: b's among the rows of a, a's among those of b."""
+        terms, with_1, held = sent.value
+        low, high = (stripe * SIDE for stripe in divmod(block, stripes))
+        found = []
+        for i in range(min(SIDE, len(terms) - low)):
+            j = np.flatnonzero(counts[:, i].sum(0) >= LEAST_DOCS)
+            j = j[j > i] if low == high else j
+            n_0, n_1 = counts[:, i, j].astype(float)
+            g = np.minimum(*(_g_statistic(n_1, n_0, with_1[x], held[x] - with_1[x]) for x in (low + i, high + j)))
+            j, g = j[g >= LEAST_G], g[g >= LEAST_G]
+            found.append((np.full(len(j), terms[low + i]), terms[high + j], g))
+        a, b, g = (np.concatenate(x) for x in zip(*found))
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(g)], ["a", "b", "g"])
 
     def count(batches):
-        first, other = sent.value
-        for keys, y in _chunks(batches, lambda terms: (terms[first[terms]], terms[other[terms]])):
-            pairs, at = np.unique(keys, return_inverse=True)
-            columns = (pairs // BUCKETS, pairs % BUCKETS, np.bincount(at, y).astype(np.int64), np.bincount(at))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "with_1", "held"])
-
-    def weigh(frames):
-        for pairs in frames:
-            all_1, held = np.array([leads[a] for a in pairs.a], float).reshape(-1, 2).T
-            with_1, with_0 = pairs.with_1.to_numpy(float), (pairs.held - pairs.with_1).to_numpy(float)
-            g = _g_statistic(with_1, with_0, all_1, held - all_1)
-            yield pairs.assign(g=g)[["a", "b", "g"]][g >= LEAST_G]
-
-    pairs = few.select("y", "terms").mapInArrow(count, "a long, b long, with_1 long, held long")
-    pairs = pairs.groupBy("a", "b").agg(F.sum("with_1").alias("with_1"), F.sum("held").alias("held")).filter(F.col("held") >= LEAST_DOCS)
-    best = pairs.mapInPandas(weigh, "a long, b long, g double").orderBy(F.desc("g"), "a", "b").limit(TERMS).toPandas()
+        now, counts = None, None
+        for batch in batches:
+            ends = (_lists(batch.column(c)) for c in ("first", "other"))
+            for block, y, first, other in zip(batch.column("block").to_pylist(), batch.column("y").to_pylist(), *ends):
+                if block != now:
+                    if now is not None:
+                        yield weighed(now, counts)
+                    now, counts = block, np.zeros((2, SIDE, SIDE), np.int32)
+                for k in range(0, len(first), 256):
+                    counts[y][first[k : k + 256, None], other] += 1
+        if now is not None:
+            yield weighed(now, counts)
+
+    blocks = _blocks(few, place).repartition(stripes * (stripes + 1) // 2, "block").sortWithinPartitions("block")
+    best = blocks.mapInArrow(count, "a long, b long, g double").orderBy(F.desc("g"), "a", "b").limit(TERMS).toPandas()
     out: dict[int, float] = {}
     for a, b, g in best.itertuples(index=False):
         out[a], out[b] = max(out.get(a, 0.0), g), max(out.get(b, 0.0), g)
@@ -173,10 +201,10 @@ def train(
     About ``sample`` labelled ids are taken by a hash of the id; only these few are broadcast, to be found
     in ``docs``. Of near copies of one label (all four least hashes of three-word runs agree) one row teaches.
     Terms with a high G-statistic for the label come to the driver, at most ``TERMS``, with the rows of the
-    sample reduced to them; so do terms without one that have it among the rows of another term, and that
-    other (from ``LEAD_G`` alone). Rows without a label or text teach nothing; an id with several labels counts as 1 if any is 1.
+    sample reduced to them; so do pairs of terms of which each has one among the rows of the other, whatever
+    they are alone. Rows without a label or text teach nothing; an id with several labels counts as 1 if any is 1.
     """
-    labels = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y is not null")
+    labels = labels.select(F.col(id_col).alias("id"), (F.col(label_col).cast("int") > 0).cast("int").alias("y")).filter("id is not null and y is not null")
     total = labels.count()
     unit = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
     chosen = labels.filter(unit < min(1.0, sample / max(total, 1))).groupBy("id").agg(F.max("y").alias("y"))
@@ -203,9 +231,7 @@ def train(
     )  # at most one row per bucket
     g = _g_statistic(counts.with_1.to_numpy(float), (counts.held - counts.with_1).to_numpy(float), max(whole.y, 1e-9), max(whole.n - whole.y, 1e-9)) if len(counts) else np.zeros(0)
     strength = {int(t): float(x) for t, x in zip(counts.term, g) if x >= LEAST_G}
-    lead = np.argsort(-g, kind="stable")[:TERMS]
-    lead = lead[g[lead] >= LEAD_G]
-    found = _partners(few, {int(t): (int(y), int(n)) for t, y, n in counts.iloc[lead][["term", "with_1", "held"]].itertuples(index=False)}, counts.term.tolist())
+    found = _partners(few, *(counts[c].to_numpy(np.int64) for c in ("term", "with_1", "held")))
     for t, x in found.items():
         strength[t] = max(x, strength.get(t, 0.0))
     picked = np.array(sorted(strength, key=lambda t: (-strength[t], t))[:TERMS], np.int64)
@@ -217,9 +243,7 @@ def train(
         def reduce(batches):
             place = sent.value
             for batch in batches:
-                sizes = batch.column("terms").value_lengths().to_numpy()
-                terms = np.split(batch.column("terms").flatten().to_numpy(), np.cumsum(sizes)[:-1])
-                kept = [t[place[t] >= 0] for t in terms] if len(sizes) else []
+                kept = [t[place[t] >= 0] for t in _lists(batch.column("terms"))]
                 yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(kept, pa.list_(pa.int32()))], ["y", "terms"])
 
         reduced = few.select("y", "terms").mapInArrow(reduce, "y int, terms array<int>").toPandas()

@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import zlib
@@ -124,6 +125,29 @@ def test_pairs_of_a_weak_term_are_learnt(spark, make_docs):
     assert np.mean([found[i] == y for i, y in labels]) > 0.98
 
 
+def test_pairs_against_counts_one_by_one(spark, monkeypatch):
+    """All pairs of all terms, in one block and in many, hold the statistics of plain counts."""
+    rng = random.Random(21)
+    rows = []
+    for _ in range(400):
+        terms = {rng.randrange(40) for _ in range(rng.randint(0, 12))}
+        rows.append((int({3, 5} <= terms or rng.random() < 0.1), sorted(terms)))
+    few = spark.createDataFrame(rows, "y int, terms array<int>").repartition(3)
+    held, toxic = Counter(t for _, ts in rows for t in ts), Counter(t for y, ts in rows for t in ts if y)
+    want: dict[int, float] = {}
+    for a, b in itertools.combinations(held, 2):
+        n_1, n = (sum(a in ts and b in ts and y >= least for y, ts in rows) for least in (1, 0))
+        g = min(float(toxicity._g_statistic(n_1, n - n_1, toxic[x], held[x] - toxic[x])) for x in (a, b))
+        if n >= toxicity.LEAST_DOCS and g >= 5:
+            want[a], want[b] = max(want.get(a, 0), g), max(want.get(b, 0), g)
+    monkeypatch.setattr(toxicity, "LEAST_G", 5.0)
+    terms = np.array(sorted(held))
+    for side in (2048, 7):
+        monkeypatch.setattr(toxicity, "SIDE", side)
+        got = toxicity._partners(few, terms, np.array([toxic[t] for t in terms]), np.array([held[t] for t in terms]))
+        assert {3, 5} <= set(got) == set(want) and all(got[t] == pytest.approx(want[t]) for t in want)
+
+
 def test_near_copies_of_toxicity_rows(spark):
     rows = [(1, 0, 5, 6, 7, 8), (2, 0, 5, 6, 7, 8), (3, 1, 5, 6, 7, 8), (4, 0, 5, 9, 9, 9), (5, 1, 5, 6, 7, 9)]
     few = spark.createDataFrame(rows, "id long, y int, s0 long, s1 long, s2 long, s3 long")
