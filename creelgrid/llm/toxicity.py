@@ -18,6 +18,8 @@ from .base import by_size, remembers, words_of, working
 BUCKETS, TERMS, LEAST_G, LEAST_DOCS, SAMPLE, FACTORS = 1 << 18, 4096, 30.0, 5, 40_000, 8
 #: Terms on either side of a block of pairs, which a task counts in one matrix.
 SIDE = 2048
+#: Pairs of a row in a block from which they are added by a matrix product, with other such rows.
+WIDE = 1 << 15
 #: Score from which a text is marked.
 MARK = 0.7
 
@@ -138,6 +140,17 @@ def _blocks(few: DataFrame, place: np.ndarray) -> DataFrame:
     return few.select("y", "terms").mapInArrow(run, "block int, y int, first array<short>, other array<short>")
 
 
+def _add(counts: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Adds the pairs of rows with many terms as one product of 0/1 matrices, and empties the list."""
+    sides = np.zeros((2, len(rows), len(counts)), np.float32)
+    for k, ends in enumerate(rows):
+        for side, at in zip(sides, ends):
+            side[k, at] = 1
+    if rows:
+        counts += (sides[0].T @ sides[1]).astype(np.int32)
+    rows.clear()
+
+
 def _partners(few: DataFrame, terms: np.ndarray, with_1: np.ndarray, held: np.ndarray) -> dict[int, float]:
     """Terms of pairs of which either tells the label apart among the rows of the other, with the best statistic.
 
@@ -145,9 +158,10 @@ def _partners(few: DataFrame, terms: np.ndarray, with_1: np.ndarray, held: np.nd
     it. ``terms`` are those in ``LEAST_DOCS`` rows, with their toxic rows and rows. All their pairs are counted; one
     counts from ``LEAST_DOCS`` rows and a statistic of ``LEAST_G``, and at most ``TERMS`` pairs, the strongest,
     come to the driver. A task adds the rows of a block to a matrix of ``SIDE`` x ``SIDE`` counts."""
-    able = (with_1 > 0) & (with_1 < held)
-    if not len(terms) or not (_g_statistic(with_1, np.zeros(len(terms)), with_1, held - with_1)[able] >= LEAST_G).any():
-        return {}  # in no term's rows could another tell the label apart
+    able = _g_statistic(with_1, np.zeros(len(terms)), with_1, held - with_1) >= LEAST_G
+    terms, with_1, held = terms[able], with_1[able], held[able]  # no other could tell the label apart in the others' rows
+    if not len(terms):
+        return {}
 
     order = np.lexsort((terms, -held))  # common terms in few stripes, so that a row is in few blocks
     terms, with_1, held = terms[order], with_1[order], held[order]
@@ -172,18 +186,28 @@ def _partners(few: DataFrame, terms: np.ndarray, with_1: np.ndarray, held: np.nd
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(g)], ["a", "b", "g"])
 
     def count(batches):
-        now, counts = None, None
+        now, counts, wide = None, None, ([], [])
+
+        def summed() -> np.ndarray:
+            for own, rows in zip(counts, wide):
+                _add(own, rows)
+            return counts
+
         for batch in batches:
             ends = (_lists(batch.column(c)) for c in ("first", "other"))
             for block, y, first, other in zip(batch.column("block").to_pylist(), batch.column("y").to_pylist(), *ends):
                 if block != now:
                     if now is not None:
-                        yield weighed(now, counts)
+                        yield weighed(now, summed())
                     now, counts = block, np.zeros((2, SIDE, SIDE), np.int32)
-                for k in range(0, len(first), 256):
-                    counts[y][first[k : k + 256, None], other] += 1
+                if len(first) * len(other) < WIDE:
+                    counts[y][first[:, None], other] += 1
+                else:
+                    wide[y].append((first, other))
+                    if len(wide[y]) == 256:
+                        _add(counts[y], wide[y])
         if now is not None:
-            yield weighed(now, counts)
+            yield weighed(now, summed())
 
     blocks = _blocks(few, place).repartition(stripes * (stripes + 1) // 2, "block").sortWithinPartitions("block")
     best = blocks.mapInArrow(count, "a long, b long, g double").orderBy(F.desc("g"), "a", "b").limit(TERMS).toPandas()

@@ -142,8 +142,9 @@ def test_pairs_against_counts_one_by_one(spark, monkeypatch):
             want[a], want[b] = max(want.get(a, 0), g), max(want.get(b, 0), g)
     monkeypatch.setattr(toxicity, "LEAST_G", 5.0)
     terms = np.array(sorted(held))
-    for side in (2048, 7):
+    for side, wide in ((2048, 1 << 15), (7, 1 << 15), (7, 4), (2048, 0)):
         monkeypatch.setattr(toxicity, "SIDE", side)
+        monkeypatch.setattr(toxicity, "WIDE", wide)
         got = toxicity._partners(few, terms, np.array([toxic[t] for t in terms]), np.array([held[t] for t in terms]))
         assert {3, 5} <= set(got) == set(want) and all(got[t] == pytest.approx(want[t]) for t in want)
 
