@@ -20,6 +20,8 @@ BUCKETS, TERMS, LEAST_G, LEAST_DOCS, SAMPLE, FACTORS = 1 << 18, 4096, 30.0, 5, 4
 SIDE = 2048
 #: Pairs of a row in a block from which they are added by a matrix product, with other such rows.
 WIDE = 1 << 15
+#: Cells of the matrix of texts and commonest terms that the driver keeps while it fits the machine (4 bytes each).
+DENSE = 24 << 20
 #: Score from which a text is marked.
 MARK = 0.7
 
@@ -70,24 +72,55 @@ class Machine:
         return out
 
     def fit(self, rows: np.ndarray, owner: np.ndarray, labels: np.ndarray, rounds: int = 400, rate: float = 0.3, shrink: float = 1e-5) -> None:
-        """Logistic loss over the whole sample, Adagrad steps, weight decay."""
+        """Logistic loss over the whole sample, Adagrad steps, weight decay.
+
+        A round is two products with the 0/1 matrix of texts and terms, for weights and factors together."""
         n, texts = len(self.weights), len(labels)
+        held = _Held(rows, owner, texts, n)
         seen_b, seen_w, seen_v = 1e-8, np.full(n, 1e-8), np.full(self.factors.shape, 1e-8)
         for _ in range(rounds):
-            error = (1 / (1 + np.exp(-np.clip(self.margins(rows, owner, texts), -30, 30))) - labels) / max(texts, 1)
-            grad_b, own = error.sum(), error[owner]
-            grad_w = np.bincount(rows, own, minlength=n) + shrink * self.weights
-            grad_v = np.empty_like(self.factors)
-            for f in range(self.factors.shape[1]):
-                v = self.factors[rows, f]
-                rest = np.bincount(owner, v, minlength=texts)[owner] - v
-                grad_v[:, f] = np.bincount(rows, own * rest, minlength=n) + shrink * self.factors[:, f]
+            own = self.weights - 0.5 * (self.factors**2).sum(1)  # a pair of a term with itself is none
+            sums = held.by_text(np.column_stack([own, self.factors]))
+            margins = self.bias + sums[:, 0] + 0.5 * (sums[:, 1:] ** 2).sum(1)
+            error = (1 / (1 + np.exp(-np.clip(margins, -30, 30))) - labels) / max(texts, 1)
+            grads = held.by_term(np.column_stack([error, error[:, None] * sums[:, 1:]]))
+            grad_b, grad_w = error.sum(), grads[:, 0] + shrink * self.weights
+            grad_v = grads[:, 1:] - self.factors * grads[:, :1] + shrink * self.factors
             seen_b, seen_w, seen_v = seen_b + grad_b**2, seen_w + grad_w**2, seen_v + grad_v**2
             self.bias -= rate * grad_b / np.sqrt(seen_b)
             self.weights -= rate * grad_w / np.sqrt(seen_w)
             self.factors -= rate / 4 * grad_v / np.sqrt(seen_v)
 
 
+class _Held:
+    """Which texts hold which terms: a dense part for the commonest terms, at most ``DENSE`` cells, places for the rest."""
+
+    def __init__(self, rows: np.ndarray, owner: np.ndarray, texts: int, terms: int):
+        self.texts, self.terms = texts, terms
+        self.common = np.argsort(-np.bincount(rows, minlength=terms), kind="stable")[: DENSE // max(texts, 1)]
+        column = np.full(terms, -1)
+        column[self.common] = np.arange(len(self.common))
+        at = column[rows]
+        self.dense = np.zeros((texts, len(self.common)), np.float32)
+        self.dense[owner[at >= 0], at[at >= 0]] = 1
+        self.rows, self.owner = rows[at < 0], owner[at < 0]
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the terms' values, a column at a time, per text."""
+        out = (self.dense @ values[self.common].astype(np.float32)).astype(float)
+        for k in range(values.shape[1]):
+            out[:, k] += np.bincount(self.owner, values[self.rows, k], minlength=self.texts)
+        return out
+
+    def by_term(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the texts' values per term."""
+        out = np.zeros((self.terms, values.shape[1]))
+        out[self.common] = self.dense.T @ values.astype(np.float32)
+        for k in range(values.shape[1]):
+            out[:, k] += np.bincount(self.rows, values[self.owner, k], minlength=self.terms)
+        return out
+
+
 def _g_statistic(with_1, with_0, all_1, all_0):
     """Twice the log-likelihood ratio of a term's documents against independence of the label."""
     cells = [with_1, with_0, all_1 - with_1, all_0 - with_0]

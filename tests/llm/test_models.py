@@ -268,3 +268,21 @@ def test_a_worker_forgets_other_operators():
     assert near_dedup._known and not toxicity._known
     pitman_yor.hashes_of([b"a"])
     assert pitman_yor._known and not near_dedup._known
+
+
+def test_fit_with_and_without_the_dense_part(monkeypatch):
+    """The machine is the same whether no term, some or all lie in the matrix."""
+    rng = np.random.default_rng(5)
+    held = rng.random((200, 30)) < 0.2
+    owner, rows = np.nonzero(held)
+    labels = (held[:, 3] & held[:, 5]).astype(float)
+    got = []
+    for cells in (0, 200 * 7, 1 << 20):
+        monkeypatch.setattr(toxicity, "DENSE", cells)
+        machine = toxicity.Machine(np.arange(30), -1.0)
+        machine.fit(rows, owner, labels, rounds=60)
+        got.append(machine.margins(rows, owner, 200))
+    assert np.allclose(got[0], got[1], atol=1e-4) and np.allclose(got[0], got[2], atol=1e-4)
+    none = toxicity.Machine(np.arange(2), 0.5)
+    none.fit(np.zeros(0, int), np.zeros(0, int), np.zeros(0), rounds=2)
+    assert np.isfinite(none.bias)
