@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 import numpy as np
@@ -18,6 +19,8 @@ from .base import by_size, remembers, words_of, working
 BUCKETS, TERMS, LEAST_G, LEAST_DOCS, SAMPLE, FACTORS = 1 << 18, 4096, 30.0, 5, 40_000, 8
 #: Terms on either side of a block of pairs, which a task counts in one matrix.
 SIDE = 2048
+#: Shares of the stripes of ``SIDE`` terms: a row is sent once for each pair of shares in which it has terms.
+SHARES = 8
 #: Pairs of a row in a block from which they are added by a matrix product, with other such rows.
 WIDE = 1 << 15
 #: Cells of the matrix of texts and commonest terms that the driver keeps while it fits the machine (4 bytes each).
@@ -144,14 +147,15 @@ def _lists(column: pa.ListArray) -> list[np.ndarray]:
 def _blocks(few: DataFrame, place: np.ndarray) -> DataFrame:
     """(block, y, first, other): each row's terms (their places) in every block of pairs in which it has any.
 
-    Place p is in stripe p div ``SIDE``; a block is a pair of stripes, the lower one first, so a pair of terms
-    is in one block. A row sends its terms once for each stripe it has, not its pairs."""
+    The stripes of ``SIDE`` places are dealt to ``SHARES`` shares, in order; a block is a pair of shares, the lower
+    one first, so a pair of terms is in one block, and a row is sent to at most ``SHARES`` * (``SHARES`` + 1) / 2
+    blocks, however many terms there are."""
     sent = few.sparkSession.sparkContext.broadcast(place)
-    stripes = -(-(int(place.max()) + 1) // SIDE)
+    wide = _share(int(place.max()) + 1)
 
     def packed(rows: list[tuple]):
         blocks, labels, first, other = zip(*rows)
-        lists = [pa.array(x, pa.list_(pa.int16())) for x in (first, other)]
+        lists = [pa.array(x, pa.list_(pa.int32())) for x in (first, other)]
         return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(labels, pa.int32()), *lists], ["block", "y", "first", "other"])
 
     def run(batches):
@@ -160,17 +164,53 @@ def _blocks(few: DataFrame, place: np.ndarray) -> DataFrame:
             for own, y in zip(_lists(batch.column("terms")), batch.column("y").to_pylist()):
                 at = np.sort(place[own])
                 at = at[at >= 0]
-                held, starts = np.unique(at // SIDE, return_index=True)
-                parts = [(x % SIDE).astype(np.int16) for x in np.split(at, starts[1:])]
+                held, starts = np.unique(at // wide, return_index=True)
+                parts = np.split(at, starts[1:])
                 for i, low in enumerate(held.tolist()):
-                    rows += [(low * stripes + high, y, parts[i], parts[i + j]) for j, high in enumerate(held[i:].tolist())]
+                    rows += [(low * SHARES + high, y, parts[i], parts[i + j]) for j, high in enumerate(held[i:].tolist())]
                     if len(rows) > 5000:
                         yield packed(rows)
                         rows = []
         if rows:
             yield packed(rows)
 
-    return few.select("y", "terms").mapInArrow(run, "block int, y int, first array<short>, other array<short>")
+    return few.select("y", "terms").mapInArrow(run, "block int, y int, first array<int>, other array<int>")
+
+
+def _share(terms: int) -> int:
+    """Places of a share: whole stripes."""
+    stripes = -(-terms // SIDE)
+    return -(-stripes // SHARES) * SIDE
+
+
+def _cut(rows: list[np.ndarray], side: int) -> dict[int, dict[int, np.ndarray]]:
+    """stripe -> row -> places of the row's terms within that stripe; the lists are sorted."""
+    out: dict[int, dict[int, np.ndarray]] = {}
+    for k, at in enumerate(rows):
+        held, starts = np.unique(at // side, return_index=True)
+        for stripe, part in zip(held.tolist(), np.split(at % side, starts[1:])):
+            out.setdefault(stripe, {})[k] = part.astype(np.int16)
+    return out
+
+
+def _counted(labels: list[int], lows: dict[int, np.ndarray], highs: dict[int, np.ndarray], side: int, most: int) -> np.ndarray:
+    """Rows of each label that hold a term of one stripe and a term of the other: (label, term, term).
+
+    From ``most`` pairs a row is added with others by a matrix product."""
+    counts, wide = np.zeros((2, side, side), np.int32), ([], [])
+    for k, first in lows.items():
+        other, y = highs.get(k), labels[k]
+        if other is None:
+            continue
+        if len(first) * len(other) < most:
+            counts[y][first[:, None], other] += 1
+        else:
+            wide[y].append((first, other))
+            if len(wide[y]) == 256:
+                _add(counts[y], wide[y])
+    for own, rows in zip(counts, wide):
+        _add(own, rows)
+    return counts
 
 
 def _add(counts: np.ndarray, rows: list[tuple[np.ndarray, np.ndarray]]) -> None:
@@ -190,7 +230,8 @@ def _partners(few: DataFrame, terms: np.ndarray, with_1: np.ndarray, held: np.nd
     That of a pair is the lesser G-statistic of the two, so a strong term does not bring along what stands beside
     it. ``terms`` are those in ``LEAST_DOCS`` rows, with their toxic rows and rows. All their pairs are counted; one
     counts from ``LEAST_DOCS`` rows and a statistic of ``LEAST_G``, and at most ``TERMS`` pairs, the strongest,
-    come to the driver. A task adds the rows of a block to a matrix of ``SIDE`` x ``SIDE`` counts."""
+    come to the driver. A task holds the rows of a block, which the sample bounds, and counts two stripes after two
+    in a matrix of ``SIDE`` x ``SIDE``."""
     able = _g_statistic(with_1, np.zeros(len(terms)), with_1, held - with_1) >= LEAST_G
     terms, with_1, held = terms[able], with_1[able], held[able]  # no other could tell the label apart in the others' rows
     if not len(terms):
@@ -200,13 +241,12 @@ def _partners(few: DataFrame, terms: np.ndarray, with_1: np.ndarray, held: np.nd
     terms, with_1, held = terms[order], with_1[order], held[order]
     place = np.full(BUCKETS, -1, np.int32)
     place[terms] = np.arange(len(terms))
-    stripes = -(-len(terms) // SIDE)
     sent = few.sparkSession.sparkContext.broadcast((terms, with_1, held))
 
-    def weighed(block: int, counts: np.ndarray):
-        """Pairs (a, b) of a block with the lesser of two statistics: b's among the rows of a, a's among those of b."""
+    def weighed(low: int, high: int, counts: np.ndarray):
+        """Pairs (a, b) of two stripes with the lesser of two statistics: b's among the rows of a, a's among those of b."""
         terms, with_1, held = sent.value
-        low, high = (stripe * SIDE for stripe in divmod(block, stripes))
+        low, high = low * SIDE, high * SIDE
         found = []
         for i in range(min(SIDE, len(terms) - low)):
             j = np.flatnonzero(counts[:, i].sum(0) >= LEAST_DOCS)
@@ -219,30 +259,26 @@ def _partners(few: DataFrame, terms: np.ndarray, with_1: np.ndarray, held: np.nd
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(g)], ["a", "b", "g"])
 
     def count(batches):
-        now, counts, wide = None, None, ([], [])
+        now, labels, ends = None, [], ([], [])
 
-        def summed() -> np.ndarray:
-            for own, rows in zip(counts, wide):
-                _add(own, rows)
-            return counts
+        def found():
+            lows, highs = (_cut(e, SIDE) for e in ends)
+            for low, high in itertools.product(lows, highs):
+                if low <= high:
+                    yield weighed(low, high, _counted(labels, lows[low], highs[high], SIDE, WIDE))
 
         for batch in batches:
-            ends = (_lists(batch.column(c)) for c in ("first", "other"))
-            for block, y, first, other in zip(batch.column("block").to_pylist(), batch.column("y").to_pylist(), *ends):
+            lists = (_lists(batch.column(c)) for c in ("first", "other"))
+            for block, y, *own in zip(batch.column("block").to_pylist(), batch.column("y").to_pylist(), *lists):
                 if block != now:
-                    if now is not None:
-                        yield weighed(now, summed())
-                    now, counts = block, np.zeros((2, SIDE, SIDE), np.int32)
-                if len(first) * len(other) < WIDE:
-                    counts[y][first[:, None], other] += 1
-                else:
-                    wide[y].append((first, other))
-                    if len(wide[y]) == 256:
-                        _add(counts[y], wide[y])
-        if now is not None:
-            yield weighed(now, summed())
-
-    blocks = _blocks(few, place).repartition(stripes * (stripes + 1) // 2, "block").sortWithinPartitions("block")
+                    yield from found()
+                    now, labels, ends = block, [], ([], [])
+                labels.append(y)
+                for rows, at in zip(ends, own):
+                    rows.append(at)
+        yield from found()
+
+    blocks = _blocks(few, place).repartition(SHARES * (SHARES + 1) // 2, "block").sortWithinPartitions("block")
     best = blocks.mapInArrow(count, "a long, b long, g double").orderBy(F.desc("g"), "a", "b").limit(TERMS).toPandas()
     out: dict[int, float] = {}
     for a, b, g in best.itertuples(index=False):

@@ -147,6 +147,11 @@ def test_pairs_against_counts_one_by_one(spark, monkeypatch):
         monkeypatch.setattr(toxicity, "WIDE", wide)
         got = toxicity._partners(few, terms, np.array([toxic[t] for t in terms]), np.array([held[t] for t in terms]))
         assert {3, 5} <= set(got) == set(want) and all(got[t] == pytest.approx(want[t]) for t in want)
+    monkeypatch.setattr(toxicity, "SIDE", 4)  # several stripes a share
+    for shares in (1, 3):
+        monkeypatch.setattr(toxicity, "SHARES", shares)
+        got = toxicity._partners(few, terms, np.array([toxic[t] for t in terms]), np.array([held[t] for t in terms]))
+        assert set(got) == set(want) and all(got[t] == pytest.approx(want[t]) for t in want)
 
 
 def test_near_copies_of_toxicity_rows(spark):
