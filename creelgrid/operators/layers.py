@@ -79,6 +79,40 @@ def cpua(catch: DataFrame, effort: DataFrame, species: str, period: str = "year"
     return with_rates(picked)
 
 
+def cpua_periods(table: DataFrame, species: str, chosen: str = "chosen") -> DataFrame:
+    """`cpua` by year and by month of all years, from one scan: column ``period`` says which.
+
+    ``chosen`` flags the rows of the chosen species; all rows count as effort. Rows of a trip and
+    effort collapse first, so what the grouping sets multiply has no species any more. A block or
+    trip type that is NULL has effort but no catch.
+    """
+    caught = F.col(chosen)
+    measures = {"fish": "Total_Fish_Caught", "seen": "Total_Obs_Fish_Caught", "told": "Total_Rep_Fish_Caught"}
+    trip = ["id", "Block", TRIP, "Vessels", "AnglerDays"]
+    once = table.groupBy(*trip, "year", "month").agg(
+        F.count_if(caught).alias("hits"), *[F.sum(F.when(caught, F.col(c))).alias(name) for name, c in measures.items()]
+    )
+    sums = [F.sum(c).alias(c) for c in ("hits", *measures)]
+    sets = once.groupingSets([[*trip, "year"], [*trip, "month"]], *trip, "year", "month")
+    efforts = sets.agg(F.when(F.grouping("month") == 1, "year").otherwise("month").alias("period"), *sums)
+    grain = efforts.groupBy("Block", TRIP, "period", "year", "month").agg(
+        sum_or_zero("AnglerDays").alias("AnglerDays"), F.countDistinct("id").alias("n_samples_effort"), *sums
+    )
+    matched = (F.col("hits") > 0) & F.col("Block").isNotNull() & F.col(TRIP).isNotNull()
+    catch = {c: F.when(matched, F.round(or_zero(c), 9)) for c in measures}
+    picked = grain.select(
+        "period", "Block", TRIP, "year", "month", "AnglerDays", "n_samples_effort", F.lit(species).alias(CATCH),
+        catch["fish"].alias("TotalCatch"), round_even(catch["seen"], 2).alias("Kept"), round_even(catch["told"], 2).alias("Released"),
+    )
+    return with_rates(picked)
+
+
+def of_period(rates: DataFrame, period: str) -> DataFrame:
+    """The part of `cpua_periods` that `cpua` gives for ``year`` or ``month``."""
+    other = "month" if period == "year" else "year"
+    return rates.filter(F.col("period") == period).drop("period", other)
+
+
 def layer_long(joined: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
     """A row per block and year with enough samples."""
     enough = joined.filter(F.col("n_samples_effort") >= min_samples)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import blank_to_null, to_number
-from .joins import keyed_join, rows_in
+from .joins import flag_known, keyed_join, rows_in
 
 # A lookup name that shares its code with another one, and the trip
 # type whose trips are credited to the second target.
@@ -76,6 +76,14 @@ def select_species(table: DataFrame, species: str, groups: DataFrame | None = No
     return rows_in(table, "Common_Name_catch", members).withColumn("Common_Name_catch", F.lit(species))
 
 
+def flag_species(table: DataFrame, species: str, groups: DataFrame | None = None, flag: str = "chosen") -> DataFrame:
+    """Every row, flagged where `select_species` would keep it."""
+    if groups is None or species not in group_names(groups):
+        return table.withColumn(flag, F.coalesce(F.col("Common_Name_catch") == species, F.lit(False)))
+    members = group_members(groups).filter(F.col("group") == species)
+    return flag_known(table, "Common_Name_catch", members, "Common_Name_catch", flag)
+
+
 def select_trip(table: DataFrame, trip: str) -> DataFrame:
     """Rows of one trip type; ``All`` keeps every row under the label ``All``."""
     column = "TripType_Description_effort"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scalars import YEAR_RANGES
 from ..operators import layers
-from ..operators.species import check_species, select_species, select_trip
+from ..operators.species import check_species, flag_species, select_trip
 from ..session import configure, stage_table
 from ..sources.writers import layer_name, write_layer, write_table
 
@@ -36,18 +36,18 @@ def map_layers(
 ) -> dict[str, DataFrame]:
     """Long, wide, grouped and monthly layer; written under ``out`` if given.
 
-    The yearly rates feed three layers and are written once. They have one row
-    per block and year, whatever the number of trips. Without ``out`` they are a
-    stage table, which `drop_stages` removes when the layers are no longer needed.
+    One scan of the table gives the yearly and the monthly rates. They have one row
+    per block and period, whatever the number of trips, and are a stage table, which
+    `drop_stages` removes when the layers are no longer needed. The yearly ones, which
+    feed three layers, are written under ``out`` too.
     """
     configure(spark)
     check_species(table, choice.species, groups)
-    trips = select_trip(layers.with_month(table), choice.trip)
-    caught = select_trip(select_species(layers.with_month(table), choice.species, groups), choice.trip)
-    rates = layers.cpua(caught, trips, choice.species)
+    flagged = select_trip(flag_species(layers.with_month(table), choice.species, groups), choice.trip)
+    rates = stage_table(layers.cpua_periods(flagged, choice.species), "cpua")
+    yearly, monthly = (layers.of_period(rates, p) for p in ("year", "month"))
     name = layer_name(choice.species, choice.trip, choice.min_samples, "cpua_year")
-    yearly = write_table(rates, f"{out}/{name}") if out else stage_table(rates, "cpua_year")
-    monthly = layers.cpua(caught, trips, choice.species, "month")
+    yearly = write_table(yearly, f"{out}/{name}") if out else yearly
     results = {
         "long": layers.layer_long(yearly, choice.min_samples),
         choice.metric: layers.layer_wide(

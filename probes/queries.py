@@ -980,6 +980,23 @@ def cpua_year(spark, sf_dir):
     return rounded(_rates(spark, sf_dir, "Rockfish", "Bottomfish"), "TotalCatch")
 
 
+def _period_sql(period: str, rates: str, year: str, month: str) -> str:
+    columns = _CPUA.format(p=f"{year} as year, {month} as month")
+    return f"select '{period}' as period, {columns} from {rates}"
+
+
+@probe(
+    "cpua_periods",
+    _period_sql("year", "cpua_group", "year", "cast(null as bigint)")
+    + " union all " + _period_sql("month", "cpua_month", "cast(null as varchar)", "month"),
+)
+def cpua_periods(spark, sf_dir):
+    """Year and month rates from one scan."""
+    table = layers.with_month(stage(spark, sf_dir, "all_by_id"))
+    flagged = species.select_trip(species.flag_species(table, "Rockfish", groups_of(spark, sf_dir)), "Bottomfish")
+    return rounded(layers.cpua_periods(flagged, "Rockfish"), "TotalCatch")
+
+
 @probe("cpua_all_trips", f"select {_CPUA.format(p='year')} from cpua_one")
 def cpua_all_trips(spark, sf_dir):
     return rounded(_rates(spark, sf_dir, "red widget", "All"), "TotalCatch")

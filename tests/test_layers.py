@@ -96,3 +96,32 @@ def test_plan_writes_layers(spark, table, groups, polygons, tmp_path):
     assert names == {f"Rockfish_Bottomfish_2_SAMPLES_{kind}" for kind in kinds}
     back = read_polygons(spark, str(tmp_path / "Rockfish_Bottomfish_2_SAMPLES_long"), id_column="Block")
     assert values(back.select("NM_INDEX", F.size("rings"))) == [("X", 1), ("Y", 1)]
+
+
+def test_years_and_months_from_one_scan(spark, table, groups):
+    """The same rates as by two separate runs, also for odd rows, a species alone and all trips; one scan of the table."""
+    odd = spark.createDataFrame(
+        [
+            trip(8, "20120601", None, "bocaccio"), trip(9, "20120601", "Y", "bocaccio", kind=None),
+            ("ID1", None, "Y", "bocaccio", "Bottomfish", None, None, None, 2.0, 2.0),
+            trip(5, "20120601", "Y", "vermilion", days=5.0), trip(6, "20120601", "Y", "bocaccio"),
+            ("ID1234520120601001", "2004", "Y", "bocaccio", "Bottomfish", 1.0, 2.0, 1.0, 0.0, 1.0),
+        ],
+        TABLE,
+    )
+    rows = layers.with_month(table.unionByName(odd))
+    for name, kind, of in (("Rockfish", "Bottomfish", groups), ("bocaccio", "All", groups), ("lingcod", "Inshore", None)):
+        flagged = species.select_trip(species.flag_species(rows, name, of), kind)
+        both = layers.cpua_periods(flagged, name)
+        for period in ("year", "month"):
+            caught = species.select_trip(species.select_species(rows, name, of), kind)
+            want = layers.cpua(caught, species.select_trip(rows, kind), name, period)
+            assert values(layers.of_period(both, period), *want.columns) == values(want)
+
+
+def test_one_scan_of_the_table(spark, table, groups, tmp_path):
+    table.write.parquet(str(tmp_path / "all_by_id"))
+    stored = layers.with_month(spark.read.parquet(str(tmp_path / "all_by_id")))
+    both = layers.cpua_periods(species.flag_species(stored, "bocaccio"), "bocaccio")
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("Join") == 0 and plan.count("Expand") == 1
