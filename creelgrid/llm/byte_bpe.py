@@ -11,12 +11,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import map_arrow, remembers, working
+from .base import by_size, map_arrow, remembers, working
 from .units import UnitCache
 
 #: Widths of the matrices; a piece goes to the least width that holds its bytes. Longer pieces, whose
 #: rounds would cost the square of their length, are merged from a heap in the same order.
 WIDTHS = (4, 8, 12, 16, 24, 32, 64, 128, 256)
+#: Cells of a matrix, which with its temporary ones stays in the caches.
+CELLS = 1 << 17
+#: Bytes of text taken apart at once and units a worker remembers: as the last stage of a run, it gets
+#: executors whose memory earlier stages have filled.
+SLICE, REMEMBERED = 1 << 20, 60_000
 NONE = np.int32(2**31 - 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,7 +144,7 @@ class Ranks:
         for i, piece in enumerate(pieces):
             buckets.setdefault(next((w for w in WIDTHS if len(piece) <= w), 0), []).append(i)
         for width, places in buckets.items():
-            step = max(1, (1 << 20) // width) if width else len(places)
+            step = max(1, CELLS // width) if width else len(places)
             for k in range(0, len(places), step):
                 some = places[k : k + step]
                 found = self.merge_matrix([pieces[i] for i in some], width) if width else map(self.merge_heap, (pieces[i] for i in some))
@@ -155,7 +160,7 @@ class Encoder:
         import regex
 
         self.ranks, self.find = Ranks(path), regex.compile(pattern).findall
-        self.cache = UnitCache(self.encode_units)
+        self.cache = UnitCache(self.encode_units, most=REMEMBERED)
 
     def encode_units(self, texts: list[str]) -> list[bytes]:
         found = [self.find(x) for x in texts]
@@ -163,7 +168,7 @@ class Encoder:
         ids = {p: a.astype("<u4").tobytes() for p, a in zip(distinct, self.ranks.pieces([p.encode() for p in distinct]))}
         return [b"".join([ids[p] for p in pieces]) for pieces in found]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
         return self.cache.texts(texts)
 
@@ -193,8 +198,8 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     def run(batches):
         working("byte_bpe")
         enc = encoder(path, pattern)
-        for batch in batches:
-            ids = enc.encode(batch.column("text").to_pylist())
+        for batch in by_size(batches, most=SLICE):
+            ids = enc.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

@@ -57,6 +57,46 @@ def test_cache_that_is_full(texts):
             assert small.texts([text, text]) == coder.encode([text, text])
 
 
+def test_words_are_encoded_once_whatever_marks_follow_them(tiktoken_encoding):
+    seen: list[list[str]] = []
+
+    def encode(new):
+        seen.append(new)
+        return byte_bpe.encoder(RANKS, public_tokenizers.PATTERN).encode_units(new)
+
+    marks = ["", ",", ".", ".\nUnd", "'s", "...", "½", "\u0301,", "9", "_x", "\x00", "|", "É!"]
+    words = [f"{w}{m}" for w in ("und", "École", "ɏa") for m in marks]
+    texts = [" ".join(words), "x", "", None, "  ".join(words), " ".join(reversed(words)) + " "]
+    cache = units.UnitCache(encode)
+    got = [np.frombuffer(x, "<u4").tolist() for x in cache.texts(texts)]
+    assert got == [tiktoken_encoding.encode(t or "") for t in texts]
+    asked = [x for new in seen for x in new]
+    assert " und" in asked and not {" und,", " und.\nUnd", " École..."} & set(asked)
+    assert len(asked) == len(set(asked))
+
+
+def test_many_new_words_are_encoded_some_at_a_time(monkeypatch):
+    sizes = []
+    monkeypatch.setattr(units, "_AT_ONCE", 100)
+    cache = units.UnitCache(lambda new: sizes.append(len(new)) or [x.encode() for x in new])
+    text = " ".join(f"w{i}" for i in range(1000))
+    assert cache.texts([text]) == [text.encode()] and max(sizes) <= 100
+
+
+def test_arrow_batches_are_bounded_by_bytes(spark):
+    from creelgrid.session import configure
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    texts = configure(spark).range(0, 40, 1, 1).selectExpr("repeat('x', 1000000) as text")
+    found = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 40_000_000 and max(found) < 8_000_000
+
+
 def test_bpe_query_columns(odd_docs):
     rows = byte_bpe.encode_decode(odd_docs, RANKS, public_tokenizers.PATTERN).collect()
     assert sorted((r.decoded.decode() for r in rows)) == sorted(r.text or "" for r in odd_docs.collect())
