@@ -163,7 +163,7 @@ def write_tokens(
                 sink, docs_sink = (store.open_output_stream(f"{store_path}{x}{mark}") for x in (".arrow", ".docs.arrow"))
                 writer = SequenceWriter(sink, file_schema(length, vocabulary))
                 docs_writer = pa.ipc.new_stream(docs_sink, pa.schema([batch.schema.field("doc_id")]))
-            for ids in cache.texts(batch.column("text").to_pylist()):
+            for ids in cache.texts(batch.column("text")):
                 writer.add(np.concatenate([np.frombuffer(ids, "<u4"), end]))
             docs_writer.write_batch(batch.select(["doc_id"]))
             n_docs += batch.num_rows
