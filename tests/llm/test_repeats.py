@@ -100,6 +100,26 @@ def test_against_brute_force(make_docs, together):
     assert result(docs, 60, 24, together) == brute(rows, 60)
 
 
+def test_later_rounds_read_texts_of_crowded_anchors_alone(make_docs, monkeypatch):
+    random.seed(11)
+    word = lambda: "".join(random.choices("abcdefgh", k=6))
+    passage = " ".join(word() for _ in range(40))
+    crowd = [f"{' '.join(word() for _ in range(20))} {passage} {' '.join(word() for _ in range(20))}" for _ in range(8)]
+    rows = list(enumerate([*crowd, *(" ".join(word() for _ in range(60)) for _ in range(30))]))
+    held = []
+    stage = repeated_bytes.stage_table
+
+    def staged(df, name, *more):
+        table = stage(df, name, *more)
+        if name == "crowded":
+            held.append(table.count())
+        return table
+
+    monkeypatch.setattr(repeated_bytes, "stage_table", staged)
+    assert result(make_docs(rows), 60, 24, 3) == brute(rows, 60)
+    assert held and max(held) <= len(crowd)
+
+
 def test_odd_documents(odd_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     assert result(odd_docs) == brute(rows, 400)
