@@ -31,11 +31,14 @@ from .base import by_size, remembers, working
 #: the share of the tokens that makes a word frequent, and so at most 1 / HOT_SHARE words.
 SWEEPS, BURN, CONCENTRATION, BUCKET_BYTES, HOT_SAMPLE, HOT_SHARE = 3, 1, 1.0, 8 << 20, 2000, 0.002
 HOT = ("word", "customers", "tables")
+#: Entries of a bucket, each a pair in a document, that are added up at once.
+STRETCH = 1 << 17
 BEGIN, END = np.uint64(1), np.uint64(2)  # instead of word hashes
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _known: dict[bytes, int] = {}
 remembers("pitman_yor", _known.clear)
+SEATING = "pitman_yor_seating"  # the steps after the texts are read need no word any more
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -72,9 +75,10 @@ def pack(*arrays: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def unpack(data: bytes) -> list[np.ndarray]:
+def unpack(data: bytes, most: int | None = None) -> list[np.ndarray]:
+    """All arrays of a value, or the first ``most``."""
     out, at = [], 0
-    while at < len(data):
+    while at < len(data) and len(out) != most:
         end = data.index(b"\n", at)
         kind, n, steps, size = data[at:end].decode().split()
         kind, n, size = np.dtype(kind), int(n), int(size)
@@ -135,12 +139,14 @@ def _pairs(batches, buckets: int, hot: np.ndarray, partition: int, id_type: pa.D
         texts = [tokens_of(t) for t in batch.column("text").to_pylist()]
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         words = hashes_of([w for t in texts for w in t])
-        doc = np.repeat(np.arange(len(texts), dtype=np.uint32), sizes + 1)
+        del texts
+        doc = np.repeat(np.arange(len(sizes), dtype=np.uint32), sizes + 1)
         starts = np.cumsum(sizes + 1) - (sizes + 1)
         second = np.empty(len(doc), np.uint64)
         inner = np.ones(len(doc), bool)
         inner[starts + sizes] = False
         second[inner], second[~inner] = words, END
+        del words, inner
         first = np.concatenate([[BEGIN], second[:-1]]).astype(np.uint64)
         first[starts] = BEGIN
         train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
@@ -149,7 +155,7 @@ def _pairs(batches, buckets: int, hot: np.ndarray, partition: int, id_type: pa.D
         order = np.lexsort((doc, second, first, bucket))
         bucket, first, second, doc = bucket[order], first[order], second[order], doc[order]
         at = _runs(bucket, first, second, doc)
-        times = np.diff([*at, len(bucket)]).astype(np.uint32)
+        times = np.diff(at, append=len(bucket)).astype(np.uint32)
         bucket, first, second, doc = bucket[at], first[at], second[at], doc[at]
         marked = times << 1 | train[doc].astype(np.uint32)
         cuts = _runs(bucket)
@@ -158,7 +164,7 @@ def _pairs(batches, buckets: int, hot: np.ndarray, partition: int, id_type: pa.D
             heads = _runs(first[a:b])
             dishes, which = np.unique(second[a:b], return_inverse=True)
             out["bucket"].append(int(bucket[a]))
-            out["body"].append(pack(first[a:b][heads], least_type(np.diff([*heads, b - a])), dishes, least_type(which), least_type(doc[a:b]), least_type(marked[a:b])))
+            out["body"].append(pack(first[a:b][heads], least_type(np.diff(heads, append=b - a)), dishes, least_type(which), least_type(doc[a:b]), least_type(marked[a:b])))
         n = len(out["bucket"])
         yield pa.RecordBatch.from_arrays(
             [
@@ -185,28 +191,38 @@ class Bucket:
     @classmethod
     def merged(cls, bodies: list[bytes], chunks: np.ndarray) -> Bucket:
         """From the bodies that slices sent; ``chunks`` numbers their slices."""
-        first, second, chunk, doc, marked = [], [], [], [], []
+        chunks = least_type(np.asarray(chunks))
+        words = [unpack(b, 3) for b in bodies]
+        first, dishes = (np.unique(np.concatenate([w[i] for w in words])) for i in (0, 2))
+        del words
+        key, chunk, doc, marked = [], [], [], []  # key: the places of both words
         for body, number in zip(bodies, chunks):
-            heads, per, dishes, which, docs, marks = unpack(body)
-            first.append(np.repeat(heads, per.astype(np.int64))), second.append(dishes[which])
-            chunk.append(np.full(len(docs), number, np.uint32)), doc.append(docs.astype(np.uint32)), marked.append(marks.astype(np.uint32))
-        first, second, chunk, doc, marked = map(np.concatenate, (first, second, chunk, doc, marked))
-        order = np.lexsort((second, first))
-        first, second, chunk, doc, marked = (x[order] for x in (first, second, chunk, doc, marked))
+            heads, per, own, which, docs, marks = unpack(body)
+            ahead = np.repeat(np.searchsorted(first, heads).astype(np.uint64) * np.uint64(len(dishes)), per.astype(np.int64))
+            key.append(ahead + np.searchsorted(dishes, own).astype(np.uint64)[which])
+            chunk.append(np.full(len(docs), number, chunks.dtype)), doc.append(docs), marked.append(marks)
+        key = np.concatenate(key)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        pair = _runs(key)
+        heads, which = np.divmod(key[pair], np.uint64(len(dishes)))
+        del key
+        chunk, doc = np.concatenate(chunk)[order], np.concatenate(doc)[order]
+        marked = np.concatenate(marked)[order]
+        n = len(order)
+        del order
         times = marked >> 1
-        pair = _runs(first, second)
-        customers = np.add.reduceat(np.where(marked & 1, times, 0).astype(np.int64), pair)
-        heads = _runs(first[pair])
-        dishes, which = np.unique(second[pair], return_inverse=True)
-        return cls(first[pair][heads], np.diff([*heads, len(pair)]), dishes, which, customers, np.diff([*pair, len(first)]), chunk, doc, times)
+        customers = np.add.reduceat(times * (marked & 1), pair, dtype=np.int64)
+        return cls(first, np.diff(_runs(heads), append=len(pair)), dishes, which, customers, np.diff(pair, append=n), chunk, doc, times)
 
     def pack(self) -> bytes:
         return pack(self.first, least_type(self.per_first), self.dishes, *(least_type(getattr(self, n)) for n in self.FIELDS[3:]))
 
     @classmethod
-    def unpack(cls, body: bytes) -> Bucket:
-        first, per, dishes, *rest = unpack(body)
-        return cls(first, per.astype(np.int64), dishes, *(x.astype(np.int64) for x in rest))
+    def unpack(cls, body: bytes, documents: bool = True) -> Bucket:
+        """Without ``documents`` the pairs and their customers alone. What is held of each document stays narrow."""
+        first, per, dishes, which, customers, *rest = unpack(body, None if documents else 5)
+        return cls(first, per.astype(np.int64), dishes, which.astype(np.int64), customers.astype(np.int64), *rest)
 
     def restaurants(self) -> np.ndarray:
         """Of each pair, the place of its first word."""
@@ -215,6 +231,28 @@ class Bucket:
     def totals(self, per_pair: np.ndarray) -> np.ndarray:
         return np.bincount(self.restaurants(), per_pair, minlength=len(self.first))
 
+    def by_document(self, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Slice, document and, for each array of values of the pairs, the sum over the document's pairs."""
+        n = len(self.doc)
+        wide = int(self.doc.max()) + 1
+        kind = np.uint32 if (int(self.chunk.max()) + 1) * wide < 1 << 32 else np.uint64
+        key = self.chunk.astype(kind) * kind(wide) + self.doc.astype(kind)
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        at = _runs(key)
+        chunk, doc = np.divmod(key[at], kind(wide))
+        del key
+        place = np.empty(n, np.uint32)
+        place[order] = np.repeat(np.arange(len(at), dtype=np.uint32), np.diff(at, append=n))
+        del order
+        pair = np.repeat(np.arange(len(self.per_pair), dtype=np.uint32), self.per_pair)
+        sums = [np.zeros(len(at)) for _ in values]
+        for a in range(0, n, STRETCH):
+            here = slice(a, a + STRETCH)
+            for held, value in zip(sums, values):
+                held += np.bincount(place[here], value[pair[here]] * self.times[here], minlength=len(at))
+        return chunk, doc, sums
+
     def seated(self, parent: np.ndarray | None, hot: dict, discount: float, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(tables of each pair, customers and tables of each restaurant). Without parent probabilities
         every pair has one table. A frequent word's restaurant stands in several buckets; its totals are
@@ -284,6 +322,7 @@ def score(
         yield from _pairs(batches, buckets, hot_words, TaskContext.get().partitionId(), id_type)
 
     def merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        working(SEATING)
         bodies = rows[rows.body.notna()].sort_values("chunk")
         names = rows[rows.body.isna()]
         out = [(key[0], r.chunk, None, r.ids, r.train, r.n_tokens, None, None, None) for r in names.itertuples()]
@@ -374,9 +413,10 @@ def _send(state: DataFrame, last: dict | None, hot: dict, discount: float, seed:
     sweep = {k: last[k] for k in ("back", "words", "scale", "buckets")} if last else None
 
     def run(batches):
+        working(SEATING)
         for batch in batches:
             for number, body, parts in zip(*(batch.column(c).to_pylist() for c in ("bucket", "body", "parts"))):
-                own = Bucket.unpack(body)
+                own = Bucket.unpack(body, documents=False)
                 parent = _answers(parts, own.dishes, sweep) if sweep else None
                 tables, customers, _ = own.seated(parent, hot, discount, seed * 1_000_003 + number)
                 sent = np.bincount(own.which, tables, minlength=len(own.dishes)).astype(np.int64)
@@ -400,6 +440,7 @@ def _parent(messages: DataFrame, buckets: int, words: float, last: dict | None,
     tables_before, discount = (last["tables"], last["discount"]) if last else (words, 0.5)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        working(SEATING)
         parts = [unpack(x) for x in rows.words]
         dishes, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         customers = np.bincount(which, np.concatenate([p[1] for p in parts]).astype(float), minlength=len(dishes)).astype(np.int64)
@@ -428,6 +469,7 @@ def _document_sums(state: DataFrame, used: list[dict], hot: dict, discount: floa
     sweeps = [{k: s[k] for k in ("back", "words", "scale", "buckets")} for s in used]
 
     def run(batches):
+        working(SEATING)
         for batch in batches:
             parts = zip(*(batch.column(f"parts{i}").to_pylist() for i in range(len(sweeps))))
             for number, body, chunks, answers in zip(*(batch.column(c).to_pylist() for c in ("bucket", "body", "chunks")), parts):
@@ -447,14 +489,8 @@ def _document_sums(state: DataFrame, used: list[dict], hot: dict, discount: floa
                 plain = np.log10((count + 0.1) / (base["total"] + 0.1 * base["words"]))
                 begin = own.first == BEGIN
                 plain[begin], count[begin] = 0, 0
-                pair = np.repeat(np.arange(len(owner)), own.per_pair)
-                order = np.lexsort((own.doc, own.chunk))
-                pair, chunk, doc, times = pair[order], own.chunk[order], own.doc[order], own.times[order]
-                at = _runs(chunk, doc)
-                add = lambda x: np.add.reduceat(x, at)
-                known = add((count > 0)[owner[pair]] * times)
-                plain, model = add(plain[owner[pair]] * times), add(model[pair] * times)
-                chunk, doc = chunk[at], doc[at]
+                chunk, doc, (known, plain, model) = own.by_document((count > 0)[owner], plain[owner], model)
+                known = known.astype(np.int64)
                 cuts = _runs(chunk)
                 rows = [
                     (chunks[chunk[a]], pack(least_type(doc[a:b]), least_type(known[a:b]), plain[a:b], model[a:b].astype(np.float32)))

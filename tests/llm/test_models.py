@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creelgrid.llm import language, pitman_yor, toxicity
-from creelgrid.llm.base import fold, table
+from creelgrid.llm.base import fold, table, working
 
 from .conftest import SF
 
@@ -291,3 +291,63 @@ def test_fit_with_and_without_the_dense_part(monkeypatch):
     none = toxicity.Machine(np.arange(2), 0.5)
     none.fit(np.zeros(0, int), np.zeros(0, int), np.zeros(0), rounds=2)
     assert np.isfinite(none.bias)
+
+
+def slices_of_pairs(rng, slices, docs, words, n):
+    """(bodies as slices send them, their entries): entries are slice, document, first and second word, times, train."""
+    bodies, entries = [], []
+    for c in range(slices):
+        cells = np.unique(rng.integers(0, docs * words * words, n))
+        doc, first, second = cells % docs, cells // docs // words, cells // docs % words  # sorted by words, then document
+        times, train = rng.integers(1, 4, len(cells)), doc % 3 != 0
+        heads, per = np.unique(first, return_counts=True)
+        dishes, which = np.unique(second, return_inverse=True)
+        narrow = [pitman_yor.least_type(x) for x in (per, which, doc, times << 1 | train)]
+        bodies.append(pitman_yor.pack(heads.astype(np.uint64), narrow[0], dishes.astype(np.uint64), *narrow[1:]))
+        entries += zip([c] * len(cells), doc.tolist(), first.tolist(), second.tolist(), times.tolist(), train.tolist())
+    return bodies, entries
+
+
+def test_buckets_hold_and_add_up_their_pairs(monkeypatch):
+    monkeypatch.setattr(pitman_yor, "STRETCH", 100)
+    bodies, entries = slices_of_pairs(np.random.default_rng(4), 300, 9, 7, 40)
+    own = pitman_yor.Bucket.unpack(pitman_yor.Bucket.merged(bodies, np.arange(300)).pack())
+    customers, weights, want = Counter(), {}, Counter()
+    for _, _, a, b, times, train in entries:
+        customers[a, b] += times * train
+        weights[a, b] = a + b / 10
+    for c, d, a, b, times, _ in entries:
+        want[c, d] += weights[a, b] * times
+    pairs = list(zip(np.repeat(own.first, own.per_first).tolist(), own.dishes[own.which].tolist()))
+    assert pairs == sorted(customers) and own.customers.tolist() == [customers[p] for p in pairs]
+    chunk, doc, (sums,) = own.by_document(np.array([weights[p] for p in pairs]))
+    assert dict(zip(zip(chunk.tolist(), doc.tolist()), sums.tolist())) == pytest.approx(dict(want))
+    assert list(zip(chunk.tolist(), doc.tolist())) == sorted(want)
+    assert not hasattr(pitman_yor.Bucket.unpack(own.pack(), documents=False), "doc")
+
+
+def test_buckets_are_merged_in_bounded_memory():
+    """Bytes for each pair of a document; a bucket of 8 MB of text has over a million."""
+    import tracemalloc
+
+    bodies, entries = slices_of_pairs(np.random.default_rng(5), 8, 1000, 300, 30_000)
+    tracemalloc.start()
+    try:
+        own = pitman_yor.Bucket.merged(bodies, np.arange(8))
+        merged = tracemalloc.get_traced_memory()[1]
+        body = own.pack()
+        del own
+        tracemalloc.reset_peak()
+        own = pitman_yor.Bucket.unpack(body)
+        own.by_document(np.ones(len(own.which)))
+        added = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert merged < 45 * len(entries) and added < 45 * len(entries)
+
+
+def test_seating_forgets_the_words():
+    pitman_yor.hashes_of([b"a"])
+    assert pitman_yor._known
+    working(pitman_yor.SEATING)
+    assert not pitman_yor._known
