@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,15 +15,17 @@ from pyspark.sql import functions as F
 from .base import by_size, map_arrow, remembers, working
 from .units import UnitCache
 
-#: Widths of the matrices; a piece goes to the least width that holds its bytes. Longer pieces, whose
-#: rounds would cost the square of their length, are merged from a heap in the same order.
-WIDTHS = (4, 8, 12, 16, 24, 32, 64, 128, 256)
+#: Longest piece of a matrix. Longer pieces, whose rounds would cost the square of their length, are
+#: merged from a heap in the same order.
+WIDEST = 256
 #: Cells of a matrix, which with its temporary ones stays in the caches.
-CELLS = 1 << 17
+CELLS = 1 << 16
 #: Bytes of text taken apart at once and units a worker remembers: as the last stage of a run, it gets
 #: executors whose memory earlier stages have filled.
 SLICE, REMEMBERED = 1 << 20, 60_000
 NONE = np.int32(2**31 - 1)
+#: Keys of a matrix order pairs by rank, then place; from this one on there is no pair.
+NO_KEY = int(NONE) * WIDEST
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -78,35 +81,47 @@ class Ranks:
             open_ = open_[~hit & (there >= 0)]
         return out.reshape(keys.shape)
 
-    def merge_matrix(self, pieces: list[bytes], width: int) -> list[np.ndarray]:
-        """Ids of pieces of at most ``width`` bytes."""
-        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        cells = np.arange(width) < lengths[:, None]
-        ids = np.full((len(pieces), width + 1), -1, np.int32)
-        ids[:, :width][cells] = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
-        ranks = self.joined(ids[:, :-1], ids[:, 1:])
-        done = np.empty((len(pieces), width), np.int32)
-        rows, columns = np.arange(len(pieces)), np.arange(width)
-        while rows.size:
-            at = ranks.argmin(axis=1)  # the first of equal ranks
-            here = np.arange(len(rows))
-            least = ranks[here, at]
-            live = least != NONE
-            if not live.all():  # compaction: rows without a pair are ready
-                done[rows[~live]] = ids[~live, :width]
-                rows, ids, ranks, at, least = rows[live], ids[live], ranks[live], at[live], least[live]
-                here = here[: len(rows)]
-                if not rows.size:
-                    break
-            ids[here, at] = least
-            later = np.minimum(columns + 1 + (columns + 1 > at[:, None]), width)
-            ids[:, 1:] = np.take_along_axis(ids, later, axis=1)
-            ranks = np.take_along_axis(ranks, np.minimum(columns + (columns > at[:, None]), width - 1), axis=1)
-            ranks[here, -1] = NONE
-            ranks[here, at] = self.joined(ids[here, at], ids[here, at + 1])
-            before = np.flatnonzero(at)
-            ranks[before, at[before] - 1] = self.joined(ids[before, at[before] - 1], ids[before, at[before]])
-        return [row[row >= 0] for row in done]
+    def merge_matrix(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, one piece after the other, and their numbers, of pieces of ``data``, each a column of a matrix.
+
+        Ids stay at the place of their first byte and know the places before and after them, so that a round
+        reads the keys alone as a whole; a last row of padding stands for no neighbour.
+        """
+        width, n = max(1, int(lengths.max())), len(lengths)
+        places = np.arange(width)[:, None]
+        ids = np.full((width + 1, n), -1, np.int32)
+        ids[:width] = np.where(places < lengths, self.byte_ids[data[np.minimum(starts + places, len(data) - 1)]], -1)
+        keys = np.full((width + 1, n), NO_KEY, np.int64)
+        keys[:width] = self.joined(ids[:-1], ids[1:]).astype(np.int64) * WIDEST + places
+        after = np.repeat(np.arange(1, width + 2), n)
+        before = np.repeat(np.arange(-1, width), n)
+        before[:n] = width
+        cells, columns = ids.reshape(-1), np.arange(n)
+        while True:
+            least = keys.min(axis=0)  # the first of equal ranks
+            live = np.flatnonzero(least < NO_KEY)
+            if not live.size:
+                break
+            if live.size < 0.8 * len(columns):  # compaction: columns without a pair are ready
+                keys, columns, least = keys[:, live], columns[live], least[live]
+                live = np.arange(len(columns))
+            m, of = len(columns), columns[live]
+            rank, at = np.divmod(least[live], WIDEST)
+            here = at * n + of
+            gone = after[here]
+            there = gone * n + of
+            behind, ahead = before[here], after[there]
+            cells[here], cells[there] = rank, -1
+            after[here], before[ahead * n + of] = ahead, at
+            found = self.joined(
+                np.concatenate([rank, cells[behind * n + of]]), np.concatenate([cells[ahead * n + of], rank])
+            ).astype(np.int64)
+            keys[gone, live] = NO_KEY
+            keys[at, live] = found[: len(live)] * WIDEST + at
+            keys[behind, live] = np.where(behind < width, found[len(live) :] * WIDEST + behind, NO_KEY)
+        columnwise = np.ascontiguousarray(ids.T)
+        left = columnwise >= 0
+        return columnwise[left], left.sum(axis=1)
 
     def merge_heap(self, piece: bytes) -> np.ndarray:
         """Ids of one long piece: the same order of merges from a heap of (rank, place)."""
@@ -137,20 +152,33 @@ class Ranks:
             offer(before[i])
         return np.array([x for x in ids if x >= 0], np.int32)
 
+    def merged(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of binary pieces, one piece after the other in any order, with their starts and numbers."""
+        offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset :][: len(pieces) + 1].astype(np.int64)
+        data = np.frombuffer(pieces.buffers()[2] or b"\0", np.uint8)
+        starts, lengths = offsets[:-1], np.diff(offsets)
+        order = np.argsort(lengths, kind="stable")
+        short = int(np.searchsorted(lengths[order], WIDEST, "right"))
+        parts, counts = [], np.zeros(len(order), np.int64)
+        k = 0
+        while k < short:  # as many pieces of about one length as a matrix holds
+            widths = np.maximum(lengths[order[k : min(short, k + CELLS)]], 1)
+            step = max(1, int(np.count_nonzero(widths * np.arange(1, len(widths) + 1) <= CELLS)))
+            some = order[k : k + step]
+            ids, counts[some] = self.merge_matrix(data, starts[some], lengths[some])
+            parts.append(ids)
+            k += step
+        for i in order[short:].tolist():
+            parts.append(self.merge_heap(data[starts[i] : starts[i] + lengths[i]].tobytes()))
+            counts[i] = len(parts[-1])
+        places = np.zeros(len(order), np.int64)
+        places[order] = np.cumsum(counts[order]) - counts[order]
+        return np.concatenate([np.empty(0, np.int32), *parts]), places, counts
+
     def pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces, bucketed by length."""
-        out: list = [None] * len(pieces)
-        buckets: dict[int, list[int]] = {}
-        for i, piece in enumerate(pieces):
-            buckets.setdefault(next((w for w in WIDTHS if len(piece) <= w), 0), []).append(i)
-        for width, places in buckets.items():
-            step = max(1, CELLS // width) if width else len(places)
-            for k in range(0, len(places), step):
-                some = places[k : k + step]
-                found = self.merge_matrix([pieces[i] for i in some], width) if width else map(self.merge_heap, (pieces[i] for i in some))
-                for i, ids in zip(some, found):
-                    out[i] = ids
-        return out
+        """Ids of pieces, each on its own."""
+        ids, starts, counts = self.merged(pa.array(pieces, pa.binary()))
+        return [ids[a : a + n] for a, n in zip(starts.tolist(), counts.tolist())]
 
 
 class Encoder:
@@ -163,10 +191,15 @@ class Encoder:
         self.cache = UnitCache(self.encode_units, most=REMEMBERED)
 
     def encode_units(self, texts: list[str]) -> list[bytes]:
-        found = [self.find(x) for x in texts]
-        distinct = list(set().union(*found))
-        ids = {p: a.astype("<u4").tobytes() for p, a in zip(distinct, self.ranks.pieces([p.encode() for p in distinct]))}
-        return [b"".join([ids[p] for p in pieces]) for pieces in found]
+        found = list(map(self.find, texts))
+        coded = pa.array(list(chain.from_iterable(found)), pa.string()).dictionary_encode()
+        ids, starts, counts = self.ranks.merged(coded.dictionary.cast(pa.binary()))
+        code = coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(counts[code])])
+        picked = ids[np.arange(ends[-1]) + np.repeat(starts[code] - ends[:-1], counts[code])]
+        data = picked.astype("<u4").tobytes()
+        cuts = (4 * ends[np.concatenate([[0], np.cumsum(list(map(len, found)), dtype=np.int64)])]).tolist()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""

@@ -1,5 +1,6 @@
 import base64
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -49,6 +50,30 @@ def test_matrix_and_heap_agree():
         assert ids.tolist() == ranks.merge_heap(piece).tolist()
 
 
+def test_new_words_cost_no_calls_each(tiktoken_encoding):
+    random.seed(6)
+    coder = byte_bpe.encoder(RANKS, public_tokenizers.PATTERN)
+    words = list({" " + "".join(random.choices(["en", "th", "tion", "é", "ou", "st"], k=6)) for _ in range(5000)})
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(None) if event in ("call", "c_call") else None)
+    try:
+        got = coder.encode_units(words)
+    finally:
+        sys.setprofile(None)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tiktoken_encoding.encode_ordinary(w) for w in words]
+    assert len(calls) < len(words)
+
+
+def test_pieces_of_all_lengths_and_none():
+    ranks = byte_bpe.encoder(RANKS, public_tokenizers.PATTERN).ranks
+    random.seed(7)
+    lengths = [*range(0, 300), 900, 1, 256, 257, 9, 9]
+    random.shuffle(lengths)
+    pieces = [bytes(random.choices(b"abtheinst \xc3\xa9", k=n)) for n in lengths]
+    assert [x.tolist() for x in ranks.pieces(pieces)] == [ranks.merge_heap(p).tolist() if p else [] for p in pieces]
+    assert ranks.pieces([]) == [] and [x.tolist() for x in ranks.pieces([b""])] == [[]]
+
+
 def test_cache_that_is_full(texts):
     coder = byte_bpe.encoder(RANKS, public_tokenizers.PATTERN)
     small = units.UnitCache(coder.encode_units, most=5, longest=4)
